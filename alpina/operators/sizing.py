@@ -1,0 +1,19 @@
+"""Size-checked broadcast: a side is broadcast only when a bounded count proves it small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_count(df: DataFrame, limit: int) -> int:
+    """Row count, but reads at most ``limit + 1`` rows (a cheap, bounded action)."""
+    return df.limit(limit + 1).count()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only when the frame has at most ``max_rows`` rows; otherwise leave the
+    choice to Catalyst/AQE (sort-merge or shuffled hash join)."""
+    if bounded_count(df, max_rows) <= max_rows:
+        return F.broadcast(df)
+    return df

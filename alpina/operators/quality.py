@@ -33,12 +33,17 @@ def expectation_flags(df: DataFrame, expectations: dict[str, str]) -> DataFrame:
                             for n, p in expectations.items()])
 
 
-def split_corrupt_files(parsed: DataFrame, file_col: str = "_source_file",
+def split_corrupt_files(parsed: DataFrame, stage_path: str, file_col: str = "_source_file",
                         corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """(good rows, error rows) with whole-file rejection.
 
-    Files with at least one corrupt record go to the error side as one row
-    ``(file, n_corrupt, message)``; all rows of clean files go to the good side."""
+    The parsed rows are first written once to ``stage_path`` (Spark refuses to filter a raw
+    JSON/CSV scan on its corrupt-record column alone, and the stage also cuts the lineage so
+    both sides read the same parse). Files with at least one corrupt record go to the error
+    side as one row ``(file, n_corrupt, message)``; all rows of clean files go to the good
+    side."""
+    parsed.write.mode("overwrite").parquet(stage_path)
+    parsed = parsed.sparkSession.read.parquet(stage_path)
     bad_files = (parsed.where(F.col(corrupt_col).isNotNull())
                  .groupBy(F.col(file_col).alias("file"))
                  .agg(F.count(F.lit(1)).alias("n_corrupt"),

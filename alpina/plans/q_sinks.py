@@ -45,9 +45,12 @@ def q_overwrite_table(spark: SparkSession, sf: str):
 
 
 @query("replace_by_key", """
-SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders WHERE o_custkey % 7 <> 0
+WITH batch AS (SELECT o_orderkey, o_custkey, round(o_totalprice * 2, 6) AS o_totalprice FROM orders
+               WHERE o_custkey % 7 = 0 AND o_orderkey % 2 = 0)
+SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders
+WHERE o_custkey NOT IN (SELECT o_custkey FROM batch)
 UNION ALL
-SELECT o_orderkey, o_custkey, round(o_totalprice * 2, 6) FROM orders WHERE o_custkey % 7 = 0 AND o_orderkey % 2 = 0""")
+SELECT * FROM batch""")
 def q_replace_by_key(spark: SparkSession, sf: str):
     """Source id = customer; the batch re-delivers every seventh customer's orders with a
     doubled price and only the even order keys; applied twice (idempotence)."""

@@ -70,7 +70,7 @@ def q_read_charset_csv(spark: SparkSession, sf: str):
 
 
 @query("read_json_strings", """
-SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, replace(props, ' ', '') AS props,
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props,
        json_extract_string(props, '$.k') AS k
 FROM events""")
 def q_read_json_strings(spark: SparkSession, sf: str):

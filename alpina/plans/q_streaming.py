@@ -156,7 +156,7 @@ def q_quarantine(spark: SparkSession, sf: str):
     (e.select(line.alias("value"), F.col("event_type").alias("part")).repartition("part")
      .write.mode("overwrite").partitionBy("part").text(root))
     parsed = with_lineage(read_json_strings(spark, root, multi_line=False, corrupt_col="_corrupt_record"))
-    good, errors = split_corrupt_files(parsed)
+    good, errors = split_corrupt_files(parsed, scratch_path(spark, "quarantine_stage"))
     errs = scratch_path(spark, "quarantine_errors")
     errors.write.mode("overwrite").parquet(errs)
     return good.select("event_id", "user_id", "event_type")

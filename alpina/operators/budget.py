@@ -1,37 +1,57 @@
 """Budget-bounded prefix in a global order, computed without a single-partition window.
 
-Phase 1: range-partition on the order key (Spark samples the key to pick bounds) and total
-each range. Phase 2: offsets of the ranges — one row per partition, a proven small side —
-are joined back, and a running sum *inside* each range completes the global running sum.
-Sizes are non-negative, so "admit until the budget is first exceeded" equals
-"running total ≤ budget".
+1. Range-partition on the order key (Spark samples the key to pick bounds; the bounds are
+   deterministic for a given input, so both passes below see the same ranges) and sort
+   within each range.
+2. Total each range: one row per range, collected to the driver (bounded by the range
+   count, never by the data).
+3. Each range adds its offset (sum of the preceding ranges) to a local running sum. The
+   local running sum runs per partition over the already range-partitioned, sorted rows
+   (Arrow batches, numpy cumsum): a Window partitioned by the range id would re-shuffle the
+   whole table just to restore the partitioning it already has.
+
+Sizes are non-negative, so "admit until the budget is first exceeded, then nothing more"
+equals "global running total ≤ budget − reserve".
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def budget_prefix(df: DataFrame, size_col: str, order_cols: list[str], budget: int | None,
                   reserve: int = 0, num_ranges: int | None = None,
                   running_col: str = "running_bytes") -> DataFrame:
     """Rows admitted in ``order_cols`` order while the running size total stays within
-    ``budget - reserve``. ``budget=None`` admits everything. ``order_cols`` must be a total
-    order (unique)."""
+    ``budget - reserve``; ``budget=None`` admits everything. ``order_cols`` must be a total
+    order (unique). Adds ``running_col`` (the global running total, BIGINT)."""
     spark = df.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .withColumn("_range", F.spark_partition_id()))
-    # One row per range: bounded by the partition count, safe to broadcast.
-    totals = ranged.groupBy("_range").agg(F.sum(size_col).alias("_tot"))
-    w_off = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_range", F.coalesce(F.sum("_tot").over(w_off), F.lit(0)).alias("_off"))
-    w_run = (Window.partitionBy("_range").orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (ranged.join(F.broadcast(offsets), "_range")
-                 .withColumn(running_col, F.col("_off") + F.sum(size_col).over(w_run))
-                 .drop("_range", "_off"))
-    if budget is None:
-        return out
-    return out.where(F.col(running_col) <= F.lit(budget - reserve))
+    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    totals = (ranged.select(F.spark_partition_id().alias("r"), F.col(size_col).cast("long").alias("s"))
+              .groupBy("r").agg(F.sum("s").alias("t")).collect())          # ≤ n rows
+    by_range = {r["r"]: (r["t"] or 0) for r in totals}
+    offsets, acc = {}, 0
+    for r in range(n):
+        offsets[r] = acc
+        acc += by_range.get(r, 0)
+    limit = None if budget is None else budget - reserve
+    schema = StructType(df.schema.fields + [StructField(running_col, LongType())])
+
+    def run(batches):
+        import numpy as np
+        from pyspark import TaskContext
+        base = offsets.get(TaskContext.get().partitionId(), 0)
+        carried = 0
+        for pdf in batches:
+            sizes = pdf[size_col].fillna(0).astype("int64").to_numpy()
+            running = base + carried + np.cumsum(sizes)
+            carried += int(sizes.sum())
+            pdf[running_col] = running
+            if limit is not None:
+                pdf = pdf[running <= limit]
+            yield pdf
+
+    return ranged.mapInPandas(run, schema)

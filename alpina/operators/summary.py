@@ -25,11 +25,10 @@ def outcome_counts(df: DataFrame, status_col: str, classes: Sequence[str], examp
     ex = cand.groupBy("status").agg(
         F.slice(F.array_sort(F.collect_list("ex")), 1, max_examples).alias("examples"))
     fixed = spark.createDataFrame([(c,) for c in classes], "status string")
-    allc = fixed.unionByName(counts.select("status")).distinct()
-    return (allc.join(counts, "status", "left").join(ex, "status", "left")
+    empty = F.array().cast("array<" + _type(df, example_col) + ">")
+    return (counts.join(fixed, "status", "full_outer").join(ex, "status", "left")
             .select("status", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-                    F.coalesce("examples", F.array().cast("array<" + _type(df, example_col) + ">"))
-                    .alias("examples")))
+                    F.coalesce("examples", empty).alias("examples")))
 
 
 def _type(df: DataFrame, c: str) -> str:

@@ -140,8 +140,9 @@ def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger
     px = raster_to_pixels(tiles, "z", keep)
     cells = terrain_cells(px, res, cell_size, keys=("tile_id",), extra=("year", "_source_file_id", "_source_file"))
     stats = tile_stats(px, keys=("tile_id", "year", "_source_file_id", "_source_file"))
-    replace_by_key(stats, f"{work}/tiles", "_source_file_id")
-    replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id")
+    ids = tiles.select("_source_file_id")
+    replace_by_key(stats, f"{work}/tiles", "_source_file_id", ids=ids)
+    replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", ids=ids)
     listing = tiles.select(F.col("_source_file_id").alias("file_id"), F.col("_source_file").alias("file_path"),
                            F.col("_source_file").alias("file_name"), F.lit(None).cast("string").alias("modified_time"))
     record_ledger(ledger_rows(listing, cells.select("_source_file_id"), target_cells), ledger_path)

@@ -103,6 +103,8 @@ def q_terrain_flow(spark: SparkSession, sf: str):
                          .alias("_source_file"),
                          F.col("rz.zr").alias("z"))
     work = scratch_path(spark, "terrain")
+    tiles.write.parquet(f"{work}/_landed_tiles")   # the tile table is an input: land it once
+    tiles = spark.read.parquet(f"{work}/_landed_tiles")
     ledger = f"{work}/_ledger"
     terrain_flow(tiles, work, RASTER_RES, RASTER_CELL, ledger).collect()
     terrain_flow(tiles, work, RASTER_RES, RASTER_CELL, ledger).collect()

@@ -63,30 +63,56 @@ def key_bucket(id_col: str, buckets: int):
 
 
 def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int = 64,
-                   bucket_col: str = "_bucket") -> None:
-    """Idempotent replacement: rows whose source id occurs in the batch are removed, then the
-    batch is appended. Only the hash buckets touched by the batch are rewritten (dynamic
-    partition overwrite from a staged copy); a bucket left empty is deleted explicitly —
-    dynamic overwrite alone would keep its stale rows."""
+                   bucket_col: str = "_bucket", ids: DataFrame | None = None) -> None:
+    """Idempotent replacement: rows whose source id is in ``ids`` (default: the ids occurring
+    in the batch) are removed, then the batch is appended.
+
+    ``ids`` may name sources that now yield no rows at all (a re-processed file whose cells are
+    all no-data); their old rows disappear too. The table is hash-partitioned by id into
+    ``buckets`` folders; only the buckets touched by ``ids`` are rewritten, in place, by
+    dynamic partition overwrite (the output is staged and swapped at commit, so reading the
+    same partitions in the plan is safe). Buckets left without rows are deleted explicitly —
+    dynamic overwrite alone would keep their stale files. The batch is evaluated once (staged).
+    """
     spark = batch.sparkSession
-    b = batch.withColumn(bucket_col, key_bucket(id_col, buckets))
-    affected = sorted(r[0] for r in b.select(bucket_col).distinct().collect())  # ≤ buckets values
+    base = path.rstrip("/")
+    stage = f"{base}.__batch_{uuid.uuid4().hex[:8]}"
+    bucketed = batch.withColumn(bucket_col, key_bucket(id_col, buckets))
+    # rebalance: one writer group per bucket, AQE splits a bucket that a hot id makes oversized
+    bucketed.hint("rebalance", bucket_col).write.partitionBy(bucket_col).parquet(stage)
+    staged = spark.read.schema(bucketed.schema).parquet(stage)
+    staged_buckets = {int(n.split("=", 1)[1]) for n in list_dir(spark, stage) if n.startswith(bucket_col + "=")}
+    if ids is None:
+        if not staged_buckets:  # empty batch, no ids: nothing to replace
+            delete_path(spark, stage)
+            return
+        id_frame = staged.select(F.col(id_col).alias("_bid")).distinct()
+        affected = set(staged_buckets)
+    else:
+        id_frame = ids.select(F.col(id_col).alias("_bid")).distinct()
+        # one small job: the touched buckets (≤ buckets rows) and the id count behind them
+        per_bucket = id_frame.groupBy(key_bucket("_bid", buckets).alias("b")).count().collect()
+        affected = {r["b"] for r in per_bucket} | staged_buckets
+        if sum(r["count"] for r in per_bucket) <= 1_000_000:
+            id_frame = F.broadcast(id_frame)
     if not path_exists(spark, path):
-        b.write.mode("overwrite").partitionBy(bucket_col).parquet(path)
+        if staged_buckets:
+            _rename(spark, stage, path)
+        else:
+            delete_path(spark, stage)
         return
-    current = spark.read.parquet(path).where(F.col(bucket_col).isin(affected))
-    ids = b.select(F.col(id_col).alias("_bid")).distinct()
-    kept = current.join(ids, current[id_col] == ids["_bid"], "left_anti")
-    new = kept.unionByName(b.select(*current.columns))
-    stage = f"{path.rstrip('/')}.__stage_{uuid.uuid4().hex[:8]}"
-    new.write.mode("overwrite").partitionBy(bucket_col).parquet(stage)
-    staged = spark.read.parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    current = spark.read.parquet(path).where(F.col(bucket_col).isin(sorted(affected)))
+    kept = current.join(id_frame, current[id_col] == F.col("_bid"), "left_anti")
+    at_risk = sorted(affected - staged_buckets)
+    survivors = set()
+    if at_risk:
+        survivors = {r[0] for r in kept.where(F.col(bucket_col).isin(at_risk)).select(bucket_col).distinct().collect()}
+    new = kept.unionByName(staged.select(*current.columns))
+    (new.hint("rebalance", bucket_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(bucket_col).parquet(path))
-    present = {int(n.split("=", 1)[1]) for n in list_dir(spark, stage) if n.startswith(bucket_col + "=")}
-    for bkt in affected:
-        if bkt not in present:
-            delete_path(spark, f"{path.rstrip('/')}/{bucket_col}={bkt}")
+    for bkt in at_risk:
+        if bkt not in survivors:
+            delete_path(spark, f"{base}/{bucket_col}={bkt}")
     delete_path(spark, stage)
 
 

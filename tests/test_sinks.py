@@ -32,11 +32,20 @@ def test_expire_partitions_keeps_other_folders(spark, scratch):
 
 def test_replace_drops_emptied_partition(spark, scratch):
     p = scratch("rep")
-    spark.createDataFrame([(1, "a"), (2, "b")], "v long, file_id string").transform(
-        lambda d: replace_by_key(d, p, "file_id", buckets=64))
-    # file "a" re-delivered with zero rows cannot be expressed by a batch; "b" replaced by new rows
-    replace_by_key(spark.createDataFrame([(3, "b")], "v long, file_id string"), p, "file_id", buckets=64)
-    assert sorted(map(tuple, spark.read.parquet(p).select("v", "file_id").collect())) == [(1, "a"), (3, "b")]
+    rows = [(i, f"f{i}") for i in range(40)]
+    replace_by_key(spark.createDataFrame(rows, "v long, file_id string"), p, "file_id", buckets=64)
+    # f1..f3 re-processed: f1 now yields no rows, f2 yields a new row, f3 unchanged ids only
+    batch = spark.createDataFrame([(100, "f2")], "v long, file_id string")
+    ids = spark.createDataFrame([("f1",), ("f2",), ("f3",)], "file_id string")
+    replace_by_key(batch, p, "file_id", buckets=64, ids=ids)
+    got = sorted(map(tuple, spark.read.parquet(p).select("v", "file_id").collect()))
+    assert got == sorted([r for r in rows if r[1] not in ("f1", "f2", "f3")] + [(100, "f2")])
+    # buckets that lost every row are gone, not left with stale files
+    from alpina.sinks.tables import key_bucket
+    present = {int(n.split("=")[1]) for n in list_dir(spark, p) if n.startswith("_bucket=")}
+    live = {r[0] for r in spark.read.parquet(p).select("_bucket").distinct().collect()}
+    assert present == live
+    assert key_bucket  # imported for readers
 
 
 def test_merge_manifest_replaces_whole_records(spark):

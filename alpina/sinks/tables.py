@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.session import delete_path, hadoop_fs, list_dir, path_exists
+from alpina.session import delete_path, hadoop_fs, list_dir, path_exists, write_text_file
 
 
 def append_evolving(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -62,7 +62,28 @@ def key_bucket(id_col: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
 
 
-def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int = 64,
+BUCKETS_MARKER = "_buckets"
+
+
+def table_buckets(spark: SparkSession, path: str, requested: int | None) -> int:
+    """The bucket count of a bucketed table: fixed at creation (recorded in a marker file that
+    readers ignore), because a different count would move ids to other buckets. New tables
+    default to the session's shuffle parallelism."""
+    marker = f"{path.rstrip('/')}/{BUCKETS_MARKER}"
+    if path_exists(spark, marker):
+        fs, p = hadoop_fs(spark, marker)
+        stream = fs.open(p)
+        try:
+            n = int(bytes(stream.readAllBytes()).decode().strip())
+        finally:
+            stream.close()
+        if requested is not None and requested != n:
+            raise ValueError(f"{path} has {n} buckets, not {requested}")
+        return n
+    return requested or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None = None,
                    bucket_col: str = "_bucket", ids: DataFrame | None = None) -> None:
     """Idempotent replacement: rows whose source id is in ``ids`` (default: the ids occurring
     in the batch) are removed, then the batch is appended.
@@ -76,6 +97,7 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int = 64,
     """
     spark = batch.sparkSession
     base = path.rstrip("/")
+    buckets = table_buckets(spark, path, buckets)
     stage = f"{base}.__batch_{uuid.uuid4().hex[:8]}"
     bucketed = batch.withColumn(bucket_col, key_bucket(id_col, buckets))
     # rebalance: one writer group per bucket, AQE splits a bucket that a hot id makes oversized
@@ -98,6 +120,7 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int = 64,
     if not path_exists(spark, path):
         if staged_buckets:
             _rename(spark, stage, path)
+            write_text_file(spark, f"{base}/{BUCKETS_MARKER}", str(buckets))
         else:
             delete_path(spark, stage)
         return

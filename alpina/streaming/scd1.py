@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from alpina.operators.dedupe import latest_per_key
+from alpina.session import delete_path, hadoop_fs, list_dir
 from alpina.streaming.bronze import run_foreach_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -48,9 +49,54 @@ def start_scd1(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str],
                              available_now=available_now)
 
 
+def _batch_ids(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    return sorted(int(n.split("=", 1)[1]) for n in list_dir(spark, folder) if n.startswith(prefix + "="))
+
+
 def read_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """Current table = latest change per key (greatest sequence, then latest batch)."""
-    ch = spark.read.parquet(f"{target.rstrip('/')}/_changes")
-    cols = [c for c in ch.columns if c != "batch_id"]
+    """Current table = latest row per key over the newest compacted base (if any) and the change
+    batches after it (greatest sequence, then latest batch)."""
+    base = target.rstrip("/")
+    bases = _batch_ids(spark, f"{base}/_base", "upto")
+    upto = bases[-1] if bases else -1
+    ch = [b for b in _batch_ids(spark, f"{base}/_changes", "batch_id") if b > upto]
+    parts = []
+    if bases:
+        parts.append(spark.read.parquet(f"{base}/_base/upto={upto}").withColumn("batch_id", F.lit(upto)))
+    if ch:
+        parts.append(spark.read.parquet(*[f"{base}/_changes/batch_id={b}" for b in ch])
+                     .withColumn("batch_id", F.lit(None).cast("int"))
+                     .withColumn("batch_id", F.regexp_extract(F.col("_metadata.file_path"),
+                                                              r"batch_id=(\d+)", 1).cast("int")))
+    if not parts:
+        raise FileNotFoundError(f"no SCD1 data below {target}")
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    cols = [c for c in df.columns if c != "batch_id"]
     order = [F.col(s) for s in sequence] + [F.col("batch_id")]
-    return latest_per_key(ch, keys, order, drop_null_keys=False).select(*cols)
+    return latest_per_key(df, keys, order, drop_null_keys=False).select(*cols)
+
+
+def compact_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> int | None:
+    """Fold the change batches into ``_base/upto=<last batch>`` and drop what it covers.
+
+    Safe with a running stream (only batches ≤ the fold point are touched) and after a crash
+    (readers use the newest base and only later batches). Returns the fold point."""
+    base = target.rstrip("/")
+    ch = _batch_ids(spark, f"{base}/_changes", "batch_id")
+    if not ch:
+        return None
+    upto = ch[-1]
+    current = read_scd1(spark, target, keys, sequence)
+    tmp = f"{base}/_base/.tmp_upto={upto}"
+    current.write.mode("overwrite").parquet(tmp)
+    fs, src = hadoop_fs(spark, tmp)
+    _, dst = hadoop_fs(spark, f"{base}/_base/upto={upto}")
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.rename(src, dst)
+    for b in _batch_ids(spark, f"{base}/_base", "upto"):
+        if b < upto:
+            delete_path(spark, f"{base}/_base/upto={b}")
+    for b in ch:
+        delete_path(spark, f"{base}/_changes/batch_id={b}")
+    return upto

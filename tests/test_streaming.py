@@ -4,7 +4,7 @@ equality."""
 from pyspark.sql import functions as F
 
 from alpina.streaming.bronze import bronze_stream, run_append, stream_files
-from alpina.streaming.scd1 import read_scd1, start_scd1
+from alpina.streaming.scd1 import compact_scd1, read_scd1, start_scd1
 from alpina.sources.delimited import write_delimited
 
 
@@ -23,6 +23,16 @@ def test_scd1_late_rows_lose_and_nulls_overwrite(spark, scratch):
         start_scd1(s, ["k"], ["seq"], target, ck)
     got = sorted(map(tuple, read_scd1(spark, target, ["k"], ["seq"]).select("k", "seq", "v").collect()))
     assert got == [("a", 2, 1.0), ("b", 3, None), ("c", 1, 7.0)]
+    # compaction folds the change batches into a base without changing the table
+    assert compact_scd1(spark, target, ["k"], ["seq"]) is not None
+    again = sorted(map(tuple, read_scd1(spark, target, ["k"], ["seq"]).select("k", "seq", "v").collect()))
+    assert again == got
+    # a later batch after compaction still upserts on top of the base
+    spark.createDataFrame([("a", 5, 2.0), ("c", 0, 1.0)], schema).write.mode("overwrite").parquet(f"{land}/b9")
+    start_scd1(stream_files(spark, f"{land}/b*", spark.read.parquet(f"{land}/b0").schema, "parquet"),
+               ["k"], ["seq"], target, ck)
+    final = sorted(map(tuple, read_scd1(spark, target, ["k"], ["seq"]).select("k", "seq", "v").collect()))
+    assert final == [("a", 5, 2.0), ("b", 3, None), ("c", 1, 7.0)]
 
 
 def test_rewritten_file_is_ingested_again_under_new_version(spark, scratch):

@@ -99,9 +99,10 @@ def cell_aggregates(px: DataFrame, k: int, keys: tuple[str, ...] = ("tile_id",),
         F.avg("sin_a").alias("eastness"),
         (F.count("z") / F.lit(float(k * k))).alias("valid_share"),
     )
-    checked = agg.withColumn("_n", F.when(
+    # The guard rides on valid_share (always used), so column pruning cannot drop it.
+    checked = agg.withColumn("valid_share", F.when(
         F.col("_n") != k * k,
-        F.raise_error(F.lit(f"raster does not divide into {k}x{k} blocks"))).otherwise(F.col("_n")))
+        F.raise_error(F.lit(f"raster does not divide into {k}x{k} blocks"))).otherwise(F.col("valid_share")))
     north, east = F.col("northness"), F.col("eastness")
     return (checked.where(F.col("valid_share") > 0)
             .withColumn("aspect_mean_deg", F.when(

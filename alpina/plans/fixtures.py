@@ -29,6 +29,15 @@ def events_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per events-raster tile with its west / north edge (derived from the tile id)."""
+    e = table(spark, sf_dir, "events")
+    tile = F.floor(F.col("event_id") / RASTER_PER_TILE).cast("long")
+    t = e.select(tile.alias("tile_id")).distinct()
+    return t.select("tile_id", (F.lit(RASTER_E0) + F.col("tile_id") * (RASTER_W * RASTER_RES)).alias("e_min"),
+                    F.lit(RASTER_N_TOP).alias("n_max"))
+
+
 # SQL twin of events_pixels for the oracles.
 EVENTS_PIXELS_SQL = """
 px AS (

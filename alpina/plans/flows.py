@@ -57,7 +57,10 @@ def weather_bronze(spark: SparkSession, layout_dirs: Sequence[str], bronze_path:
         if len(headers) > 1:
             raise ValueError(f"{d}: several headers; land one layout per folder")
         schema = StructType([StructField(n, StringType()) for n in names])
-        s = bronze_stream(spark, d, schema, "csv", {"header": "true", "sep": sep, "multiLine": "true"},
+        # enforceSchema=false: every file's header is checked against the stream schema, so a
+        # file arriving later with other columns fails loudly instead of binding by position
+        s = bronze_stream(spark, d, schema, "csv",
+                          {"header": "true", "sep": sep, "multiLine": "true", "enforceSchema": "false"},
                           lineage=LINEAGE_PLAIN)
         run_append(s, f"{bronze_path}/layout={i}", f"{checkpoint_root}/bronze_{i}")
 
@@ -136,10 +139,11 @@ def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger
     Writes tile catalog and cells replaced by source file id, appends the ledger, returns the
     one-row control summary."""
     spark = tiles.sparkSession
-    keep = ("tile_id", "year", "e_min", "n_max", "_source_file_id", "_source_file")
-    px = raster_to_pixels(tiles, "z", keep)
-    cells = terrain_cells(px, res, cell_size, keys=("tile_id",), extra=("year", "_source_file_id", "_source_file"))
-    stats = tile_stats(px, keys=("tile_id", "year", "_source_file_id", "_source_file"))
+    px = raster_to_pixels(tiles, "z", ("tile_id",))
+    meta = tiles.select("tile_id", "year", "e_min", "n_max", "_source_file_id", "_source_file")
+    cells = terrain_cells(px, res, cell_size, keys=("tile_id",), extra=("year", "_source_file_id", "_source_file"),
+                          tiles=meta)
+    stats = tile_stats(px, keys=("tile_id",)).join(meta.drop("e_min", "n_max"), "tile_id")
     ids = tiles.select("_source_file_id")
     replace_by_key(stats, f"{work}/tiles", "_source_file_id", ids=ids)
     replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", ids=ids)

@@ -48,3 +48,23 @@ def test_rewritten_file_is_ingested_again_under_new_version(spark, scratch):
     run_append(bronze_stream(spark, root, st, "csv", opts), out, ck)
     got = sorted((r["val"], r["v"]) for r in spark.read.parquet(out).collect())
     assert got == [("x", "1"), ("y", "2")]
+
+
+def test_stream_rejects_file_with_other_header(spark, scratch):
+    """A CSV file stream binds by position; with enforceSchema=false a later file whose
+    header differs fails the stream instead of silently mixing columns."""
+    import os
+    import pytest
+    from alpina.session import local_path
+    from pyspark.sql.types import StringType, StructField, StructType
+    root, out, ck = scratch("hdr_land"), scratch("hdr_out"), scratch("hdr_ck")
+    os.makedirs(local_path(root), exist_ok=True)
+    with open(f"{local_path(root)}/a.csv", "w") as f:
+        f.write("station_abbr;p1\nAAA;1\n")
+    schema = StructType([StructField("station_abbr", StringType()), StructField("p1", StringType())])
+    opts = {"header": "true", "sep": ";", "enforceSchema": "false"}
+    run_append(bronze_stream(spark, root, schema, "csv", opts), out, ck)
+    with open(f"{local_path(root)}/b.csv", "w") as f:
+        f.write("station_abbr;p2\nBBB;2\n")
+    with pytest.raises(Exception):
+        run_append(bronze_stream(spark, root, schema, "csv", opts), out, ck)

@@ -4,8 +4,8 @@
   expectations → SCD type 1 upsert keyed by (station, instant), newest delivery wins.
 * :func:`snow_flow` — optional bronze tables → fixed value columns → union → latest
   ingested row per (station, instant) → full overwrite; stations as latest snapshot.
-* :func:`terrain_flow` — tile rasters → pixels → gradients → cell features → replace by
-  source file → ledger → control summary.
+* :func:`terrain_flow` — tile rasters → gradients → cell features (in-row, no shuffle) →
+  replace by source file → ledger → control summary.
 * :func:`ingest_flow` — listing → change detection against the ledger → all-STRING read →
   cleaned names → lineage → evolving append → ledger.
 """
@@ -28,7 +28,8 @@ from alpina.operators.projection import (
     drop_null_keys, project_dynamic, project_values, station_snapshot_project, union_by_name,
 )
 from alpina.operators.quality import expectation_flags
-from alpina.operators.terrain import raster_to_pixels, terrain_cells, tile_stats
+from alpina.operators.terrain import tile_stats
+from alpina.operators.terrain_tiles import terrain_cells_from_tiles, tile_stats_from_tiles
 from alpina.sinks.ledger import ledger_rows, record_ledger
 from alpina.sinks.tables import append_evolving, overwrite_table, replace_by_key
 from alpina.sources.delimited import header_signatures, read_delimited
@@ -139,11 +140,10 @@ def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger
     Writes tile catalog and cells replaced by source file id, appends the ledger, returns the
     one-row control summary."""
     spark = tiles.sparkSession
-    px = raster_to_pixels(tiles, "z", ("tile_id",))
-    meta = tiles.select("tile_id", "year", "e_min", "n_max", "_source_file_id", "_source_file")
-    cells = terrain_cells(px, res, cell_size, keys=("tile_id",), extra=("year", "_source_file_id", "_source_file"),
-                          tiles=meta)
-    stats = tile_stats(px, keys=("tile_id",)).join(meta.drop("e_min", "n_max"), "tile_id")
+    # tile rows already hold every pixel of a tile: compute in-row, no shuffle
+    extra = ("year", "_source_file_id", "_source_file")
+    cells = terrain_cells_from_tiles(tiles, res, cell_size, keys=("tile_id",), extra=extra)
+    stats = tile_stats_from_tiles(tiles, keys=("tile_id",), extra=extra)
     ids = tiles.select("_source_file_id")
     replace_by_key(stats, f"{work}/tiles", "_source_file_id", ids=ids)
     replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", ids=ids)

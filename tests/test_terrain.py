@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from alpina.operators.terrain import raster_to_pixels, terrain_cells, tile_stats
+from alpina.operators.terrain_tiles import terrain_cells_from_tiles, tile_stats_from_tiles
 
 
 def numpy_cells(z, res, k, left, top):
@@ -56,8 +57,9 @@ def _close(a, b):
     return abs(a - b) <= 1e-9 * max(1.0, abs(a))
 
 
+@pytest.mark.parametrize("path", ["pixels", "tiles"])
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_terrain_matches_numpy(spark, seed):
+def test_terrain_matches_numpy(spark, seed, path):
     rng = np.random.default_rng(seed)
     h, w, res, k = 12, 16, 2.0, 4
     z = rng.normal(1500, 40, size=(h, w)).cumsum(axis=1) / 5
@@ -67,8 +69,12 @@ def test_terrain_matches_numpy(spark, seed):
     tiles = spark.createDataFrame(
         [("t1", left, top, [[None if np.isnan(v) else float(v) for v in row] for row in z])],
         "tile_id string, e_min double, n_max double, z array<array<double>>")
-    px = raster_to_pixels(tiles, "z", ("tile_id", "e_min", "n_max"))
-    cells = {r["cell_id"]: r.asDict() for r in terrain_cells(px, res, int(k * res)).collect()}
+    if path == "pixels":
+        px = raster_to_pixels(tiles, "z", ("tile_id", "e_min", "n_max"))
+        df = terrain_cells(px, res, int(k * res))
+    else:
+        df = terrain_cells_from_tiles(tiles, res, int(k * res))
+    cells = {r["cell_id"]: r.asDict() for r in df.collect()}
     expect = numpy_cells(z, res, k, left, top)
     assert set(cells) == set(expect)
     for cid, e in expect.items():
@@ -103,3 +109,20 @@ def test_single_exchange_in_terrain_plan(spark):
     initial = df._jdf.queryExecution().sparkPlan().toString()
     assert initial.count("Exchange") <= 1, initial
     assert plan
+
+
+def test_tile_path_has_no_exchange_and_matches_tile_stats(spark):
+    z = [[1.0, 2.0, float("nan"), 4.0], [5.0, 6.0, 7.0, 8.0]]
+    tiles = spark.createDataFrame([("t", 0.0, 10.0, z)], "tile_id string, e_min double, n_max double, z array<array<double>>")
+    df = terrain_cells_from_tiles(tiles, 1.0, 2)
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    a = tile_stats_from_tiles(tiles).first().asDict()
+    b = tile_stats(raster_to_pixels(tiles)).first().asDict()
+    assert a == b
+
+
+def test_tile_path_uneven_grid_fails(spark):
+    z = [[float(i + j) for j in range(6)] for i in range(4)]
+    tiles = spark.createDataFrame([("t", 0.0, 100.0, z)], "tile_id string, e_min double, n_max double, z array<array<double>>")
+    with pytest.raises(Exception, match="does not divide"):
+        terrain_cells_from_tiles(tiles, 1.0, 4).collect()

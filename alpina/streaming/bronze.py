@@ -39,14 +39,15 @@ def bronze_stream(spark: SparkSession, glob: str, schema: StructType, fmt: str =
 
 
 def run_append(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
-               available_now: bool = True, name: str | None = None) -> StreamingQuery:
-    """Append sink with a checkpoint; with ``available_now`` it waits until drained."""
+               available_now: bool = True, name: str | None = None, wait: bool = True) -> StreamingQuery:
+    """Append sink with a checkpoint; with ``available_now`` (and ``wait``) it returns once the
+    input present at start is drained."""
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start(out_path)
-    if available_now:
+    if available_now and wait:
         q.awaitTermination()
     return q
 

@@ -112,14 +112,15 @@ def cell_aggregates(px: DataFrame, k: int, keys: tuple[str, ...] = ("tile_id",),
 
 def terrain_cells(pixels: DataFrame, res: float, cell_size: int, keys: tuple[str, ...] = ("tile_id",),
                   left_col: str = "e_min", top_col: str = "n_max", extra: tuple[str, ...] = (),
-                  tiles: DataFrame | None = None, broadcast_rows: int = 5_000_000) -> DataFrame:
+                  tiles: DataFrame | None = None) -> DataFrame:
     """Full chain pixels → gradient → slope/aspect → k×k cells → LV95 cell coordinates.
 
     ``left_col``/``top_col`` are the tile's west and north edges. With ``tiles`` (one row per
     tile: keys, edges and any ``extra`` attributes) the pixel rows only need
     ``keys, row, col, z``: the exchange moves four narrow columns per pixel and the tile
-    attributes are joined at cell level (k² times fewer rows; broadcast only when the tile
-    count is proven small). Without ``tiles`` the edges must be pixel columns and are carried
+    attributes are joined at cell level (k² times fewer rows; AQE turns the join into a
+    broadcast only from the measured size of the tile side). Without ``tiles`` the edges must
+    be pixel columns and are carried
     through the grouping. The cell corner is the tile corner plus whole cells, rounded to metres.
     """
     k = block_size(cell_size, res)
@@ -127,8 +128,6 @@ def terrain_cells(pixels: DataFrame, res: float, cell_size: int, keys: tuple[str
         px = pixels.select(*keys, "row", "col", "z")
         cells = cell_aggregates(with_slope_aspect(grid_gradient(px, res, keys)), k, keys)
         meta = tiles.select(*keys, left_col, top_col, *extra)
-        if meta.limit(broadcast_rows + 1).count() <= broadcast_rows:
-            meta = F.broadcast(meta)
         cells = cells.join(meta, list(keys))
     else:
         px = with_slope_aspect(grid_gradient(pixels, res, keys))

@@ -61,3 +61,27 @@ def test_append_evolving_adds_columns(spark, scratch):
     append_evolving(spark.createDataFrame([(2, "x")], "a long, b string"), p)
     got = sorted(map(tuple, read_evolving(spark, p).select("a", "b").collect()))
     assert got == [(1, None), (2, "x")]
+
+
+def test_ingest_json_quarantines_bad_file_and_fails_at_end(spark, scratch):
+    import os
+    import pytest
+    from alpina.operators.quality import QuarantineError
+    from alpina.plans.flows import ingest_flow
+    from alpina.session import local_path
+    root = scratch("ingest_json")
+    land = local_path(f"{root}/landing/live/date=2024-01-01")
+    os.makedirs(land, exist_ok=True)
+    with open(f"{land}/a.json", "w") as f:
+        f.write('[{"Station Code": "abc", "hs": 1.50, "o": {"x": 1}}, {"Station Code": "def", "hs": null}]')
+    with open(f"{land}/b.json", "w") as f:
+        f.write('[{"Station Code": "ghi", "hs": 2}, {"Station Code": ')
+    target, ledger = f"{root}/bronze", f"{root}/_ledger"
+    with pytest.raises(QuarantineError):
+        ingest_flow(spark, f"{root}/landing", "*.json", target, ledger, "bronze_live", fmt="json")
+    rows = {r["station_code"]: r.asDict() for r in spark.read.parquet(target).collect()}
+    assert set(rows) == {"abc", "def"} and rows["abc"]["hs"] == "1.50"
+    assert rows["abc"]["_source_file"].endswith("a.json")
+    logged = [r["file_name"] for r in spark.read.parquet(ledger).collect()]
+    assert logged == ["a.json"]                      # the rejected file is retried next run
+    assert spark.read.parquet(f"{target}_errors").count() == 1

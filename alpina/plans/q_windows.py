@@ -39,7 +39,8 @@ def q_latest_snapshot(spark: SparkSession, sf: str):
 
 @query("grid_gradient", f"""
 WITH {EVENTS_SLOPE_SQL}
-SELECT tile_id, "row", col, round(dz_de, 6) AS dz_de, round(dz_dn, 6) AS dz_dn FROM g""")
+SELECT tile_id, CAST("row" AS INTEGER) AS "row", CAST(col AS INTEGER) AS col,
+       round(dz_de, 6) AS dz_de, round(dz_dn, 6) AS dz_dn FROM g""")
 def q_grid_gradient(spark: SparkSession, sf: str):
     g = grid_gradient(events_pixels(spark, sf), RASTER_RES)
     return g.select("tile_id", "row", "col", r6("dz_de").alias("dz_de"), r6("dz_dn").alias("dz_dn"))
@@ -47,7 +48,8 @@ def q_grid_gradient(spark: SparkSession, sf: str):
 
 @query("slope_aspect", f"""
 WITH {EVENTS_SLOPE_SQL}
-SELECT tile_id, "row", col, round(slope, 6) AS slope, round(aspect, 6) AS aspect,
+SELECT tile_id, CAST("row" AS INTEGER) AS "row", CAST(col AS INTEGER) AS col,
+       round(slope, 6) AS slope, round(aspect, 6) AS aspect,
        round(cos_a, 6) AS cos_a, round(sin_a, 6) AS sin_a FROM sa""")
 def q_slope_aspect(spark: SparkSession, sf: str):
     s = with_slope_aspect(grid_gradient(events_pixels(spark, sf), RASTER_RES))
@@ -59,7 +61,7 @@ BUDGET, RESERVE = 2_000_000, 500_000
 
 @query("budget_prefix", f"""
 SELECT doc_id, n_chars, running_bytes FROM (
-  SELECT doc_id, n_chars, sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS running_bytes
+  SELECT doc_id, n_chars, CAST(sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_bytes
   FROM documents)
 WHERE running_bytes <= {BUDGET - RESERVE}""")
 def q_budget_prefix(spark: SparkSession, sf: str):

@@ -68,3 +68,34 @@ def test_stream_rejects_file_with_other_header(spark, scratch):
         f.write("station_abbr;p2\nBBB;2\n")
     with pytest.raises(Exception):
         run_append(bronze_stream(spark, root, schema, "csv", opts), out, ck)
+
+
+def test_scd1_stream_equals_batch_for_any_order_and_split(spark, scratch):
+    """SURVEY §5.5/5.6: the streaming upsert equals batch latest-per-key, whatever the arrival
+    order of the rows and however they are split into micro-batches."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    from alpina.operators.dedupe import latest_per_key
+
+    rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5), st.integers(0, 9)),
+                       min_size=1, max_size=12)
+
+    @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows=rows_st, cuts=st.lists(st.integers(1, 11), max_size=3), seed=st.randoms())
+    def check(rows, cuts, seed):
+        schema = "k string, seq long, v long"
+        expected = sorted(map(tuple, latest_per_key(spark.createDataFrame(rows, schema), ["k"], ["seq"]).collect()))
+        shuffled = list(rows)
+        seed.shuffle(shuffled)
+        bounds = sorted({c for c in cuts if c < len(shuffled)})
+        parts = [shuffled[a:b] for a, b in zip([0] + bounds, bounds + [len(shuffled)]) if shuffled[a:b]]
+        land, target, ck = scratch("eq_land"), scratch("eq_target"), scratch("eq_ck")
+        for i, p in enumerate(parts):
+            spark.createDataFrame(p, schema).write.parquet(f"{land}/b{i:02d}")
+        s = stream_files(spark, f"{land}/b*", spark.read.parquet(f"{land}/b00").schema, "parquet",
+                         {"maxFilesPerTrigger": 1})
+        start_scd1(s, ["k"], ["seq"], target, ck)
+        got = sorted(map(tuple, read_scd1(spark, target, ["k"], ["seq"]).select("k", "seq", "v").collect()))
+        assert got == expected
+
+    check()

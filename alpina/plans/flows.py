@@ -32,7 +32,7 @@ from alpina.operators.terrain import tile_stats
 from alpina.operators.terrain_tiles import terrain_cells_from_tiles, tile_stats_from_tiles
 from alpina.sinks.ledger import ledger_rows, record_ledger
 from alpina.sinks.tables import append_evolving, overwrite_table, replace_by_key
-from alpina.sources.delimited import header_signatures, read_delimited
+from alpina.sources.delimited import first_header, read_delimited
 from alpina.sources.files import LINEAGE_PLAIN, LINEAGE_UNDERSCORE, list_files, read_existing, with_lineage
 from alpina.sources.json_text import read_json_strings
 from alpina.streaming.bronze import bronze_stream, run_append
@@ -52,14 +52,10 @@ def weather_bronze(spark: SparkSession, layout_dirs: Sequence[str], bronze_path:
     are independent: all are started, then awaited together."""
     running = []
     for i, d in enumerate(layout_dirs):
-        headers = header_signatures(spark, d, sep, "station_abbr")
-        names: list[str] = []
-        for h in sorted(headers):
-            for n in h.split(sep):
-                if n not in names:
-                    names.append(n)
-        if len(headers) > 1:
-            raise ValueError(f"{d}: several headers; land one layout per folder")
+        # one file's header fixes the layout; the stream checks every other file against it
+        names = first_header(spark, d, sep)
+        if not names:
+            continue
         schema = StructType([StructField(n, StringType()) for n in names])
         # enforceSchema=false: every file's header is checked against the stream schema, so a
         # file arriving later with other columns fails loudly instead of binding by position

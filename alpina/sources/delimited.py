@@ -57,6 +57,20 @@ def header_signatures(spark: SparkSession, paths, sep: str, key_col: str) -> dic
     return groups
 
 
+def first_header(spark: SparkSession, folder: str, sep: str, pattern: str = "*.csv") -> list[str] | None:
+    """Column names from the first line of one file below ``folder`` (listing without content,
+    then one first-split read): O(1) in the data size. For file streams that check every file's
+    header themselves (``enforceSchema=false``)."""
+    from alpina.sources.files import list_files
+    one = list_files(spark, folder, pattern).select("path").limit(1).collect()
+    if not one:
+        return None
+    line = spark.read.text(one[0]["path"]).limit(1).collect()
+    if not line:
+        return None
+    return [c.strip().strip('"').lstrip("\ufeff") for c in line[0]["value"].split(sep)]
+
+
 def _regex_quote(s: str) -> str:
     import re
     return re.escape(s)

@@ -41,10 +41,30 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise IOError(f"rename {src} -> {dst} failed")
 
 
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """If an overwrite died between its two renames, the table folder is missing and its previous
+    version sits next to it as ``<path>.__old_*``: put the newest one back. Returns True if
+    something was restored."""
+    base = path.rstrip("/")
+    if path_exists(spark, base):
+        return False
+    parent, name = base.rsplit("/", 1)
+    olds = sorted(n for n in list_dir(spark, parent) if n.startswith(name + ".__old_"))
+    if not olds:
+        return False
+    fs, _ = hadoop_fs(spark, base)
+    newest = max(olds, key=lambda n: hadoop_fs(spark, f"{parent}/{n}")[0]
+                 .getFileStatus(hadoop_fs(spark, f"{parent}/{n}")[1]).getModificationTime())
+    _rename(spark, f"{parent}/{newest}", base)
+    return True
+
+
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Full rebuild (schema may change), staged so the source may be the table itself.
-    Returns the written row count (from the written files)."""
+    Swap = rename old away, rename stage in, delete old; :func:`recover_table` repairs a swap
+    interrupted between the renames. Returns the written row count (from the written files)."""
     spark = df.sparkSession
+    recover_table(spark, path)
     stage = f"{path.rstrip('/')}.__stage_{uuid.uuid4().hex[:8]}"
     w = df.write.mode("overwrite")
     if partition_by:

@@ -29,14 +29,21 @@ def json_string_schema(spark: SparkSession, paths, multi_line: bool = False,
 
 
 def read_json_strings(spark: SparkSession, paths, multi_line: bool | None = None,
-                      corrupt_col: str | None = None) -> DataFrame:
+                      corrupt_col: str | None = None, keys: list[str] | None = None) -> DataFrame:
     """JSON array **or** NDJSON → all STRING columns; nested objects/arrays kept as JSON text.
 
-    Pass 2 reads with an all-STRING schema: Spark hands a STRING field the raw text of
-    nested values and the source text of scalars (``true``, ``1.50``)."""
+    Pass 1 finds the union of top-level keys (skipped when ``keys`` is given, e.g. from the
+    bronze table's current schema). Pass 2 reads with an all-STRING schema: Spark hands a
+    STRING field the raw source text of nested values and of scalars (``true``, ``1.50``)."""
     p = _paths(paths)
     ml = _is_array_file(spark, p) if multi_line is None else multi_line
-    schema = json_string_schema(spark, p, ml, corrupt_col)
+    if keys is not None:
+        fields = [StructField(k, StringType()) for k in keys]
+        if corrupt_col:
+            fields.append(StructField(corrupt_col, StringType()))
+        schema = StructType(fields)
+    else:
+        schema = json_string_schema(spark, p, ml, corrupt_col)
     r = spark.read.schema(schema).option("multiLine", ml).option("mode", "PERMISSIVE")
     if corrupt_col:
         r = r.option("columnNameOfCorruptRecord", corrupt_col)

@@ -85,3 +85,30 @@ def test_ingest_json_quarantines_bad_file_and_fails_at_end(spark, scratch):
     logged = [r["file_name"] for r in spark.read.parquet(ledger).collect()]
     assert logged == ["a.json"]                      # the rejected file is retried next run
     assert spark.read.parquet(f"{target}_errors").count() == 1
+
+
+def test_overwrite_recovers_interrupted_swap(spark, scratch):
+    from alpina.sinks.tables import recover_table
+    from alpina.session import hadoop_fs
+    p = scratch("swap")
+    spark.range(3).write.parquet(p)
+    fs, src = hadoop_fs(spark, p)
+    _, dst = hadoop_fs(spark, p + ".__old_deadbeef")
+    fs.rename(src, dst)                      # crash after "rename old away"
+    assert recover_table(spark, p)
+    assert spark.read.parquet(p).count() == 3
+    assert overwrite_table(spark.read.parquet(p).where("id > 0"), p) == 2
+
+
+def test_json_known_keys_single_pass(spark, scratch):
+    import os
+    from alpina.session import local_path
+    from alpina.sources.json_text import read_json_strings
+    root = scratch("jk")
+    os.makedirs(local_path(root), exist_ok=True)
+    with open(local_path(root) + "/a.json", "w") as f:
+        f.write('{"a": 1, "b": {"x": true}}\n{"a": 2}\n')
+    df = read_json_strings(spark, root, multi_line=False, keys=["a", "b", "c"])
+    got = sorted((r["a"], r["b"], r["c"]) for r in df.collect())
+    assert got[0][0] == "1" and got[0][1].replace(" ", "") == '{"x":true}' and got[0][2] is None
+    assert got[1] == ("2", None, None)

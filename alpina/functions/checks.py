@@ -16,11 +16,11 @@ def verify_checksum(content, checksum) -> Column:
     content, checksum = _col(content), _col(checksum)
     digest = F.sha2(content, 256)
     ck = F.lower(checksum)
-    return F.when(ck.startswith("1220"), digest == F.substring(ck, 5, 64))
+    n = len(SHA256_MULTIHASH_PREFIX)
+    return F.when(ck.startswith(SHA256_MULTIHASH_PREFIX), digest == F.substring(ck, n + 1, 64))
 
 
-# TIFF / BigTIFF byte-order signatures (little and big endian).
-TIFF_MAGIC_HEX = ("49492A00", "4D4D002A", "49492B00", "4D4D002B")
+from alpina.fixed_values import SHA256_MULTIHASH_PREFIX, TIFF_MAGIC_HEX  # noqa: E402
 
 
 def sniff_magic(content, magics_hex=TIFF_MAGIC_HEX) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from alpina.fixed_values import MIN_SLOPE_FOR_ASPECT_DEG
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,7 +25,7 @@ def grid_cell(e, n, size: int) -> dict[str, Column]:
     }
 
 
-def slope_aspect(dz_de, dz_dn, min_slope_deg: float = 1.0) -> dict[str, Column]:
+def slope_aspect(dz_de, dz_dn, min_slope_deg: float = MIN_SLOPE_FOR_ASPECT_DEG) -> dict[str, Column]:
     """Slope in degrees, aspect in degrees (0 = N, 90 = E, direction of steepest descent),
     and the aspect's cos / sin components, NULL where the slope is below ``min_slope_deg``."""
     de, dn = _col(dz_de), _col(dz_dn)

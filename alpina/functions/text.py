@@ -16,12 +16,7 @@ def normalize_key(c, trim: bool = True) -> Column:
     return F.upper(F.trim(c)) if trim else F.upper(c)
 
 
-# Fixed value: weather asset file names, ogd-smn_<station>_<gran>[_<period>][_<y1>-<y2>].csv
-ASSET_NAME_PATTERN = (
-    r"^ogd-smn_([a-z0-9]+)_([tdhmy])(?:_(historical|recent|now))?(?:_(\d{4})-(\d{4}))?\.csv$"
-)
-# Fixed value: elevation tile file names, swissalti3d_<year>_<E km>-<N km>_<res>_2056_<n>.tif
-TILE_NAME_PATTERN = r"swissalti3d_(\d{4})_(\d{4})-(\d{4})_([\d.]+)_2056_\d+\.tif$"
+from alpina.fixed_values import ASSET_NAME_PATTERN, TILE_NAME_PATTERN  # noqa: E402
 
 
 def _group(c: Column, pattern: str, i: int) -> Column:

@@ -5,17 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must match the source formats.
-# Weather CSV instants, e.g. "01.01.2025 00:00" (UTC).
-WEATHER_TS_FORMAT = "dd.MM.yyyy HH:mm"
-# Snow measurement instants, tried in this order; the first that parses wins.
-SNOW_TS_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ssX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSX",
-    "yyyy-MM-dd HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-)
+from alpina.fixed_values import SNOW_TS_FORMATS, WEATHER_TS_FORMAT  # noqa: E402
 
 
 def _col(c) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alpina.fixed_values import STATION_COLS
 from alpina.functions.casts import cast_double_try
 
 
@@ -80,14 +81,15 @@ def union_by_name(frames: Sequence[DataFrame], allow_missing: bool = False) -> D
 def station_snapshot_project(df: DataFrame, snapshot_col: str = "_ingested_at") -> DataFrame:
     """Station snapshot → silver station row: ``code`` upper-cased as ``station_code``,
     coordinates/elevation try-cast to DOUBLE, ingestion time as ``_snapshot_at``."""
+    code, label, lon, lat, elevation, country, canton, kind = STATION_COLS
     return df.select(
-        F.upper(F.col("code")).alias("station_code"),
-        "label",
-        cast_double_try("lon").alias("lon"),
-        cast_double_try("lat").alias("lat"),
-        cast_double_try("elevation").alias("elevation"),
-        "country_code",
-        "canton_code",
-        "type",
+        F.upper(F.col(code)).alias("station_code"),
+        label,
+        cast_double_try(lon).alias(lon),
+        cast_double_try(lat).alias(lat),
+        cast_double_try(elevation).alias(elevation),
+        country,
+        canton,
+        kind,
         F.col(snapshot_col).alias("_snapshot_at"),
     )

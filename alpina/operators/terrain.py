@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from alpina.fixed_values import MIN_RESULTANT, MIN_SLOPE_FOR_ASPECT_DEG, SLOPE_PERCENTILE, STEEP_BAND_DEG
 from alpina.functions.geo import slope_aspect
 
 
@@ -50,7 +51,7 @@ def grid_gradient(pixels: DataFrame, res: float, keys: tuple[str, ...] = ("tile_
               .withColumn("dz_dn", -_axis_gradient(z, w_col, "row", res)))
 
 
-def with_slope_aspect(grad: DataFrame, min_slope_deg: float = 1.0) -> DataFrame:
+def with_slope_aspect(grad: DataFrame, min_slope_deg: float = MIN_SLOPE_FOR_ASPECT_DEG) -> DataFrame:
     sa = slope_aspect("dz_de", "dz_dn", min_slope_deg)
     return grad.select("*", *[c.alias(n) for n, c in sa.items()])
 
@@ -82,6 +83,7 @@ def cell_aggregates(px: DataFrame, k: int, keys: tuple[str, ...] = ("tile_id",),
     Cells without a valid elevation pixel are dropped; an uneven grid (a block with fewer than
     k² pixels) fails the query."""
     s = F.col("slope")
+    lo, hi = STEEP_BAND_DEG
     g = px.groupBy(*keys, *carry, F.floor(F.col("row") / k).alias("cell_row"),
                    F.floor(F.col("col") / k).alias("cell_col"))
     agg = g.agg(
@@ -91,10 +93,10 @@ def cell_aggregates(px: DataFrame, k: int, keys: tuple[str, ...] = ("tile_id",),
         F.max("z").alias("elev_max"),
         F.stddev_pop("z").alias("elev_std"),
         F.avg(s).alias("slope_mean"),
-        F.percentile(s, F.lit(0.9)).alias("slope_p90"),
+        F.percentile(s, F.lit(SLOPE_PERCENTILE)).alias("slope_p90"),
         F.max(s).alias("slope_max"),
-        F.try_divide(F.count_if((s >= 30) & (s <= 45)), F.count(s)).alias("share_slope_30_45"),
-        F.try_divide(F.count_if(s >= 30), F.count(s)).alias("share_slope_ge_30"),
+        F.try_divide(F.count_if((s >= lo) & (s <= hi)), F.count(s)).alias("share_slope_30_45"),
+        F.try_divide(F.count_if(s >= lo), F.count(s)).alias("share_slope_ge_30"),
         F.avg("cos_a").alias("northness"),
         F.avg("sin_a").alias("eastness"),
         (F.count("z") / F.lit(float(k * k))).alias("valid_share"),
@@ -106,7 +108,7 @@ def cell_aggregates(px: DataFrame, k: int, keys: tuple[str, ...] = ("tile_id",),
     north, east = F.col("northness"), F.col("eastness")
     return (checked.where(F.col("valid_share") > 0)
             .withColumn("aspect_mean_deg", F.when(
-                F.hypot(north, east) > 0.05, F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))))
+                F.hypot(north, east) > MIN_RESULTANT, F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))))
             .drop("_n"))
 
 

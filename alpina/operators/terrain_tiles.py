@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alpina.fixed_values import MIN_RESULTANT, MIN_SLOPE_FOR_ASPECT_DEG, SLOPE_PERCENTILE, STEEP_BAND_DEG
 from alpina.operators.terrain import block_size
 
 _ND = "CAST(NULL AS DOUBLE)"
@@ -46,8 +47,8 @@ def _pixel_struct(res: float) -> str:
     angles = ("named_struct('z', g.z, 'slope', degrees(atan(hypot(g.de, g.dn))), "
               "'aspect', pmod(degrees(atan2(-g.de, -g.dn)), 360D))")
     final = ("named_struct('z', h.z, 'slope', h.slope, "
-             "'cos_a', CASE WHEN h.slope >= 1D THEN cos(radians(h.aspect)) END, "
-             "'sin_a', CASE WHEN h.slope >= 1D THEN sin(radians(h.aspect)) END)")
+             f"'cos_a', CASE WHEN h.slope >= {MIN_SLOPE_FOR_ASPECT_DEG!r}D THEN cos(radians(h.aspect)) END, "
+             f"'sin_a', CASE WHEN h.slope >= {MIN_SLOPE_FOR_ASPECT_DEG!r}D THEN sin(radians(h.aspect)) END)")
     return (f"transform(z, (r, i) -> transform(r, (x, j) -> "
             f"transform(transform(array({grad}), g -> {angles}), h -> {final})[0]))")
 
@@ -95,11 +96,12 @@ def terrain_cells_from_tiles(tiles: DataFrame, res: float, cell_size: int, keys:
         "'m2', a.m2 + (x - a.mean) * (x - (a.mean + (x - a.mean) / (a.n + 1)))))")
     cells = _bind(cells, "m", moments)
     nz, ns = F.size("b.zs"), F.size("b.ss")
+    band_lo, band_hi = STEEP_BAND_DEG
 
     def mean_of(arr: str):
         return F.expr(f"CASE WHEN size({arr}) > 0 THEN aggregate({arr}, 0D, (a, x) -> a + x) / size({arr}) END")
 
-    pos = F.lit(0.9) * (ns - 1)
+    pos = F.lit(SLOPE_PERCENTILE) * (ns - 1)
     lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
     lo_v, hi_v = F.col("b.ss")[lo], F.col("b.ss")[hi]
     p90 = (F.when(ns == 0, F.lit(None).cast("double"))
@@ -114,15 +116,16 @@ def terrain_cells_from_tiles(tiles: DataFrame, res: float, cell_size: int, keys:
         mean_of("b.ss").alias("slope_mean"),
         p90.alias("slope_p90"),
         F.array_max("b.ss").alias("slope_max"),
-        F.when(ns > 0, F.size(F.expr("filter(b.ss, x -> x >= 30D AND x <= 45D)")) / ns).alias("share_slope_30_45"),
-        F.when(ns > 0, F.size(F.expr("filter(b.ss, x -> x >= 30D)")) / ns).alias("share_slope_ge_30"),
+        F.when(ns > 0, F.size(F.expr(f"filter(b.ss, x -> x >= {band_lo!r}D AND x <= {band_hi!r}D)")) / ns)
+        .alias("share_slope_30_45"),
+        F.when(ns > 0, F.size(F.expr(f"filter(b.ss, x -> x >= {band_lo!r}D)")) / ns).alias("share_slope_ge_30"),
         mean_of("b.cs").alias("northness"),
         mean_of("b.sn").alias("eastness"),
         (nz / F.lit(float(k * k))).alias("valid_share"),
     )
     north, east = F.col("northness"), F.col("eastness")
     out = out.withColumn("aspect_mean_deg", F.when(
-        F.hypot(north, east) > 0.05, F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))))
+        F.hypot(north, east) > MIN_RESULTANT, F.pmod(F.degrees(F.atan2(east, north)), F.lit(360.0))))
     ce = F.round(F.col(left_col) + F.col("cell_col") * cell_size).cast("int")
     cn = F.round(F.col(top_col) - (F.col("cell_row") + 1) * cell_size).cast("int")
     return (out.withColumn("cell_e", ce).withColumn("cell_n", cn)

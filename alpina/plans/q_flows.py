@@ -71,14 +71,14 @@ def q_snow_silver(spark: SparkSession, sf: str):
         station.alias("station_code"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("measure_date"),
         (F.col("value") * 2).cast("string").alias("hs"), F.lit("n/a").alias("rh_30min_mean"),
         F.lit("live").alias("_source_file"), F.to_timestamp(F.lit("2024-02-02 00:00:00")).alias("_ingested_at"))
-    for n in ("bronze_imis_history_precipitation", "bronze_imis_live_precipitation",
-              "bronze_imis_history_daily_snow", "bronze_imis_live_daily_snow", "bronze_imis_live_stations"):
+    for n in ("bronze_snow_history_precipitation", "bronze_snow_live_precipitation",
+              "bronze_snow_history_daily", "bronze_snow_live_daily", "bronze_snow_live_stations"):
         spark.catalog.dropTempView(n)
-    hist.createOrReplaceTempView("bronze_imis_history_measurements")
-    live.createOrReplaceTempView("bronze_imis_live_measurements")
+    hist.createOrReplaceTempView("bronze_snow_history_measurements")
+    live.createOrReplaceTempView("bronze_snow_live_measurements")
     root = scratch_path(spark, "snow_silver")
     snow_flow(spark, root)
-    s = spark.read.parquet(f"{root}/silver_imis_measurements")
+    s = spark.read.parquet(f"{root}/silver_snow_measurements")
     return s.select("station_code", ts_text("measure_date").alias("measure_date"), r6("hs").alias("hs"),
                     "ta_30min_mean", "rh_30min_mean", "_source_file")
 

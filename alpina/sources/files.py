@@ -45,9 +45,7 @@ def read_binary(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
                      "content")
 
 
-# Fixed value: lineage column names of the two bronze conventions.
-LINEAGE_UNDERSCORE = ("_source_file", "_source_modified_at", "_ingested_at")
-LINEAGE_PLAIN = ("source_file", "source_modified_at", "_ingested_at")
+from alpina.fixed_values import LINEAGE_PLAIN, LINEAGE_UNDERSCORE  # noqa: E402,F401
 
 
 def with_lineage(df: DataFrame, names: Sequence[str] = LINEAGE_UNDERSCORE) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alpina.functions.text import TILE_NAME_PATTERN
+from alpina.fixed_values import ASSET_FIELDS, TILE_NAME_PATTERN
 from alpina.operators.dedupe import distinct_first
 
 
@@ -46,8 +46,8 @@ def extract_links(df: DataFrame, html_col: str, base_col: str, ext: str | None =
             .orderBy(*key_cols, "link"))
 
 
-# Fixed value: catalog item asset fields.
-ASSET_SCHEMA = "struct<assets: map<string, struct<href: string, `file:checksum`: string, updated: string>>>"
+ASSET_SCHEMA = ("struct<assets: map<string, struct<"
+                + ", ".join(f"`{f}`: string" for f in ASSET_FIELDS) + ">>>")
 PAGE_SCHEMA = "struct<features: array<struct<id: string>>, links: array<struct<rel: string, href: string>>>"
 
 

@@ -94,12 +94,12 @@ def test_list_files_glob_on_base_name(spark, scratch):
 
 def test_extract_links_direct_children_with_extension(spark):
     html = ('<a href="a.csv">a</a> <A HREF="B.CSV">b</A> <a href="sub/c.csv">c</a> '
-            '<a href="/imis/data/d.csv">d</a> <a href="https://other/x.csv">x</a> <a href="e.txt">e</a>'
+            '<a href="/archive/data/d.csv">d</a> <a href="https://other/x.csv">x</a> <a href="e.txt">e</a>'
             '<a href="a.csv">dup</a>')
-    df = spark.createDataFrame([(html, "https://m.example/imis/data/")], "html string, base string")
+    df = spark.createDataFrame([(html, "https://m.example/archive/data/")], "html string, base string")
     got = [r["link"] for r in extract_links(df, "html", "base", ext="csv").collect()]
-    assert got == ["https://m.example/imis/data/B.CSV", "https://m.example/imis/data/a.csv",
-                   "https://m.example/imis/data/d.csv"]
+    assert got == ["https://m.example/archive/data/B.CSV", "https://m.example/archive/data/a.csv",
+                   "https://m.example/archive/data/d.csv"]
 
 
 def test_parse_url_list_first_occurrence(spark):

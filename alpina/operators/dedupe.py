@@ -19,13 +19,20 @@ def _c(c) -> Column:
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence, biggest: bool,
           tiebreak: Sequence | None) -> DataFrame:
+    """One ``max``/``min`` over a single struct ``(order…, tiebreak…, row…)``: each column is
+    carried once (a ``max_by(row, rank)`` buffer would hold the row twice when the rank is the
+    row), halving what the partial aggregates shuffle. The trailing row fields also make the
+    pick deterministic on ties."""
     cols = df.columns
-    payload = F.struct(*[F.col(f"`{c}`") for c in cols])
-    tb = list(tiebreak) if tiebreak is not None else [F.col(f"`{c}`") for c in cols if c not in keys]
-    rank = F.struct(*[_c(o) for o in order], *[_c(t) for t in tb])
-    agg = F.max_by(payload, rank) if biggest else F.min_by(payload, rank)
-    out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(agg.alias("_w"))
-    return out.select(*[F.col("_w").getField(c).alias(c) for c in cols])
+    rest = [c for c in cols if c not in keys]
+    fields = [_c(o).alias(f"_o{i}") for i, o in enumerate(order)]
+    fields += [_c(t).alias(f"_t{i}") for i, t in enumerate(tiebreak or [])]
+    fields += [F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(rest)]
+    pick = (F.max if biggest else F.min)(F.struct(*fields))
+    out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias("_w"))
+    pos = {c: i for i, c in enumerate(rest)}
+    return out.select(*[F.col(f"`{c}`") if c in keys else F.col("_w").getField(f"_p{pos[c]}").alias(c)
+                        for c in cols])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, *,
@@ -33,7 +40,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, *,
     """One row per key: the row with the greatest ``order`` (descending, NULLs lose).
 
     Rows with a NULL key are removed first (``drop_null_keys``). Ties on ``order`` are broken by
-    ``tiebreak`` (default: every other column), all descending, so the result is deterministic."""
+    ``tiebreak``, then by the other columns in table order, all descending, so the result is
+    deterministic."""
     if drop_null_keys:
         cond = F.lit(True)
         for k in keys:

@@ -113,7 +113,7 @@ WITH pts AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
          CAST(floor(l_extendedprice / 1000) * 1000 AS BIGINT) AS cell_e,
          CAST(floor(l_quantity * 100 / 1000) * 1000 AS BIGINT) AS cell_n
-  FROM lineitem WHERE l_returnflag = 'A'),
+  FROM lineitem),
 cells AS (
   SELECT CAST(floor(l_extendedprice / 1000) * 1000 AS BIGINT) AS cell_e,
          CAST(floor(l_quantity * 100 / 1000) * 1000 AS BIGINT) AS cell_n,
@@ -124,7 +124,7 @@ FROM pts p JOIN cells c ON p.cell_e = c.cell_e AND p.cell_n = c.cell_n""")
 def q_point_grid_join(spark: SparkSession, sf: str):
     li = table(spark, sf, "lineitem")
     g = grid_cell(F.col("l_extendedprice"), F.col("l_quantity") * 100, 1000)
-    pts = li.where(F.col("l_returnflag") == "A").select(
+    pts = li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", g["cell_e"].alias("cell_e"), g["cell_n"].alias("cell_n"))
     cells = li.groupBy(g["cell_e"].alias("cell_e"), g["cell_n"].alias("cell_n")).agg(
         F.count(F.lit(1)).alias("cell_rows"), F.round(F.avg("l_discount"), 6).alias("cell_discount"))

@@ -25,12 +25,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def scd1_latest(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """Streaming aggregate: winner per key by (sequence…, then the whole row) descending."""
-    cols = stream.columns
-    payload = F.struct(*[F.col(f"`{c}`") for c in cols])
-    rank = F.struct(*[F.col(s) for s in sequence], *[F.col(f"`{c}`") for c in cols if c not in keys])
-    agg = stream.groupBy(*keys).agg(F.max_by(payload, rank).alias("_w"))
-    return agg.select(*[F.col("_w").getField(c).alias(c) for c in cols])
+    """Streaming aggregate: winner per key by (sequence…, then the whole row) descending. One
+    ``max`` over ``struct(sequence…, row…)`` keeps each column once in the state."""
+    return latest_per_key(stream, keys, [F.col(s) for s in sequence], drop_null_keys=False)
 
 
 def _writer(target: str):

@@ -114,7 +114,7 @@ def cell_aggregates(px: DataFrame, k: int, keys: tuple[str, ...] = ("tile_id",),
 
 def terrain_cells(pixels: DataFrame, res: float, cell_size: int, keys: tuple[str, ...] = ("tile_id",),
                   left_col: str = "e_min", top_col: str = "n_max", extra: tuple[str, ...] = (),
-                  tiles: DataFrame | None = None) -> DataFrame:
+                  tiles: DataFrame | None = None, corners: tuple | None = None) -> DataFrame:
     """Full chain pixels → gradient → slope/aspect → k×k cells → LV95 cell coordinates.
 
     ``left_col``/``top_col`` are the tile's west and north edges. With ``tiles`` (one row per
@@ -123,10 +123,16 @@ def terrain_cells(pixels: DataFrame, res: float, cell_size: int, keys: tuple[str
     attributes are joined at cell level (k² times fewer rows; AQE turns the join into a
     broadcast only from the measured size of the tile side). Without ``tiles`` the edges must
     be pixel columns and are carried
-    through the grouping. The cell corner is the tile corner plus whole cells, rounded to metres.
+    through the grouping. With ``corners`` — a pair of Column expressions of the key columns
+    giving (west, north) — nothing but ``keys, row, col, z`` is needed at all. The cell corner is
+    the tile corner plus whole cells, rounded to metres.
     """
     k = block_size(cell_size, res)
-    if tiles is not None:
+    if corners is not None:
+        px = pixels.select(*keys, "row", "col", "z")
+        cells = cell_aggregates(with_slope_aspect(grid_gradient(px, res, keys)), k, keys)
+        cells = cells.withColumn(left_col, corners[0]).withColumn(top_col, corners[1])
+    elif tiles is not None:
         px = pixels.select(*keys, "row", "col", "z")
         cells = cell_aggregates(with_slope_aspect(grid_gradient(px, res, keys)), k, keys)
         meta = tiles.select(*keys, left_col, top_col, *extra)

@@ -29,6 +29,11 @@ def events_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_tile_corners():
+    """(west, north) edges of an events-raster tile as expressions of ``tile_id``."""
+    return (F.lit(RASTER_E0) + F.col("tile_id") * (RASTER_W * RASTER_RES), F.lit(RASTER_N_TOP))
+
+
 def events_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per events-raster tile with its west / north edge (derived from the tile id)."""
     e = table(spark, sf_dir, "events")

@@ -34,16 +34,20 @@ def resolve_url(href, base) -> Column:
 def extract_links(df: DataFrame, html_col: str, base_col: str, ext: str | None = None,
                   key_cols: tuple[str, ...] = ()) -> DataFrame:
     """HTML listing → distinct absolute links that are **direct children** of the base folder,
-    optionally ending in ``.<ext>`` (case-insensitive), sorted."""
-    hrefs = df.select(*key_cols, F.col(base_col).alias("base"),
-                      F.explode(F.regexp_extract_all(F.col(html_col), F.lit(r'(?i)href="([^"]+)"'), F.lit(1)))
-                      .alias("href"))
+    optionally ending in ``.<ext>`` (case-insensitive), sorted per listing.
+
+    Every link of a listing comes from its one HTML row, so extraction, resolution, the
+    direct-child test, de-duplication and sorting all run inside the row (array functions):
+    no shuffle. One output row per (listing keys, link), exploded in sorted order."""
+    hrefs = F.regexp_extract_all(F.col(html_col), F.lit(r'(?i)href="([^"]+)"'), F.lit(1))
     if ext:
-        hrefs = hrefs.where(F.lower("href").endswith("." + ext.lower()))
-    links = hrefs.select(*key_cols, "base", resolve_url("href", "base").alias("link"))
-    parent = F.regexp_extract("link", r"^(.*/)[^/]*$", 1)
-    return (links.where(parent == F.col("base")).select(*key_cols, "link").distinct()
-            .orderBy(*key_cols, "link"))
+        suffix = "." + ext.lower()
+        hrefs = F.filter(hrefs, lambda h: F.lower(h).endswith(suffix))
+    base = F.col(base_col)
+    links = F.transform(hrefs, lambda h: resolve_url(h, base))
+    children = F.filter(links, lambda u: F.regexp_extract(u, r"^(.*/)[^/]*$", 1) == base)
+    ordered = F.array_sort(F.array_distinct(children))
+    return df.select(*key_cols, F.explode(ordered).alias("link"))
 
 
 ASSET_SCHEMA = ("struct<assets: map<string, struct<"

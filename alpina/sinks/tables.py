@@ -124,6 +124,13 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None
     bucketed.hint("rebalance", bucket_col).write.partitionBy(bucket_col).parquet(stage)
     staged = spark.read.schema(bucketed.schema).parquet(stage)
     staged_buckets = {int(n.split("=", 1)[1]) for n in list_dir(spark, stage) if n.startswith(bucket_col + "=")}
+    if not path_exists(spark, path):
+        if staged_buckets:
+            _rename(spark, stage, path)
+            write_text_file(spark, f"{base}/{BUCKETS_MARKER}", str(buckets))
+        else:
+            delete_path(spark, stage)
+        return
     if ids is None:
         if not staged_buckets:  # empty batch, no ids: nothing to replace
             delete_path(spark, stage)
@@ -137,13 +144,6 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None
         affected = {r["b"] for r in per_bucket} | staged_buckets
         if sum(r["count"] for r in per_bucket) <= 1_000_000:
             id_frame = F.broadcast(id_frame)
-    if not path_exists(spark, path):
-        if staged_buckets:
-            _rename(spark, stage, path)
-            write_text_file(spark, f"{base}/{BUCKETS_MARKER}", str(buckets))
-        else:
-            delete_path(spark, stage)
-        return
     current = spark.read.parquet(path).where(F.col(bucket_col).isin(sorted(affected)))
     kept = current.join(id_frame, current[id_col] == F.col("_bid"), "left_anti")
     at_risk = sorted(affected - staged_buckets)

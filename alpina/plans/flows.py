@@ -198,16 +198,18 @@ def ingest_flow(spark: SparkSession, landing: str, pattern: str, target: str, le
     if not paths:
         return spark.createDataFrame([], "file_id string")
     raw, errors = _read_landed(spark, paths, fmt, sep, scratch_path(spark, "ingest_stage"))
-    loaded = clean_columns(raw).select("*", F.current_timestamp().alias("_ingested_at"))
+    # one ingestion instant per run (as one write job has one): it also identifies this run's rows
+    run_ts = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
+    loaded = clean_columns(raw).select("*", F.lit(run_ts).cast("timestamp").alias("_ingested_at"))
     append_evolving(loaded, target)
     bad = [] if errors is None else [r["file"] for r in errors.select("file").collect()]  # rejected files only
     if bad:
         errors.write.mode("append").parquet(f"{target.rstrip('/')}_errors")
     ok = todo.where(~F.col("file_path").isin(bad)) if bad else todo
-    written = spark.read.option("mergeSchema", True).parquet(target)
-    counts = written.join(F.broadcast(ok.select(F.col("file_path").alias("_p"))),
-                          written["_source_file"] == F.col("_p"), "left_semi")
-    rows = ledger_rows(ok, counts.select(F.col("_source_file").alias("_source_file_id")), target_name)
+    # rows per file of this run only: min/max statistics on _ingested_at skip older row groups
+    this_run = (spark.read.parquet(target).where(F.col("_ingested_at") == F.lit(run_ts).cast("timestamp"))
+                .select(F.col("_source_file").alias("_source_file_id")))
+    rows = ledger_rows(ok, this_run, target_name)
     record_ledger(rows, ledger_path)
     if bad and raise_on_errors:
         raise QuarantineError(f"{len(bad)} file(s) rejected: {bad[:5]}")

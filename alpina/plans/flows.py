@@ -35,7 +35,7 @@ from alpina.operators.terrain import tile_stats
 from alpina.operators.terrain_tiles import terrain_cells_from_tiles, tile_stats_from_tiles
 from alpina.sinks.ledger import ledger_rows, record_ledger
 from alpina.sinks.tables import append_evolving, overwrite_table, replace_by_key
-from alpina.sources.delimited import first_header, read_delimited
+from alpina.sources.delimited import first_header, read_delimited, read_delimited_union
 from alpina.sources.files import LINEAGE_PLAIN, LINEAGE_UNDERSCORE, list_files, read_existing, with_lineage
 from alpina.sources.json_text import read_json_strings
 from alpina.streaming.bronze import bronze_stream, run_append
@@ -170,7 +170,8 @@ def _read_landed(spark: SparkSession, paths: list[str], fmt: str, sep: str, stag
     all-STRING bronze; parquet keeps its types. JSON files with corrupt records are rejected
     whole (quarantine); lineage is attached before the parse is staged."""
     if fmt == "csv":
-        return _lineage(read_delimited(spark, paths, sep=sep)), None
+        # files may differ in their headers: bind columns by name, one read per header
+        return read_delimited_union(spark, paths, sep=sep, lineage=("_source_file", "_source_modified_at")), None
     if fmt == "json":
         parsed = _lineage(read_json_strings(spark, paths, corrupt_col="_corrupt_record"))
         return split_corrupt_files(parsed, stage)

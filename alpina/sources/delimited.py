@@ -42,13 +42,22 @@ def read_charset_csv(spark: SparkSession, paths, sep: str = ";", encoding: str =
     return csv_reader(spark, sep, encoding).csv(_paths(paths))
 
 
-def header_signatures(spark: SparkSession, paths, sep: str, key_col: str) -> dict[str, list[str]]:
-    """header line → files having it. Header lines are those whose first field is the key
-    column. Only distinct (header, file) pairs reach the driver: bounded by the file count,
-    which the file index already holds on the driver."""
+def header_signatures(spark: SparkSession, paths, sep: str, key_col: str | None = None) -> dict[str, list[str]]:
+    """header line → files having it. With ``key_col``, header lines are those whose first
+    field is the key column; without, a file's header is its first line: the smallest
+    ``monotonically_increasing_id`` among its block-0 lines (ids grow in read order within a
+    partition, and a split is read front to back). Only distinct (header, file) pairs reach the
+    driver: bounded by the file count, which the file index already holds on the driver."""
     lines = spark.read.text(_paths(paths)).select(
         F.col("value"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("blk"))
+    if key_col is None:
+        first_lines = (lines.where(F.col("blk") == 0).withColumn("_i", F.monotonically_increasing_id())
+                       .groupBy("file").agg(F.min_by("value", "_i").alias("value")))
+        groups: dict[str, list[str]] = {}
+        for r in first_lines.collect():
+            groups.setdefault(r["value"], []).append(r["file"])
+        return groups
     first = F.regexp_replace(F.split(F.col("value"), _regex_quote(sep)).getItem(0), r'^﻿?"?|"$', "")
     hdr = lines.where((F.col("blk") == 0) & (first == F.lit(key_col)))
     groups: dict[str, list[str]] = {}
@@ -76,16 +85,21 @@ def _regex_quote(s: str) -> str:
     return re.escape(s)
 
 
-def read_delimited_union(spark: SparkSession, paths, sep: str, key_col: str,
-                         encoding: str | None = None) -> DataFrame:
+def read_delimited_union(spark: SparkSession, paths, sep: str, key_col: str | None = None,
+                         encoding: str | None = None, lineage: tuple[str, str] | None = None) -> DataFrame:
     """Files with **different headers** → union of their columns by name, absent = NULL.
 
     The CSV reader binds columns by position, so one read per distinct header is made and the
-    reads are unioned by name (one read per header, not per file)."""
+    reads are unioned by name (one read per header, not per file). ``lineage`` names the
+    (source file, modification time) columns to attach."""
     groups = header_signatures(spark, paths, sep, key_col)
     if not groups:
-        raise ValueError(f"no file with a header starting with {key_col!r} under {paths}")
+        raise ValueError(f"no header found under {paths} (key column {key_col!r})")
     frames = [csv_reader(spark, sep, encoding).csv(sorted(files)) for _, files in sorted(groups.items())]
+    if lineage:  # file metadata is only resolvable on each scan, before the union
+        f, m = lineage
+        frames = [fr.select("*", F.col("_metadata.file_path").alias(f),
+                            F.col("_metadata.file_modification_time").alias(m)) for fr in frames]
     return union_by_name(frames, allow_missing=True)
 
 

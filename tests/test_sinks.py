@@ -112,3 +112,27 @@ def test_json_known_keys_single_pass(spark, scratch):
     got = sorted((r["a"], r["b"], r["c"]) for r in df.collect())
     assert got[0][0] == "1" and got[0][1].replace(" ", "") == '{"x":true}' and got[0][2] is None
     assert got[1] == ("2", None, None)
+
+
+def test_ingest_csv_binds_columns_by_name_across_headers(spark, scratch):
+    import os
+    from alpina.plans.flows import ingest_flow
+    from alpina.session import local_path
+    root = scratch("ingest_csv")
+    land = local_path(f"{root}/landing")
+    os.makedirs(land, exist_ok=True)
+    with open(f"{land}/a.csv", "w") as f:
+        f.write("Station,HS,TA\nabc,1,2\n")
+    with open(f"{land}/b.csv", "w") as f:
+        f.write("TA,Station,RR\n7,def,9\n")
+    with open(f"{land}/c.csv", "w") as f:
+        f.write("Station,HS,TA\n")               # header only: a file with 0 rows
+    target, ledger = f"{root}/bronze", f"{root}/_ledger"
+    ingest_flow(spark, f"{root}/landing", "*.csv", target, ledger, "bronze_csv")
+    rows = {r["station"]: r.asDict() for r in spark.read.option("mergeSchema", True).parquet(target).collect()}
+    assert (rows["abc"]["hs"], rows["abc"]["ta"], rows["abc"]["rr"]) == ("1", "2", None)
+    assert (rows["def"]["hs"], rows["def"]["ta"], rows["def"]["rr"]) == (None, "7", "9")
+    counts = {r["file_name"]: r["row_count"] for r in spark.read.parquet(ledger).collect()}
+    assert counts == {"a.csv": 1, "b.csv": 1, "c.csv": 0}
+    # a second run finds nothing new
+    assert ingest_flow(spark, f"{root}/landing", "*.csv", target, ledger, "bronze_csv").count() == 0

@@ -119,3 +119,22 @@ def test_lineage_columns(spark, scratch):
     r = df.select("_source_file", "_source_modified_at", "_ingested_at").first()
     assert r["_source_file"].endswith("f1.csv") and r["_source_modified_at"] is not None
     assert df.where(F.col("_ingested_at").isNull()).count() == 0
+
+
+def test_keyless_header_detection_with_many_splits(spark, scratch):
+    """Without a key column a file's header is its first line, found as the smallest
+    monotonically increasing id in block 0 — also when a file spans several splits and several
+    small files share one partition."""
+    from alpina.sources.delimited import header_signatures
+    root = scratch("splits")
+    _write(root, "big.csv", "a;b;c\n" + "".join(f"{i};{i};{i}\n" for i in range(20000)))
+    _write(root, "small1.csv", "x;y\n1;2\n")
+    _write(root, "small2.csv", "a;b;c\n3;4;5\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        groups = header_signatures(spark, root, ";")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = {h: sorted(f.rsplit("/", 1)[1] for f in fs) for h, fs in groups.items()}
+    assert got == {"a;b;c": ["big.csv", "small2.csv"], "x;y": ["small1.csv"]}

@@ -134,7 +134,7 @@ def snow_flow(spark: SparkSession, silver_root: str) -> dict[str, int]:
 
 # ---------------------------------------------------------------- terrain
 def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger_path: str,
-                 target_cells: str = "terrain_cells") -> DataFrame:
+                 target_cells: str = "terrain_cells", buckets: int | None = None) -> DataFrame:
     """tiles: (tile_id, year, e_min, n_max, _source_file_id, _source_file, z array<array<double>>).
     Writes tile catalog and cells replaced by source file id, appends the ledger, returns the
     one-row control summary."""
@@ -144,8 +144,8 @@ def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger
     cells = terrain_cells_from_tiles(tiles, res, cell_size, keys=("tile_id",), extra=extra)
     stats = tile_stats_from_tiles(tiles, keys=("tile_id",), extra=extra)
     ids = tiles.select("_source_file_id")
-    replace_by_key(stats, f"{work}/tiles", "_source_file_id", ids=ids)
-    replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", ids=ids)
+    replace_by_key(stats, f"{work}/tiles", "_source_file_id", buckets=buckets, ids=ids)
+    replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", buckets=buckets, ids=ids)
     listing = tiles.select(F.col("_source_file_id").alias("file_id"), F.col("_source_file").alias("file_path"),
                            F.col("_source_file").alias("file_name"), F.lit(None).cast("string").alias("modified_time"))
     record_ledger(ledger_rows(listing, cells.select("_source_file_id"), target_cells), ledger_path)

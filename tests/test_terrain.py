@@ -126,3 +126,21 @@ def test_tile_path_uneven_grid_fails(spark):
     tiles = spark.createDataFrame([("t", 0.0, 100.0, z)], "tile_id string, e_min double, n_max double, z array<array<double>>")
     with pytest.raises(Exception, match="does not divide"):
         terrain_cells_from_tiles(tiles, 1.0, 4).collect()
+
+
+def test_terrain_flow_quarantines_bad_tile_and_fails_at_end(spark, scratch):
+    from alpina.operators.quality import QuarantineError
+    from alpina.plans.flows import terrain_flow
+    good = [[float(i * 3 + j) for j in range(4)] for i in range(4)]
+    bad = [[1.0, 2.0, 3.0]] * 4
+    tiles = spark.createDataFrame(
+        [("t1", 2024, 0.0, 8.0, "f1", "a.tif", good), ("t2", 2024, 8.0, 8.0, "f2", "b.tif", bad)],
+        "tile_id string, year int, e_min double, n_max double, _source_file_id string, _source_file string, "
+        "z array<array<double>>")
+    work = scratch("tflow")
+    with pytest.raises(QuarantineError):
+        terrain_flow(tiles, work, 2.0, 4, f"{work}/_ledger")
+    assert {r["tile_id"] for r in spark.read.parquet(f"{work}/terrain_cells").collect()} == {"t1"}
+    assert [r["file_id"] for r in spark.read.parquet(f"{work}/_ledger").collect()] == ["f1"]
+    errs = spark.read.parquet(f"{work}/_errors").collect()
+    assert [e["tile_id"] for e in errs] == ["t2"] and "4x3" in errs[0]["message"]

@@ -103,7 +103,3 @@ def removed_semi(table: DataFrame, batch: DataFrame, *, id_col: str, batch_id: s
     """Rows of ``table`` whose id is in the batch (the removed side)."""
     ids = batch.select(F.col(batch_id or id_col).alias("_bid")).distinct()
     return table.join(ids, table[id_col] == ids["_bid"], "left_semi")
-
-
-def keep_changed(col: Column) -> Column:  # pragma: no cover - tiny helper for callers
-    return F.coalesce(col, F.lit(True))

@@ -35,8 +35,8 @@ from alpina.operators.terrain import block_size, tile_stats
 from alpina.operators.terrain_tiles import terrain_cells_from_tiles, tile_stats_from_tiles
 from alpina.sinks.ledger import ledger_rows, record_ledger
 from alpina.sinks.tables import append_evolving, overwrite_table, replace_by_key
-from alpina.sources.delimited import first_header, read_delimited, read_delimited_union
-from alpina.sources.files import LINEAGE_PLAIN, LINEAGE_UNDERSCORE, list_files, read_existing, with_lineage
+from alpina.sources.delimited import first_header, read_delimited_union
+from alpina.sources.files import LINEAGE_PLAIN, LINEAGE_UNDERSCORE, list_files, read_existing
 from alpina.sources.json_text import read_json_strings
 from alpina.streaming.bronze import bronze_stream, run_append
 from alpina.streaming.scd1 import read_scd1, start_scd1
@@ -237,5 +237,5 @@ def ingest_flow(spark: SparkSession, landing: str, pattern: str, target: str, le
     return rows
 
 
-__all__ = ["weather_flow", "snow_flow", "terrain_flow", "ingest_flow", "LINEAGE_UNDERSCORE", "read_existing",
-           "tile_stats"]
+__all__ = ["weather_flow", "snow_flow", "terrain_flow", "ingest_flow", "weather_bronze", "LINEAGE_UNDERSCORE",
+           "read_existing", "tile_stats"]

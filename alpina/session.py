@@ -8,7 +8,6 @@ the session has none configured (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 

@@ -4,7 +4,6 @@ from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from alpina.operators.budget import budget_prefix
 from alpina.operators.changes import changed_by_time

@@ -179,7 +179,8 @@ def write_dated_partitions(df: DataFrame, path: str, ts_col: str, fmt: str = "js
                            mode: str = "append", date_col: str = "date") -> None:
     """Write below ``date=YYYY-MM-DD/`` folders (NDJSON by default)."""
     out = df.withColumn(date_col, F.date_format(F.col(ts_col), "yyyy-MM-dd"))
-    out.write.mode(mode).partitionBy(date_col).format(fmt).save(path)
+    # rebalance on the day: few files per folder, and AQE splits a day that is much larger
+    out.hint("rebalance", date_col).write.mode(mode).partitionBy(date_col).format(fmt).save(path)
 
 
 _DATE_DIR = re.compile(r"date=(\d{4}-\d{2}-\d{2})")

@@ -81,3 +81,12 @@ def test_name_parsers(spark):
     t = spark.createDataFrame([("https://a/b/swissalti3d_2019_2501-1120_0.5_2056_5728.tif",)], "u string") \
         .select(parse_tile_name("u").alias("t")).first()["t"]
     assert (t["year"], t["e_km"], t["n_km"], t["resolution"], t["tile_id"]) == (2019, 2501, 1120, "0.5", "2501-1120")
+
+
+def test_expect_or_drop_counts_violations(spark):
+    from alpina.operators.quality import expect_or_drop
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 500.0), (4, 10.0)], "id long, v double")
+    kept, obs = expect_or_drop(df, {"v_present": "v IS NOT NULL", "v_small": "v < 100"})
+    assert sorted(r["id"] for r in kept.collect()) == [1, 4]
+    m = obs.get
+    assert (m["rows_in"], m["v_present_dropped"], m["v_small_dropped"]) == (4, 1, 2)

@@ -77,7 +77,8 @@ def weather_typed(bronze: DataFrame) -> DataFrame:
     return drop_null_keys(typed, WEATHER_KEYS)
 
 
-def weather_flow(spark: SparkSession, layout_dirs: Sequence[str], work: str) -> DataFrame:
+def weather_flow(spark: SparkSession, layout_dirs: Sequence[str], work: str,
+                 state_partitions: int | None = None) -> DataFrame:
     bronze = f"{work}/bronze"
     weather_bronze(spark, layout_dirs, bronze, f"{work}/_ck")
     schema = spark.read.option("mergeSchema", True).parquet(bronze).schema
@@ -85,7 +86,8 @@ def weather_flow(spark: SparkSession, layout_dirs: Sequence[str], work: str) ->
     typed = weather_typed(stream)
     flagged = expectation_flags(typed, {"valid_ts": "reference_ts IS NOT NULL"})
     typed = flagged.where("_ok_valid_ts").drop("_ok_valid_ts")
-    start_scd1(typed, WEATHER_KEYS, WEATHER_SEQUENCE, f"{work}/silver", f"{work}/_ck/silver")
+    start_scd1(typed, WEATHER_KEYS, WEATHER_SEQUENCE, f"{work}/silver", f"{work}/_ck/silver",
+               state_partitions=state_partitions)
     return read_scd1(spark, f"{work}/silver", WEATHER_KEYS, WEATHER_SEQUENCE)
 
 

@@ -45,7 +45,7 @@ def q_weather_silver(spark: SparkSession, sf: str):
                     f"{dirs[0]}/v=2", sep=";")
     write_delimited(b.where(redo).withColumn("value", (F.col("value") + 1).cast("string")).select(*cols_b),
                     f"{dirs[1]}/v=2", sep=";")
-    silver = weather_flow(spark, dirs, work)
+    silver = weather_flow(spark, dirs, work, state_partitions=8)
     return silver.select("station_abbr", ts_text("reference_ts").alias("reference_ts"), r6("value").alias("value"),
                          "k", "vlen")
 

@@ -84,7 +84,8 @@ def q_stream_scd1(spark: SparkSession, sf: str):
     s = stream_files(spark, root, schema, "parquet", {"maxFilesPerTrigger": 1}) \
         .select("user_id", "event_type", "event_id", "ts", "value")
     target, ck = scratch_path(spark, "silver_events"), scratch_path(spark, "ck_silver_events")
-    start_scd1(s, ["user_id", "event_type"], ["ts", "event_id"], target, ck)
+    # state partitions sized to the table's key count (a few hundred keys per partition here)
+    start_scd1(s, ["user_id", "event_type"], ["ts", "event_id"], target, ck, state_partitions=8)
     out = read_scd1(spark, target, ["user_id", "event_type"], ["ts", "event_id"])
     return out.select("user_id", "event_type", "event_id", ts_text_ms("ts").alias("ts"), r6("value").alias("value"))
 

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from alpina.operators.dedupe import latest_per_key
 from alpina.session import delete_path, hadoop_fs, list_dir
-from alpina.streaming.bronze import run_foreach_batch
+from alpina.streaming.bronze import drain, run_foreach_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -37,13 +37,31 @@ def _writer(target: str):
 
 
 def start_scd1(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str,
-               checkpoint: str, available_now: bool = True, rocksdb: bool = True) -> StreamingQuery:
+               checkpoint: str, available_now: bool = True, rocksdb: bool = True,
+               state_partitions: int | None = None) -> StreamingQuery:
+    """Start (and with ``available_now`` drain) the upsert stream.
+
+    ``state_partitions`` fixes the number of state-store partitions for the life of the
+    checkpoint (size it to the key count, not to the session's batch shuffle setting). The
+    stream clones the session configuration at start, so the session setting is restored
+    right after."""
     spark = stream.sparkSession
     if rocksdb:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     latest = scd1_latest(stream, keys, sequence)
-    return run_foreach_batch(latest, _writer(target), checkpoint, output_mode="update",
-                             available_now=available_now)
+    if state_partitions is None:
+        return run_foreach_batch(latest, _writer(target), checkpoint, output_mode="update",
+                                 available_now=available_now)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (drain(latest, _writer(target), checkpoint, output_mode="update") if available_now else
+             run_foreach_batch(latest, _writer(target), checkpoint, output_mode="update", available_now=False))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    if available_now:
+        q.awaitTermination()
+    return q
 
 
 def _batch_ids(spark: SparkSession, folder: str, prefix: str) -> list[int]:

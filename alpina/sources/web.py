@@ -79,7 +79,7 @@ def item_ids(pages: DataFrame, json_col: str) -> DataFrame:
 def next_link(json_col: str) -> Column:
     """The ``rel == next`` link of a page (NULL on the last page)."""
     p = F.from_json(F.col(json_col), PAGE_SCHEMA)
-    return F.filter(p["links"], lambda l: l["rel"] == "next")[0]["href"]
+    return F.get(F.filter(p["links"], lambda l: l["rel"] == "next"), 0)["href"]  # NULL past the end (ANSI)
 
 
 def parse_url_list(df: DataFrame, line_col: str, ordinal_col: str,

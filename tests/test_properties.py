@@ -76,3 +76,20 @@ def test_replace_by_key_idempotent(spark, scratch, batch_ids, keep_mod):
     present = {f for _, f, _ in batch_rows}
     exp = sorted([r for r in base if r[1] not in present] + batch_rows)
     assert once == twice == exp
+
+
+@SETTINGS
+@given(files=st.dictionaries(st.text("abc", min_size=1, max_size=3), st.integers(0, 4000), min_size=1, max_size=10),
+       logged=st.dictionaries(st.text("abc", min_size=1, max_size=3), st.integers(0, 4000), max_size=10))
+def test_changed_by_epoch_sees_whole_seconds_only(spark, files, logged):
+    from alpina.operators.changes import changed_by_epoch
+    t0 = datetime(2024, 1, 1)
+    at = lambda ms: t0 + timedelta(milliseconds=ms)
+    listing = spark.createDataFrame([(k, k, at(v)) for k, v in files.items()],
+                                    "file_id string, file_name string, modified_time timestamp")
+    ledger = spark.createDataFrame([(k, at(v), "t") for k, v in logged.items()] or [("zz", t0, "x")],
+                                   "file_id string, modified_time timestamp, target_table string")
+    got = [r["file_id"] for r in changed_by_epoch(listing, ledger, target="t").collect()]
+    sec = lambda ms: ms // 1000
+    exp = sorted(k for k, v in files.items() if k not in logged or sec(v) > sec(logged[k]))
+    assert got == exp

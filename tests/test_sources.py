@@ -138,3 +138,18 @@ def test_keyless_header_detection_with_many_splits(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     got = {h: sorted(f.rsplit("/", 1)[1] for f in fs) for h, fs in groups.items()}
     assert got == {"a;b;c": ["big.csv", "small2.csv"], "x;y": ["small1.csv"]}
+
+
+def test_catalog_assets_suffix_and_next_link(spark):
+    import json
+    from alpina.sources.web import catalog_assets, item_ids, next_link
+    item = json.dumps({"assets": {"a.csv": {"href": "h1", "file:checksum": "1220ab", "updated": "u"},
+                                  "b.json": {"href": "h2"}}})
+    df = spark.createDataFrame([("_meta", item)], "folder string, json string")
+    rows = [tuple(r) for r in catalog_assets(df, "json", "folder", suffix=".csv").collect()]
+    assert rows == [("_meta", "a.csv", "h1", "1220ab", "u")]
+    pages = spark.createDataFrame(
+        [(json.dumps({"features": [{"id": "lug"}, {"id": "chz"}], "links": [{"rel": "next", "href": "p2"}]}),),
+         (json.dumps({"features": [{"id": "abo"}], "links": [{"rel": "self", "href": "p2"}]}),)], "json string")
+    assert [r["item_id"] for r in item_ids(pages, "json").collect()] == ["abo", "chz", "lug"]
+    assert [r["n"] for r in pages.select(next_link("json").alias("n")).collect()] == ["p2", None]

@@ -68,7 +68,7 @@ def terrain_cells_from_tiles(tiles: DataFrame, res: float, cell_size: int, keys:
     k = block_size(cell_size, res)
     base = tiles.select(*keys, left_col, top_col, *extra, F.col(z_col).alias("z"))
     px = _bind(base, "pix", F.expr(_pixel_struct(res)))
-    h, w = F.size("pix"), F.size(F.col("pix")[0])
+    h, w = F.size("pix"), F.coalesce(F.size(F.get(F.col("pix"), 0)), F.lit(0))
     nrow = F.when((h % k != 0) | (w % k != 0),
                   F.raise_error(F.lit(f"raster does not divide into {k}x{k} blocks"))).otherwise(h / k).cast("int")
     ncol = (w / k).cast("int")
@@ -149,7 +149,7 @@ def tile_stats_from_tiles(tiles: DataFrame, keys: tuple[str, ...] = ("tile_id",)
         F.array_min("_ok").alias("elev_min"),
         F.array_max("_ok").alias("elev_max"),
         F.when(n_ok > 0, F.expr("aggregate(_ok, 0D, (a, x) -> a + x)") / n_ok).alias("elev_mean"),
-        (F.lit(1.0) - n_ok / n_all).alias("nodata_share"),
-        F.size(F.col(z_col)[0]).cast("int").alias("width_px"),
+        (F.lit(1.0) - F.try_divide(n_ok, n_all)).alias("nodata_share"),  # NULL for an empty raster
+        F.coalesce(F.size(F.get(F.col(z_col), 0)), F.lit(0)).cast("int").alias("width_px"),
         F.size(z_col).cast("int").alias("height_px"),
     )

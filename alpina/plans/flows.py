@@ -147,7 +147,7 @@ def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger
     raised after all of that is stored."""
     spark = tiles.sparkSession
     k = block_size(cell_size, res)
-    h, w = F.size("z"), F.size(F.col("z")[0])
+    h, w = F.size("z"), F.coalesce(F.size(F.get(F.col("z"), 0)), F.lit(0))
     fits = (h > 0) & (w > 0) & (h % k == 0) & (w % k == 0)
     tagged = tiles.withColumn("_fits", F.coalesce(fits, F.lit(False)))
     bad = tagged.where(~F.col("_fits")).select(

@@ -144,3 +144,16 @@ def test_terrain_flow_quarantines_bad_tile_and_fails_at_end(spark, scratch):
     assert [r["file_id"] for r in spark.read.parquet(f"{work}/_ledger").collect()] == ["f1"]
     errs = spark.read.parquet(f"{work}/_errors").collect()
     assert [e["tile_id"] for e in errs] == ["t2"] and "4x3" in errs[0]["message"]
+
+
+def test_empty_raster_is_quarantined_not_a_crash(spark, scratch):
+    from alpina.plans.flows import terrain_flow
+    tiles = spark.createDataFrame(
+        [("t1", 2024, 0.0, 8.0, "f1", "a.tif", [[1.0, 2.0], [3.0, 4.0]]), ("t0", 2024, 0.0, 8.0, "f0", "e.tif", [])],
+        "tile_id string, year int, e_min double, n_max double, _source_file_id string, _source_file string, "
+        "z array<array<double>>")
+    work = scratch("tempty")
+    summary = terrain_flow(tiles, work, 1.0, 2, f"{work}/_ledger", raise_on_errors=False).first()
+    assert (summary["tiles"], summary["cells"]) == (1, 1)
+    assert [r["tile_id"] for r in spark.read.parquet(f"{work}/_errors").collect()] == ["t0"]
+    assert tile_stats_from_tiles(tiles.where("tile_id = 't0'")).first()["width_px"] == 0

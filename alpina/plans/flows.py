@@ -164,10 +164,13 @@ def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger
     stats = tile_stats_from_tiles(good, keys=("tile_id",), extra=extra)
     ids = good.select("_source_file_id")
     replace_by_key(stats, f"{work}/tiles", "_source_file_id", buckets=buckets, ids=ids)
-    replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", buckets=buckets, ids=ids)
+    touched = replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", buckets=buckets, ids=ids)
     listing = good.select(F.col("_source_file_id").alias("file_id"), F.col("_source_file").alias("file_path"),
                           F.col("_source_file").alias("file_name"), F.lit(None).cast("string").alias("modified_time"))
-    record_ledger(ledger_rows(listing, cells.select("_source_file_id"), target_cells), ledger_path)
+    # cells per file, read back from the buckets just written (not recomputed from the rasters)
+    written = (spark.read.parquet(f"{work}/{target_cells}").where(F.col("_bucket").isin(touched))
+               .select("_source_file_id"))
+    record_ledger(ledger_rows(listing, written, target_cells), ledger_path)
     spark.read.parquet(f"{work}/tiles").createOrReplaceTempView("alpina_tiles")
     spark.read.parquet(f"{work}/{target_cells}").createOrReplaceTempView("alpina_cells")
     summary = spark.sql("""

@@ -104,7 +104,7 @@ def table_buckets(spark: SparkSession, path: str, requested: int | None) -> int:
 
 
 def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None = None,
-                   bucket_col: str = "_bucket", ids: DataFrame | None = None) -> None:
+                   bucket_col: str = "_bucket", ids: DataFrame | None = None) -> list[int]:
     """Idempotent replacement: rows whose source id is in ``ids`` (default: the ids occurring
     in the batch) are removed, then the batch is appended.
 
@@ -114,6 +114,7 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None
     dynamic partition overwrite (the output is staged and swapped at commit, so reading the
     same partitions in the plan is safe). Buckets left without rows are deleted explicitly —
     dynamic overwrite alone would keep their stale files. The batch is evaluated once (staged).
+    Returns the buckets written, so callers can read back just this batch's rows.
     """
     spark = batch.sparkSession
     base = path.rstrip("/")
@@ -130,11 +131,11 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None
             write_text_file(spark, f"{base}/{BUCKETS_MARKER}", str(buckets))
         else:
             delete_path(spark, stage)
-        return
+        return sorted(staged_buckets)
     if ids is None:
         if not staged_buckets:  # empty batch, no ids: nothing to replace
             delete_path(spark, stage)
-            return
+            return []
         id_frame = staged.select(F.col(id_col).alias("_bid")).distinct()
         affected = set(staged_buckets)
     else:
@@ -157,6 +158,7 @@ def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None
         if bkt not in survivors:
             delete_path(spark, f"{base}/{bucket_col}={bkt}")
     delete_path(spark, stage)
+    return sorted(affected)
 
 
 def create_typed_table(spark: SparkSession, name: str, columns: Sequence[tuple[str, str, str | None]],

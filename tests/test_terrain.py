@@ -141,7 +141,7 @@ def test_terrain_flow_quarantines_bad_tile_and_fails_at_end(spark, scratch):
     with pytest.raises(QuarantineError):
         terrain_flow(tiles, work, 2.0, 4, f"{work}/_ledger")
     assert {r["tile_id"] for r in spark.read.parquet(f"{work}/terrain_cells").collect()} == {"t1"}
-    assert [r["file_id"] for r in spark.read.parquet(f"{work}/_ledger").collect()] == ["f1"]
+    assert [(r["file_id"], r["row_count"]) for r in spark.read.parquet(f"{work}/_ledger").collect()] == [("f1", 4)]
     errs = spark.read.parquet(f"{work}/_errors").collect()
     assert [e["tile_id"] for e in errs] == ["t2"] and "4x3" in errs[0]["message"]
 

@@ -5,11 +5,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as ent
+from alpina.plans.registry import QUERIES, load_all
 from tools.compare import TABLES, duck_rows, key, spark_rows
 
 from conftest import SF001
 
-NAMES = sorted(ent.queries())
+load_all()
+NAMES = sorted(QUERIES)
 ORACLES = ent.oracle_sql()
 
 
@@ -22,7 +24,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(NAMES)
+    assert set(NAMES) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.llm import mixing, sharding, tokens, warc
+from alpina.llm import embeddings, mixing, near_dups, sharding, tokens, warc
 from alpina.llm.common import staged, table
 
 
+def op1_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("words"))
     plan = mixing.mix_plan(staged(docs, "mix-words"), F.col("words"))
@@ -29,9 +37,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dups": op1_embedding_near_dups,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
+    "op8_near_dups": op8_near_dups,
     "op9_mixing": op9_mixing,
 }
 

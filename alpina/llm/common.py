@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alpina.session import scratch_path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started from now on find this library where the driver has it (a cluster
+    without a common folder gets it by --py-files or an installed package)."""
+    root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -16,10 +30,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the cluster's shared folder and read it back.
 
     Cuts the lineage at files that survive the loss of any executor, and gives the next plan a
-    plain scan (so adaptive execution can split skewed join sides)."""
+    plain scan (so adaptive execution can split skewed join sides). The write's own shuffle files
+    are no longer needed afterwards; Spark removes them when it ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

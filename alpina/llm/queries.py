@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.llm import embeddings, mixing, near_dups, sharding, tokens, warc
+from alpina.llm import decontaminate, embeddings, mixing, near_dups, quality, sharding, suffix_dedup, tokens, warc
 from alpina.llm.common import staged, table
 
 
@@ -13,6 +13,14 @@ def op1_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -36,13 +44,20 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_embedding_near_dups": op1_embedding_near_dups,
+    "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
     "op8_near_dups": op8_near_dups,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {

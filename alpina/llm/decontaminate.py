@@ -187,6 +187,15 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[dict]:
             for b in range(max(1, 2 * n if n > 1 else 1))]
 
 
+def _passages(shared):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hits = [(d, *h) for d, t in zip(batch["doc_id"], batch["text"], strict=True) for h in find_passages(shared.value, t)]
+            yield pd.DataFrame(hits, columns=[c.split()[0] for c in HITS.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+    return search
+
+
 def leaked_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per leaked passage: document, item, place in the text, edits, shared q-grams."""
@@ -195,16 +204,19 @@ def leaked_passages(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc
     for rows in _blocks(benchmark, item_col, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(build_index([(r["item_id"], r["text"]) for r in rows]))
 
-        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                hits = [(d, *h) for d, t in zip(batch["doc_id"], batch["text"], strict=True) for h in find_passages(shared.value, t)]
-                yield pd.DataFrame(hits, columns=[c.split()[0] for c in HITS.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
-
-        found = texts.mapInPandas(search, HITS)
+        found = texts.mapInPandas(_passages(shared), HITS)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _leaks(shared):
+    def leaked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: bool(find_passages(shared.value, t)))
+
+    return leaked
+
+
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
                 item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no leaked passage, decided in place (no join, no shuffle)."""
@@ -212,9 +224,5 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text"
     for items in _blocks(benchmark, item_col, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(build_index([(r["item_id"], r["text"]) for r in items]))
 
-        def leaked(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield texts.map(lambda t: bool(find_passages(shared.value, t)))
-
-        rows = rows.filter(~F.pandas_udf(leaked, "boolean")(F.coalesce("text", F.lit(""))))
+        rows = rows.filter(~F.pandas_udf(_leaks(shared), "boolean")(F.coalesce("text", F.lit(""))))
     return unpacked(rows, columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.llm import decontaminate, embeddings, mixing, near_dups, quality, sharding, suffix_dedup, tokens, warc
+from alpina.llm import decontaminate, embeddings, mixing, near_dups, quality, secrets, sharding, suffix_dedup, tokens, warc
 from alpina.llm.common import staged, table
 
 
@@ -33,6 +33,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("text"))
+
+
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_sharding": op6_sharding,
+    "op7_secret_scan": op7_secret_scan,
     "op8_near_dups": op8_near_dups,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,

@@ -26,7 +26,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            out.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
+            out.append(F.nanvl(F.col("`" + f.name.replace("`", "``") + "`"), F.lit(None).cast(f.dataType)).alias(f.name))
         else:
-            out.append(F.col(f"`{f.name}`"))
+            out.append(F.col("`" + f.name.replace("`", "``") + "`"))
     return df.select(*out)

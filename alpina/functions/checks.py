@@ -12,12 +12,11 @@ def _col(c) -> Column:
 
 def verify_checksum(content, checksum) -> Column:
     """TRUE when the checksum is a sha2-256 multihash (``1220`` + hex digest) equal to the
-    content's digest; FALSE on mismatch; NULL (not checked) for other prefixes or no checksum."""
+    content's digest, in lower case as it is written; FALSE on mismatch; NULL (not checked) for other prefixes or no checksum."""
     content, checksum = _col(content), _col(checksum)
     digest = F.sha2(content, 256)
-    ck = F.lower(checksum)
     n = len(SHA256_MULTIHASH_PREFIX)
-    return F.when(ck.startswith(SHA256_MULTIHASH_PREFIX), digest == F.substring(ck, n + 1, 64))
+    return F.when(checksum.startswith(SHA256_MULTIHASH_PREFIX), F.concat(F.lit(SHA256_MULTIHASH_PREFIX), digest) == checksum)
 
 
 from alpina.fixed_values import SHA256_MULTIHASH_PREFIX, TIFF_MAGIC_HEX  # noqa: E402

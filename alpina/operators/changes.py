@@ -7,19 +7,15 @@ number of distinct files; Catalyst/AQE choose broadcast or sort-merge from its r
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alpina.operators.sizing import broadcast_if_small
-
 
 def _last_per_file(ledger: DataFrame, id_col: str, mod_col: str, target: str | None,
                    as_epoch: bool) -> DataFrame:
     if target is not None:
         ledger = ledger.where(F.col("target_table") == F.lit(target))
-    m = F.max(mod_col)
-    if as_epoch:
-        m = F.unix_timestamp(m)
+    m = F.unix_seconds(F.max(F.col(mod_col).cast("timestamp"))) if as_epoch else F.max(mod_col)
     return ledger.groupBy(F.col(id_col).alias("_lid")).agg(m.alias("_last"))
 
 
@@ -66,15 +62,13 @@ def changed_by_size_time(source: DataFrame, stored: DataFrame, *, name_col: str
                          stored_mtime: str = "source_modified", force: bool = False) -> DataFrame:
     """Files to copy: skipped only when a stored copy exists with the same size and a stored
     source time at or after the source's time."""
-    st = stored.select(F.col(stored_name).alias("_sn"), F.col(stored_size).alias("_ss"),
+    if force:
+        return source
+    st = stored.select(F.col(stored_name).alias("_sn"), F.col(stored_size).cast("string").alias("_ss"),
                        F.col(stored_mtime).alias("_sm"))
-    j = source.join(st, source[name_col] == st["_sn"], "left")
-    same = (F.col("_sn").isNotNull()
-            & F.coalesce(F.col("_ss").cast("string") == F.col(size_col).cast("string"), F.lit(False))
-            & F.col("_sm").isNotNull()
-            & F.coalesce(F.col("_sm") >= F.col(mtime_col), F.lit(False)))
-    skip = F.lit(not force) & same
-    return j.where(~skip).drop("_sn", "_ss", "_sm")
+    # an anti join: a name stored twice cannot multiply source rows
+    return source.join(st, (source[name_col] == st["_sn"]) & (source[size_col].cast("string") == st["_ss"])
+                       & (st["_sm"] >= source[mtime_col]), "left_anti")
 
 
 def missing_by_name(selected: DataFrame, existing: DataFrame, *, name_col: str = "name",
@@ -89,17 +83,8 @@ def missing_by_name(selected: DataFrame, existing: DataFrame, *, name_col: str =
     return out
 
 
-def delete_semi(table: DataFrame, batch: DataFrame, *, id_col: str, batch_id: str | None = None,
-                broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of ``table`` whose id is **not** in the batch (the kept side of a delete).
-
-    The batch side is broadcast only after its distinct-id count is checked to be small."""
+def delete_semi(table: DataFrame, batch: DataFrame, *, id_col: str, batch_id: str | None = None) -> DataFrame:
+    """Rows of ``table`` whose id is **not** in the batch (the kept side of a delete). Lazy: Spark
+    picks the join from the measured size of the batch's ids."""
     ids = batch.select(F.col(batch_id or id_col).alias("_bid")).distinct()
-    ids = broadcast_if_small(ids, broadcast_rows)
     return table.join(ids, table[id_col] == ids["_bid"], "left_anti")
-
-
-def removed_semi(table: DataFrame, batch: DataFrame, *, id_col: str, batch_id: str | None = None) -> DataFrame:
-    """Rows of ``table`` whose id is in the batch (the removed side)."""
-    ids = batch.select(F.col(batch_id or id_col).alias("_bid")).distinct()
-    return table.join(ids, table[id_col] == ids["_bid"], "left_semi")

@@ -47,7 +47,7 @@ def split_corrupt_files(parsed: DataFrame, stage_path: str, file_col: str = "_so
     bad_files = (parsed.where(F.col(corrupt_col).isNotNull())
                  .groupBy(F.col(file_col).alias("file"))
                  .agg(F.count(F.lit(1)).alias("n_corrupt"),
-                      F.min(F.substring(corrupt_col, 1, 200)).alias("example")))
+                      F.min(corrupt_col).alias("example")))
     errors = bad_files.select("file", "n_corrupt",
                               F.concat(F.lit("corrupt record: "), F.col("example")).alias("message"))
     good = (parsed.join(bad_files.select(F.col("file").alias("_bf")),
@@ -56,5 +56,9 @@ def split_corrupt_files(parsed: DataFrame, stage_path: str, file_col: str = "_so
     return good, errors
 
 
+class NameCollision(ValueError):
+    """Two column names of one file become the same cleaned name."""
+
+
 class QuarantineError(RuntimeError):
     """Raised after good and bad inputs were both written, so the run ends failed."""

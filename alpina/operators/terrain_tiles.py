@@ -18,7 +18,7 @@ runs once per element.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alpina.fixed_values import MIN_RESULTANT, MIN_SLOPE_FOR_ASPECT_DEG, SLOPE_PERCENTILE, STEEP_BAND_DEG
@@ -32,9 +32,10 @@ def _v(expr: str) -> str:
     return f"nanvl({expr}, {_ND})"
 
 
-def _pixel_struct(res: float) -> str:
-    """Per pixel: z, slope, cos/sin of aspect (NULL below 1° slope), from the raw raster."""
-    r1, r2 = repr(float(res)), repr(2.0 * float(res))
+def _pixel_struct() -> str:
+    """Per pixel: z, slope, cos/sin of aspect (NULL below 1° slope), from the raw raster ``z`` with
+    pixels of ``_res`` metres."""
+    r1, r2 = "_res", "(2D * _res)"
     de = (f"CASE WHEN size(r) < 2 THEN {_ND} "
           f"WHEN j = 0 THEN ({_v('r[1]')} - {_v('r[0]')}) / {r1} "
           f"WHEN j = size(r) - 1 THEN ({_v('r[j]')} - {_v('r[j - 1]')}) / {r1} "
@@ -53,35 +54,46 @@ def _pixel_struct(res: float) -> str:
             f"transform(transform(array({grad}), g -> {angles}), h -> {final})[0]))")
 
 
+def fits_blocks(cell_size: int, res: Column, z_col: str = "z") -> Column:
+    """Whether a raster is rectangular and divides into whole cells of ``cell_size`` metres at pixels of
+    ``res`` metres (NULL rasters and resolutions do not)."""
+    k = F.round(F.lit(float(cell_size)) / res)
+    h, w = F.size(z_col), F.coalesce(F.size(F.get(F.col(z_col), 0)), F.lit(0))
+    even = (F.abs(k * res - cell_size) < 1e-9) & (k > 0)
+    rows = F.forall(z_col, lambda r: F.coalesce(F.size(r) == w, F.lit(False)))
+    return F.coalesce(even & (h > 0) & (w > 0) & (h % k == 0) & (w % k == 0) & rows, F.lit(False))
+
+
 def _bind(df: DataFrame, name: str, expr) -> DataFrame:
     """Materialise one expression as a column behind a Generate barrier."""
     keep = [c for c in df.columns if c != name]
     return df.select(*keep, F.explode(F.array(expr)).alias(name))
 
 
-def terrain_cells_from_tiles(tiles: DataFrame, res: float, cell_size: int, keys: tuple[str, ...] = ("tile_id",),
+def terrain_cells_from_tiles(tiles: DataFrame, res: float | str, cell_size: int, keys: tuple[str, ...] = ("tile_id",),
                              left_col: str = "e_min", top_col: str = "n_max", z_col: str = "z",
                              extra: tuple[str, ...] = ()) -> DataFrame:
-    """Tile rows → one row per k×k cell with the same columns as ``terrain_cells``.
-
-    A raster whose height or width is not a multiple of k fails the query."""
-    k = block_size(cell_size, res)
-    base = tiles.select(*keys, left_col, top_col, *extra, F.col(z_col).alias("z"))
-    px = _bind(base, "pix", F.expr(_pixel_struct(res)))
-    h, w = F.size("pix"), F.coalesce(F.size(F.get(F.col("pix"), 0)), F.lit(0))
-    nrow = F.when((h % k != 0) | (w % k != 0),
-                  F.raise_error(F.lit(f"raster does not divide into {k}x{k} blocks"))).otherwise(h / k).cast("int")
-    ncol = (w / k).cast("int")
-    px = px.select("*", nrow.alias("_nr"), ncol.alias("_nc"))
-    cells = px.select(*keys, left_col, top_col, *extra, "pix", "_nc",
-                      F.explode(F.when(F.col("_nr") * F.col("_nc") > 0,
-                                       F.sequence(F.lit(0), F.col("_nr") * F.col("_nc") - 1))
-                                .otherwise(F.array().cast("array<int>"))).alias("_c"))
-    cells = cells.select(*keys, left_col, top_col, *extra, "pix",
-                         (F.col("_c") / F.col("_nc")).cast("long").alias("cell_row"),
-                         F.pmod(F.col("_c"), F.col("_nc")).cast("long").alias("cell_col"))
-    block = F.expr(f"flatten(transform(slice(pix, cell_row * {k} + 1, {k}), r -> slice(r, cell_col * {k} + 1, {k})))")
-    cells = _bind(cells, "v", block).drop("pix")
+    """Tile rows → one row per k×k cell with the same columns as ``terrain_cells``. ``res`` is the pixel size
+    in metres, or the name of a column that holds it per tile.
+
+    The blocks are cut inside the row and exploded once, each with its own pixels only: a row never carries
+    more than its block. A raster that is ragged or does not divide into blocks fails the query."""
+    if not isinstance(res, str):
+        block_size(cell_size, res)
+    size = F.col(res).cast("double") if isinstance(res, str) else F.lit(float(res))
+    base = tiles.select(*keys, left_col, top_col, *extra, F.col(z_col).alias("z"), size.alias("_res"))
+    guard = F.when((F.size("z") > 0) & ~fits_blocks(cell_size, F.col("_res")),
+                   F.raise_error(F.lit(f"raster does not divide into blocks of {cell_size} m")).cast("int"))
+    k = F.coalesce(guard, F.round(F.lit(float(cell_size)) / F.col("_res")).cast("int"))
+    base = base.select("*", k.alias("_k"))
+    px = _bind(base, "pix", F.expr(_pixel_struct())).drop("z")
+    nrow, ncol = F.floor(F.size("pix") / F.col("_k")), F.floor(F.coalesce(F.size(F.get(F.col("pix"), 0)), F.lit(0)) / F.col("_k"))
+    px = px.select("*", nrow.cast("int").alias("_nr"), ncol.cast("int").alias("_nc"))
+    blocks = F.expr("transform(IF(_nr * _nc > 0, sequence(0, _nr * _nc - 1), CAST(array() AS array<int>)), c -> named_struct("
+                    "'cell_row', CAST(c DIV _nc AS BIGINT), 'cell_col', CAST(c % _nc AS BIGINT), 'v', flatten(transform("
+                    "slice(pix, CAST(c DIV _nc AS INT) * _k + 1, _k), r -> slice(r, (c % _nc) * _k + 1, _k)))))")
+    cells = px.select(*keys, left_col, top_col, *extra, F.col("_k").alias("_side"), F.explode(blocks).alias("_block"))
+    cells = cells.select(*keys, left_col, top_col, *extra, "_side", "_block.cell_row", "_block.cell_col", "_block.v")
     arrays = F.struct(
         F.expr("filter(transform(v, e -> e.z), x -> x IS NOT NULL)").alias("zs"),
         F.expr("array_sort(filter(transform(v, e -> e.slope), x -> x IS NOT NULL))").alias("ss"),
@@ -121,7 +133,7 @@ def terrain_cells_from_tiles(tiles: DataFrame, res: float, cell_size: int, keys:
         F.when(ns > 0, F.size(F.expr(f"filter(b.ss, x -> x >= {band_lo!r}D)")) / ns).alias("share_slope_ge_30"),
         mean_of("b.cs").alias("northness"),
         mean_of("b.sn").alias("eastness"),
-        (nz / F.lit(float(k * k))).alias("valid_share"),
+        (nz / (F.col("_side") * F.col("_side")).cast("double")).alias("valid_share"),
     )
     north, east = F.col("northness"), F.col("eastness")
     out = out.withColumn("aspect_mean_deg", F.when(

@@ -1,45 +1,43 @@
 """Composed landing → bronze → silver flows, as reusable functions.
 
-* :func:`weather_flow` — per-layout file streams (all STRING + lineage) → typed view →
-  expectations → SCD type 1 upsert keyed by (station, instant), newest delivery wins.
+* :func:`weather_flow` — per granularity: changed files → all STRING + lineage → typed → expectations →
+  SCD type 1 upsert keyed by (station, instant), newest delivery wins.
 * :func:`snow_flow` — optional bronze tables → fixed value columns → union → latest
   ingested row per (station, instant) → full overwrite; stations as latest snapshot.
-* :func:`terrain_flow` — tile rasters → gradients → cell features (in-row, no shuffle) →
+* :func:`terrain_flow` — changed tile rasters → gradients → cell features (in-row) →
   replace by source file → ledger → control summary.
 * :func:`ingest_flow` — listing → change detection against the ledger → all-STRING read →
-  cleaned names → lineage → evolving append → ledger.
+  cleaned names → lineage → run folder → ledger.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from alpina.fixed_values import DAILY_SNOW_COLS, MEAS_COLS, PRECIP_COLS
 from alpina.fixed_values import SNOW_KEYS as FIXED_SNOW_KEYS
 from alpina.fixed_values import WEATHER_TECH as FIXED_WEATHER_TECH
 from alpina.functions.casts import cast_double_strict
-from alpina.functions.names import clean_columns
+from alpina.functions.names import clean_column_name, clean_columns, clean_names
 from alpina.functions.text import normalize_key
 from alpina.functions.timeparse import WEATHER_TS_FORMAT, parse_ts_multi, parse_ts_strict
-from alpina.operators.changes import changed_by_time
+from alpina.operators.changes import changed_by_epoch, changed_by_time
 from alpina.operators.dedupe import latest_per_key, latest_snapshot
-from alpina.operators.projection import (
-    drop_null_keys, project_dynamic, project_values, station_snapshot_project, union_by_name,
-)
-from alpina.operators.quality import QuarantineError, expectation_flags, split_corrupt_files
-from alpina.operators.terrain import block_size, tile_stats
-from alpina.operators.terrain_tiles import terrain_cells_from_tiles, tile_stats_from_tiles
+from alpina.operators.projection import project_dynamic, project_values, station_snapshot_project, union_by_name
+from alpina.operators.quality import NameCollision, QuarantineError, expect_or_drop
+from alpina.operators.summary import control_summary
+from alpina.operators.terrain_tiles import fits_blocks, terrain_cells_from_tiles, tile_stats_from_tiles
+from alpina.session import delete_path, list_dir, path_exists, scratch_path, write_text_file
 from alpina.sinks.ledger import ledger_rows, record_ledger
-from alpina.sinks.tables import append_evolving, overwrite_table, replace_by_key
-from alpina.sources.delimited import first_header, read_delimited_union
-from alpina.sources.files import LINEAGE_PLAIN, LINEAGE_UNDERSCORE, list_files, read_existing
+from alpina.sinks.tables import overwrite_table, read_replaced, replace_by_key
+from alpina.sources.delimited import frame_of_header, header_names, header_signatures, read_delimited_union
+from alpina.sources.files import list_files, raw_path, source_path
 from alpina.sources.json_text import read_json_strings
-from alpina.streaming.bronze import bronze_stream, run_append
-from alpina.streaming.scd1 import read_scd1, start_scd1
+from alpina.streaming.scd1 import compact_scd1, complete_changes, read_scd1, write_changes
 
 WEATHER_TECH = set(FIXED_WEATHER_TECH)
 WEATHER_KEYS = ["station_abbr", "reference_ts"]
@@ -47,48 +45,61 @@ WEATHER_SEQUENCE = ["source_modified_at", "source_file"]
 
 
 # ---------------------------------------------------------------- weather
-def weather_bronze(spark: SparkSession, layout_dirs: Sequence[str], bronze_path: str, checkpoint_root: str,
-                   sep: str = ";") -> None:
-    """One append stream per layout folder (granularity), all STRING + lineage. The streams
-    are independent: all are started, then awaited together."""
-    running = []
-    for i, d in enumerate(layout_dirs):
-        # one file's header fixes the layout; the stream checks every other file against it
-        names = first_header(spark, d, sep)
-        if not names:
-            continue
-        schema = StructType([StructField(n, StringType()) for n in names])
-        # enforceSchema=false: every file's header is checked against the stream schema, so a
-        # file arriving later with other columns fails loudly instead of binding by position
-        s = bronze_stream(spark, d, schema, "csv",
-                          {"header": "true", "sep": sep, "multiLine": "true", "enforceSchema": "false"},
-                          lineage=LINEAGE_PLAIN)
-        running.append(run_append(s, f"{bronze_path}/layout={i}", f"{checkpoint_root}/bronze_{i}", wait=False))
-    for q in running:
-        q.awaitTermination()
+WEATHER_TIMES = ("source_file", "source_modified_at")
+COMPACT_AFTER = 50
+
+
+def _file_listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    return list_files(spark, folder, pattern).select(
+        F.col("path").alias("file_id"), F.col("path").alias("file_path"), F.col("name").alias("file_name"),
+        F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("modified_time"))
+
+
+def weather_bronze(spark: SparkSession, folder: str, bronze: str, ledger_path: str, target: str,
+                   sep: str = ";") -> DataFrame | None:
+    """Load the files of one granularity that are new or rewritten since the ledger saw them (the same path
+    with a later time is read again): all STRING, lineage, columns bound by name, so a new column is
+    added without failing. Every run is a folder of its own. Returns the run's rows (None: nothing to do)."""
+    listing = _file_listing(spark, folder, "*.csv")
+    settle_runs(spark, bronze, ledger_path, target)
+    todo = changed_by_epoch(listing, spark.read.parquet(ledger_path), target=target) if path_exists(spark, ledger_path) else listing
+    paths = [raw_path(r["file_path"]) for r in todo.select("file_path").collect()]  # the files to open
+    if not paths:
+        return None
+    rows = read_delimited_union(spark, paths, sep, "station_abbr", lineage=WEATHER_TIMES)
+    run = start_run(todo, bronze)
+    rows.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(run)
+    stored = spark.read.parquet(run)
+    finish_run(ledger_rows(todo, stored.select(F.col("source_file").alias("_source_file_id")), target), run, ledger_path)
+    return stored
 
 
 def weather_typed(bronze: DataFrame) -> DataFrame:
     """Typed view: key normalised, instant parsed strictly, every other column a DOUBLE."""
     lead = [normalize_key("station_abbr").alias("station_abbr"),
             parse_ts_strict("reference_timestamp", WEATHER_TS_FORMAT).alias("reference_ts")]
-    typed = project_dynamic(bronze, WEATHER_TECH | {"layout"}, cast=lambda c: cast_double_strict(F.col(f"`{c}`")),
-                            lead=lead, tail=["source_file", "source_modified_at"])
-    return drop_null_keys(typed, WEATHER_KEYS)
+    return project_dynamic(bronze, WEATHER_TECH, cast=lambda c: cast_double_strict(F.col(f"`{c}`")),
+                           lead=lead, tail=["source_file", "source_modified_at"])
 
 
-def weather_flow(spark: SparkSession, layout_dirs: Sequence[str], work: str,
-                 state_partitions: int | None = None) -> DataFrame:
-    bronze = f"{work}/bronze"
-    weather_bronze(spark, layout_dirs, bronze, f"{work}/_ck")
-    schema = spark.read.option("mergeSchema", True).parquet(bronze).schema
-    stream = spark.readStream.schema(schema).option("mergeSchema", True).parquet(bronze)
-    typed = weather_typed(stream)
-    flagged = expectation_flags(typed, {"valid_ts": "reference_ts IS NOT NULL"})
-    typed = flagged.where("_ok_valid_ts").drop("_ok_valid_ts")
-    start_scd1(typed, WEATHER_KEYS, WEATHER_SEQUENCE, f"{work}/silver", f"{work}/_ck/silver",
-               state_partitions=state_partitions)
-    return read_scd1(spark, f"{work}/silver", WEATHER_KEYS, WEATHER_SEQUENCE)
+def weather_flow(spark: SparkSession, granularities: dict[str, str], work: str) -> dict[str, tuple[DataFrame, dict]]:
+    """One silver table per granularity (name → landing folder): the newest delivery per station and
+    instant. Returns per granularity the table and the counts of rows read and dropped by this run."""
+    out = {}
+    for name, folder in granularities.items():
+        target = f"{work}/silver/{name}"
+        stored = weather_bronze(spark, folder, f"{work}/bronze/{name}", f"{work}/_ledger", f"bronze_{name}")
+        counts = {"rows_in": 0, "valid_key_dropped": 0}
+        if stored is not None:
+            valid, seen = expect_or_drop(weather_typed(stored), {"valid_key": "station_abbr IS NOT NULL AND reference_ts IS NOT NULL"},
+                                         f"weather_{name}")
+            write_changes(valid, target, f"run-{uuid.uuid4().hex[:12]}", WEATHER_KEYS, WEATHER_SEQUENCE)
+            counts = seen.get
+        if len(complete_changes(spark, target)) > COMPACT_AFTER:
+            compact_scd1(spark, target, WEATHER_KEYS, WEATHER_SEQUENCE)
+        if complete_changes(spark, target):
+            out[name] = (read_scd1(spark, target, WEATHER_KEYS, WEATHER_SEQUENCE), counts)
+    return out
 
 
 # ---------------------------------------------------------------- snow
@@ -135,112 +146,221 @@ def snow_flow(spark: SparkSession, silver_root: str) -> dict[str, int]:
 
 
 # ---------------------------------------------------------------- terrain
-def terrain_flow(tiles: DataFrame, work: str, res: float, cell_size: int, ledger_path: str,
-                 target_cells: str = "terrain_cells", buckets: int | None = None,
+def terrain_flow(tiles: DataFrame, work: str, cell_size: int, ledger_path: str,
+                 target_tiles: str = "terrain_tiles", target_cells: str = "terrain_cells",
                  raise_on_errors: bool = True) -> DataFrame:
-    """tiles: (tile_id, year, e_min, n_max, _source_file_id, _source_file, z array<array<double>>).
+    """tiles: (tile_id, year, tile_e_km, tile_n_km, resolution_m, crs, e_min, n_max, _source_file_id, _source_file,
+    _source_modified_at, z array<array<double>>); every tile has its own pixel size.
 
-    Tiles whose raster is empty or does not divide into k×k blocks are quarantined: written to
-    ``<work>/_errors`` and left out of the ledger (retried next run), while every other tile is
-    processed. Catalog and cells are replaced by source file id, the ledger is appended, and
-    the one-row control summary is returned — or, if tiles were rejected, ``QuarantineError`` is
-    raised after all of that is stored."""
+    Only tiles that are new or changed since the ledger logged their cells are read. Tiles whose raster is
+    empty, ragged or does not divide into cells are quarantined: written to ``<work>/_errors`` and left out of
+    the ledger (retried next run), while every other tile is processed. Catalog and cells are replaced by
+    source file id, both are logged with the source's time, and the one-row control summary is returned — or,
+    if tiles were rejected, ``QuarantineError`` is raised after all of that is stored."""
     spark = tiles.sparkSession
-    k = block_size(cell_size, res)
+    listing = tiles.select(F.col("_source_file_id").alias("file_id"), F.col("_source_file").alias("file_path"),
+                           F.col("_source_file").alias("file_name"),
+                           F.date_format("_source_modified_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("modified_time"))
+    if path_exists(spark, ledger_path):
+        listing = changed_by_epoch(listing, spark.read.parquet(ledger_path), target=target_cells)
+    # one narrow pass over the rasters decides which tiles fit; later steps read this small table
     h, w = F.size("z"), F.coalesce(F.size(F.get(F.col("z"), 0)), F.lit(0))
-    fits = (h > 0) & (w > 0) & (h % k == 0) & (w % k == 0)
-    tagged = tiles.withColumn("_fits", F.coalesce(fits, F.lit(False)))
-    bad = tagged.where(~F.col("_fits")).select(
-        "tile_id", "_source_file_id", "_source_file",
-        F.concat(F.lit(f"raster does not divide into {k}x{k} blocks: "), h.cast("string"), F.lit("x"),
-                 w.cast("string")).alias("message"))
+    shapes = tiles.select("tile_id", "_source_file_id", "_source_file", fits_blocks(cell_size, F.col("resolution_m")).alias("fits"),
+                          F.concat(h.cast("string"), F.lit("x"), w.cast("string")).alias("shape"))
+    stage = scratch_path(spark, "terrain_todo")
+    listing.join(shapes, F.col("file_id") == F.col("_source_file_id")).write.parquet(stage)
+    todo = spark.read.parquet(stage)
+    bad = todo.where("NOT fits").select("tile_id", "_source_file_id", "_source_file", F.concat(
+        F.lit(f"raster is empty, ragged or does not divide into cells of {cell_size} m: "), "shape").alias("message"))
     n_bad = bad.count()
     if n_bad:
         bad.write.mode("append").parquet(f"{work}/_errors")
-    good = tagged.where(F.col("_fits")).drop("_fits")
-    # tile rows already hold every pixel of a tile: compute in-row, no shuffle
-    extra = ("year", "_source_file_id", "_source_file")
-    cells = terrain_cells_from_tiles(good, res, cell_size, keys=("tile_id",), extra=extra)
-    stats = tile_stats_from_tiles(good, keys=("tile_id",), extra=extra)
-    ids = good.select("_source_file_id")
-    replace_by_key(stats, f"{work}/tiles", "_source_file_id", buckets=buckets, ids=ids)
-    touched = replace_by_key(cells, f"{work}/{target_cells}", "_source_file_id", buckets=buckets, ids=ids)
-    listing = good.select(F.col("_source_file_id").alias("file_id"), F.col("_source_file").alias("file_path"),
-                          F.col("_source_file").alias("file_name"), F.lit(None).cast("string").alias("modified_time"))
-    # cells per file, read back from the buckets just written (not recomputed from the rasters)
-    written = (spark.read.parquet(f"{work}/{target_cells}").where(F.col("_bucket").isin(touched))
-               .select("_source_file_id"))
-    record_ledger(ledger_rows(listing, written, target_cells), ledger_path)
-    spark.read.parquet(f"{work}/tiles").createOrReplaceTempView("alpina_tiles")
-    spark.read.parquet(f"{work}/{target_cells}").createOrReplaceTempView("alpina_cells")
-    summary = spark.sql("""
-        SELECT (SELECT count(*) FROM alpina_tiles) AS tiles,
-               (SELECT count(*) FROM alpina_cells) AS cells,
-               (SELECT round(min(elev_min)) FROM alpina_tiles) AS elev_min,
-               (SELECT round(max(elev_max)) FROM alpina_tiles) AS elev_max,
-               (SELECT count(*) FROM alpina_cells WHERE share_slope_30_45 > 0.5) AS cells_steep_30_45""")
+    fine = todo.where("fits")
+    ids = fine.select("_source_file_id")
+    good = tiles.join(ids, "_source_file_id", "left_semi")
+    # tile rows already hold every pixel of a tile: compute in-row
+    now = F.current_timestamp().alias("_ingested_at")
+    lineage = ("year", "_source_file", "_source_file_id", "_source_modified_at")
+    catalog = ("tile_e_km", "tile_n_km", "resolution_m", "crs", "e_min", "n_max")
+    stats = tile_stats_from_tiles(good, keys=("tile_id",), extra=(*lineage, *catalog))
+    stats = (stats.withColumn("e_max", F.col("e_min") + F.col("width_px") * F.col("resolution_m"))
+             .withColumn("n_min", F.col("n_max") - F.col("height_px") * F.col("resolution_m")).select("*", now))
+    cells = terrain_cells_from_tiles(good, "resolution_m", cell_size, keys=("tile_id",), extra=lineage).select("*", now)
+    done = {}
+    for name, rows in ((target_tiles, stats.repartitionByRange("tile_e_km", "tile_n_km")), (target_cells, cells.repartitionByRange("cell_e", "cell_n"))):
+        number = replace_by_key(rows, f"{work}/{name}", "_source_file_id", ids=ids)
+        done[name] = read_replaced(spark, f"{work}/{name}", "_source_file_id", batch=number)
+    logged = fine.select("file_id", "file_path", "file_name", "modified_time")
+    for name, rows in done.items():  # counts of this batch, read back from its own folder
+        record_ledger(ledger_rows(logged, rows.select("_source_file_id"), name), ledger_path)
+    one = F.lit(1)
+    summary = control_summary(
+        tiles=(read_replaced(spark, f"{work}/{target_tiles}", "_source_file_id"),
+               {"tiles": F.count(one), "elev_min": F.round(F.min("elev_min")), "elev_max": F.round(F.max("elev_max"))}),
+        cells=(read_replaced(spark, f"{work}/{target_cells}", "_source_file_id"),
+               {"cells": F.count(one), "cells_steep_30_45": F.count_if(F.col("share_slope_30_45") > 0.5)}))
     if n_bad and raise_on_errors:
         raise QuarantineError(f"{n_bad} tile(s) rejected; see {work}/_errors — the next run retries them")
     return summary
 
 
+# ---------------------------------------------------------------- runs
+RUN_FILES, RUN_LOGGED = "_files", "_LOGGED"
+
+
+def start_run(todo: DataFrame, target: str) -> str:
+    """A new run folder of a bronze table, with the list of files it loads."""
+    run = f"{target.rstrip('/')}/run={uuid.uuid4().hex[:12]}"
+    todo.select("file_id", "modified_time").write.parquet(f"{target.rstrip('/')}/{RUN_FILES}/{run.rsplit('=', 1)[1]}")
+    return run
+
+
+def finish_run(rows: DataFrame, run: str, ledger_path: str) -> None:
+    """Log the run's files, then mark its folder as logged."""
+    record_ledger(rows, ledger_path)
+    base, name = run.rsplit("/run=", 1)
+    write_text_file(rows.sparkSession, f"{base}/{RUN_FILES}/{name}/{RUN_LOGGED}", "")
+
+
+def settle_runs(spark: SparkSession, target: str, ledger_path: str, target_name: str) -> None:
+    """Undo runs that died before their files were logged (those files load again), so a crash
+    between the rows and the ledger duplicates nothing."""
+    base = target.rstrip("/")
+    for name in list_dir(spark, f"{base}/{RUN_FILES}"):
+        files = f"{base}/{RUN_FILES}/{name}"
+        if path_exists(spark, f"{files}/{RUN_LOGGED}"):
+            continue
+        logged = False
+        if path_exists(spark, f"{files}/_SUCCESS") and path_exists(spark, ledger_path):
+            mine = spark.read.parquet(files)
+            ledger = spark.read.parquet(ledger_path).where(F.col("target_table") == target_name)
+            logged = not mine.join(ledger, ["file_id", "modified_time"], "left_semi").isEmpty()
+        if logged:
+            write_text_file(spark, f"{files}/{RUN_LOGGED}", "")
+        else:
+            delete_path(spark, f"{base}/run={name}")
+            delete_path(spark, files)
+
+
 # ---------------------------------------------------------------- ingest
-def _lineage(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
-                     F.col("_metadata.file_modification_time").alias("_source_modified_at"))
-
-
-def _read_landed(spark: SparkSession, paths: list[str], fmt: str, sep: str, stage: str):
-    """(rows with source lineage, errors or None) for the files to load. CSV / JSON become
-    all-STRING bronze; parquet keeps its types. JSON files with corrupt records are rejected
-    whole (quarantine); lineage is attached before the parse is staged."""
-    if fmt == "csv":
-        # files may differ in their headers: bind columns by name, one read per header
-        return read_delimited_union(spark, paths, sep=sep, lineage=("_source_file", "_source_modified_at")), None
-    if fmt == "json":
-        parsed = _lineage(read_json_strings(spark, paths, corrupt_col="_corrupt_record"))
-        return split_corrupt_files(parsed, stage)
-    if fmt == "parquet":
-        return _lineage(spark.read.option("mergeSchema", True).parquet(*paths)), None
-    raise ValueError(f"unknown format {fmt!r}")
+SOURCE = ("_source_file", "_source_modified_at")
+REJECT = "_reject"
+ERRORS = "file string, message string"
+
+
+def _merged_names(df: DataFrame, technical: Sequence[str]) -> DataFrame:
+    """Clean the names of columns that several files share. Names of different files that become one are
+    merged; a row that has values under two of them is marked in REJECT (its file has a collision)."""
+    groups: dict[str, list[str]] = {}
+    for c in df.columns:
+        if c not in technical:
+            groups.setdefault(clean_column_name(c), []).append(c)
+    quoted = {n: [F.col("`" + c.replace("`", "``") + "`") for c in cs] for n, cs in groups.items()}
+    clash = [F.when(sum((c.isNotNull().cast("int") for c in cs[1:]), cs[0].isNotNull().cast("int")) > 1,
+                    F.lit(f"cleaned column names collide: {n}")) for n, cs in quoted.items() if len(cs) > 1]
+    reject = F.coalesce(F.col(REJECT), *clash) if REJECT in df.columns else F.coalesce(F.lit(None).cast("string"), *clash)
+    return df.select(*[F.coalesce(*cs).alias(n) for n, cs in quoted.items()], *[t for t in technical if t != REJECT], reject.alias(REJECT))
+
+
+def _read_csv(spark: SparkSession, paths: list[str], sep: str, multi_line: bool) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    frames, errors = [], []
+    for line, files in sorted(header_signatures(spark, paths, sep).items()):
+        try:
+            names = clean_names(header_names(line, sep))
+        except NameCollision as e:
+            errors += [(f, str(e)) for f in files]
+            continue
+        df = frame_of_header(spark, names, files, sep, None, multi_line, True, SOURCE, surplus="_surplus")
+        reject = F.when(F.col("_surplus").isNotNull(), F.concat(F.lit("a line has more fields than the header: "), F.col("_surplus")))
+        frames.append(df.withColumn(REJECT, reject).drop("_surplus"))
+    return (union_by_name(frames, allow_missing=True) if frames else None), errors
+
+
+def _read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
+    df = read_json_strings(spark, paths, corrupt_col="_corrupt_record", lineage=SOURCE)
+    df = df.withColumn(REJECT, F.when(F.col("_corrupt_record").isNotNull(), F.concat(F.lit("corrupt record: "), "_corrupt_record")))
+    return _merged_names(df.drop("_corrupt_record"), [*SOURCE, REJECT])
+
+
+def _readable_parquet(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[tuple[str, str]]]:
+    """(files Spark can read, errors of the others), by halving the list where a read fails."""
+    try:
+        clean_names(spark.read.option("mergeSchema", True).parquet(*paths).columns)
+        spark.read.option("mergeSchema", True).parquet(*paths).write.format("noop").mode("overwrite").save()
+        return paths, []
+    except Exception as e:  # one bad file fails the whole read
+        if len(paths) == 1:
+            return [], [(paths[0], str(e).split("\n")[0])]
+        good, errors = [], []
+        for part in (paths[:len(paths) // 2], paths[len(paths) // 2:]):
+            g, e = _readable_parquet(spark, part)
+            good, errors = good + g, errors + e
+        return good, errors
+
+
+def _read_parquet(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    good, errors = _readable_parquet(spark, paths)
+    if not good:
+        return None, errors
+    df = spark.read.option("mergeSchema", True).parquet(*good)
+    return clean_columns(df).select("*", source_path().alias(SOURCE[0]),
+                                    F.col("_metadata.file_modification_time").alias(SOURCE[1]),
+                                    F.lit(None).cast("string").alias(REJECT)), errors
 
 
 def ingest_flow(spark: SparkSession, landing: str, pattern: str, target: str, ledger_path: str,
-                target_name: str, sep: str = ",", fmt: str = "csv", raise_on_errors: bool = True) -> DataFrame:
+                target_name: str, sep: str = ",", fmt: str = "csv", multi_line: bool = False,
+                raise_on_errors: bool = True) -> DataFrame:
     """Incremental file ingest into a bronze table: listing → change detection against the ledger →
-    read (all-STRING for csv/json) → cleaned names → lineage → evolving append → ledger rows for
-    the loaded files (0-row files included). Rejected files are written to ``<target>_errors`` and
-    left out of the ledger, so the next run retries them; the run then fails
-    (``QuarantineError``) after everything else is stored. Returns the ledger rows written."""
-    from alpina.session import path_exists, scratch_path
-    files = list_files(spark, landing, pattern).select(
-        F.col("path").alias("file_id"), F.col("path").alias("file_path"), F.col("name").alias("file_name"),
-        F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("modified_time"))
-    if path_exists(spark, ledger_path):
-        todo = changed_by_time(files, spark.read.parquet(ledger_path), target=target_name)
-    else:
-        todo = files
-    paths = [r["file_path"] for r in todo.select("file_path").collect()]  # the files to open (metadata)
-    if not paths:
+    read (all-STRING for csv/json; an empty CSV field stays ``""``) → cleaned names → lineage → a run folder of
+    its own → ledger rows for the loaded files (files without rows included).
+
+    A file that cannot be read whole is rejected alone, whatever its format: a CSV line with more fields
+    than its header, a corrupt JSON record, an unreadable Parquet file, names that collide, no content.
+    Rejected files are written to ``<target>_errors`` and left out of the ledger, so the next run retries
+    them; the run then fails (``QuarantineError``) after everything else is stored. Returns the ledger rows."""
+    settle_runs(spark, target, ledger_path, target_name)
+    listing = list_files(spark, landing, pattern)
+    files = _file_listing(spark, landing, pattern).join(listing.select(F.col("path").alias("file_id"), "size"), "file_id")
+    todo = changed_by_time(files, spark.read.parquet(ledger_path), target=target_name) if path_exists(spark, ledger_path) else files
+    found = todo.select("file_path", "size").collect()  # the files to open
+    if not found:
         return spark.createDataFrame([], "file_id string")
-    raw, errors = _read_landed(spark, paths, fmt, sep, scratch_path(spark, "ingest_stage"))
-    # one ingestion instant per run (as one write job has one): it also identifies this run's rows
-    run_ts = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
-    loaded = clean_columns(raw).select("*", F.lit(run_ts).cast("timestamp").alias("_ingested_at"))
-    append_evolving(loaded, target)
-    bad = [] if errors is None else [r["file"] for r in errors.select("file").collect()]  # rejected files only
-    if bad:
-        errors.write.mode("append").parquet(f"{target.rstrip('/')}_errors")
-    ok = todo.where(~F.col("file_path").isin(bad)) if bad else todo
-    # rows per file of this run only: min/max statistics on _ingested_at skip older row groups
-    this_run = (spark.read.parquet(target).where(F.col("_ingested_at") == F.lit(run_ts).cast("timestamp"))
-                .select(F.col("_source_file").alias("_source_file_id")))
-    rows = ledger_rows(ok, this_run, target_name)
-    record_ledger(rows, ledger_path)
-    if bad and raise_on_errors:
-        raise QuarantineError(f"{len(bad)} file(s) rejected: {bad[:5]}")
+    errors = [(r["file_path"], "no content") for r in found if r["size"] == 0 and fmt != "json"]
+    paths = [raw_path(r["file_path"]) for r in found if r["size"] > 0]
+    raw = None
+    if paths and fmt == "csv":
+        raw, more = _read_csv(spark, paths, sep, multi_line)
+    elif paths and fmt == "json":
+        raw, more = _read_json(spark, paths), []
+    elif paths and fmt == "parquet":
+        raw, more = _read_parquet(spark, paths)
+        more = [(r["file_path"], m) for p, m in more for r in found if raw_path(r["file_path"]) == p]
+    elif paths:
+        raise ValueError(f"unknown format {fmt!r}")
+    else:
+        more = []
+    bad = spark.createDataFrame([*errors, *more], ERRORS)
+    run = start_run(todo, target)
+    loaded = spark.createDataFrame([], "_source_file_id string")
+    if raw is not None:
+        stage = scratch_path(spark, "ingest_stage")
+        raw.write.parquet(stage)  # parsed once; both sides read the same rows
+        rows = spark.read.parquet(stage)
+        bad = bad.unionByName(rows.where(F.col(REJECT).isNotNull()).groupBy(F.col(SOURCE[0]).alias("file"))
+                              .agg(F.min(REJECT).alias("message")))
+        good = rows.join(bad.select(F.col("file").alias(SOURCE[0])), SOURCE[0], "left_anti").drop(REJECT)
+        good.select(*[c for c in good.columns if c not in SOURCE], *SOURCE, F.current_timestamp().alias("_ingested_at")).write.parquet(run)
+        loaded = spark.read.parquet(run).select(F.col(SOURCE[0]).alias("_source_file_id"))
+    n_bad = bad.count()
+    if n_bad:
+        bad.withColumn("_ingested_at", F.current_timestamp()).write.mode("append").parquet(f"{target.rstrip('/')}_errors")
+    ok = todo.join(bad.select(F.col("file").alias("file_id")), "file_id", "left_anti")
+    rows = ledger_rows(ok, loaded, target_name)
+    finish_run(rows, run, ledger_path)
+    if n_bad and raise_on_errors:
+        raise QuarantineError(f"{n_bad} file(s) rejected; see {target}_errors")
     return rows
 
 
-__all__ = ["weather_flow", "snow_flow", "terrain_flow", "ingest_flow", "weather_bronze", "LINEAGE_UNDERSCORE",
-           "read_existing", "tile_stats"]
+__all__ = ["weather_flow", "snow_flow", "terrain_flow", "ingest_flow", "weather_bronze"]

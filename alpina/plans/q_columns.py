@@ -246,7 +246,7 @@ def q_bbox_filter(spark: SparkSession, sf: str):
 
 @query("verify_checksum", """
 SELECT doc_id, CASE WHEN doc_id % 13 = 0 OR doc_id % 17 = 0 THEN NULL
-                    WHEN doc_id % 9 = 0 THEN false ELSE true END AS ok
+                    WHEN doc_id % 9 = 0 OR doc_id % 11 = 0 THEN false ELSE true END AS ok
 FROM documents""")
 def q_verify_checksum(spark: SparkSession, sf: str):
     d = table(spark, sf, "documents")
@@ -255,7 +255,8 @@ def q_verify_checksum(spark: SparkSession, sf: str):
     ck = (F.when(F.pmod(k, F.lit(13)) == 0, F.lit(None).cast("string"))
           .when(F.pmod(k, F.lit(17)) == 0, F.concat(F.lit("1b20"), digest))
           .when(F.pmod(k, F.lit(9)) == 0, F.concat(F.lit("1220"), F.sha2(F.concat("text", F.lit("x")), 256)))
-          .otherwise(F.concat(F.lit("1220"), F.upper(digest))))
+          .when(F.pmod(k, F.lit(11)) == 0, F.concat(F.lit("1220"), F.upper(digest)))
+          .otherwise(F.concat(F.lit("1220"), digest)))
     return d.select("doc_id", verify_checksum("text", ck).alias("ok"))
 
 

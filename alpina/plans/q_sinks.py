@@ -13,7 +13,7 @@ from alpina.session import scratch_path
 from alpina.sinks.ledger import LEDGER_SCHEMA, ledger_rows, merge_manifest, record_ledger
 from alpina.sinks.tables import (
     append_evolving, create_typed_table, expire_partitions, full_refresh, materialize_view,
-    overwrite_table, read_evolving, replace_by_key, write_dated_partitions,
+    overwrite_table, read_evolving, read_replaced, replace_by_key, write_dated_partitions,
 )
 from alpina.sources.delimited import read_delimited, write_delimited
 
@@ -56,13 +56,13 @@ def q_replace_by_key(spark: SparkSession, sf: str):
     doubled price and only the even order keys; applied twice (idempotence)."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", r6("o_totalprice").alias("o_totalprice"))
     path = scratch_path(spark, "replace")
-    replace_by_key(o, path, "o_custkey", buckets=16)
+    replace_by_key(o, path, "o_custkey")
     batch = (table(spark, sf, "orders")
              .where((F.pmod("o_custkey", F.lit(7)) == 0) & (F.pmod("o_orderkey", F.lit(2)) == 0))
              .select("o_orderkey", "o_custkey", r6(F.col("o_totalprice") * 2).alias("o_totalprice")))
-    replace_by_key(batch, path, "o_custkey", buckets=16)
-    replace_by_key(batch, path, "o_custkey", buckets=16)
-    return spark.read.parquet(path).drop("_bucket")
+    replace_by_key(batch, path, "o_custkey")
+    replace_by_key(batch, path, "o_custkey")
+    return read_replaced(spark, path, "o_custkey")
 
 
 @query("create_typed_table", """

@@ -60,13 +60,13 @@ LATIN_SAFE = r"^[\x00-\x7F\xA0-\xFF]*$"
 @query("read_charset_csv", r"""
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text
 FROM documents
-WHERE lang IN ('de', 'es', 'fr') AND regexp_matches(text, '^[\x00-\x7F\xA0-\xFF]*$')""")
+WHERE regexp_matches(text, '^[\x00-\x7F\xA0-\xFF]*$')""")
 def q_read_charset_csv(spark: SparkSession, sf: str):
-    d = table(spark, sf, "documents").where(F.col("lang").isin("de", "es", "fr") & F.col("text").rlike(LATIN_SAFE))
+    d = table(spark, sf, "documents").where(F.col("text").rlike(LATIN_SAFE))
     path = scratch_path(spark, "cp1252_csv")
     write_delimited(d.select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text"), path, sep=";",
                     encoding="windows-1252")
-    return read_charset_csv(spark, path, sep=";", encoding="windows-1252")
+    return read_charset_csv(spark, path, sep=";", encoding="windows-1252", multi_line=True)  # texts hold line breaks
 
 
 @query("read_json_strings", """
@@ -95,18 +95,17 @@ def q_read_parquet_typed(spark: SparkSession, sf: str):
 
 
 @query("list_files", """
-SELECT 'source=' || source AS folder, count(*) AS n_files
-FROM (SELECT DISTINCT source FROM documents) GROUP BY 1""")
+SELECT DISTINCT 'source=' || source AS folder, CAST(1 AS BIGINT) AS n_files FROM documents""")
 def q_list_files(spark: SparkSession, sf: str):
-    """Documents landed as one JSON file per source folder (plus CSV noise files); listing
-    with a glob keeps only the JSON files."""
+    """Documents landed as JSON files per source folder (plus CSV noise files); listing with a
+    glob keeps only the JSON files."""
     d = table(spark, sf, "documents")
     root = scratch_path(spark, "landing_tree")
-    d.repartition("source").write.mode("overwrite").partitionBy("source").json(f"{root}/json")
+    d.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").json(f"{root}/json")
     table(spark, sf, "labels").write.mode("overwrite").csv(f"{root}/csv")
     files = list_files(spark, root, "*.json")
     return (files.select(F.regexp_extract("path", r"/(source=[^/]+)/[^/]+$", 1).alias("folder"))
-            .groupBy("folder").agg(F.count(F.lit(1)).alias("n_files")))
+            .groupBy("folder").agg(F.lit(1).cast("long").alias("n_files")))
 
 
 @query("with_lineage", """

@@ -19,7 +19,7 @@ from alpina.session import scratch_path
 from alpina.sources.delimited import write_delimited
 from alpina.sources.files import with_lineage
 from alpina.sources.json_text import read_json_strings
-from alpina.streaming.bronze import bronze_stream, run_append, stream_files
+from alpina.streaming.bronze import bronze_stream, dropped_counts, run_append, stream_files
 from alpina.streaming.scd1 import read_scd1, start_scd1
 
 LATEST_EVENTS_SQL = """
@@ -84,8 +84,7 @@ def q_stream_scd1(spark: SparkSession, sf: str):
     s = stream_files(spark, root, schema, "parquet", {"maxFilesPerTrigger": 1}) \
         .select("user_id", "event_type", "event_id", "ts", "value")
     target, ck = scratch_path(spark, "silver_events"), scratch_path(spark, "ck_silver_events")
-    # state partitions sized to the table's key count (a few hundred keys per partition here)
-    start_scd1(s, ["user_id", "event_type"], ["ts", "event_id"], target, ck, state_partitions=8)
+    start_scd1(s, ["user_id", "event_type"], ["ts", "event_id"], target, ck)
     out = read_scd1(spark, target, ["user_id", "event_type"], ["ts", "event_id"])
     return out.select("user_id", "event_type", "event_id", ts_text_ms("ts").alias("ts"), r6("value").alias("value"))
 
@@ -138,7 +137,9 @@ def q_stream_expect(spark: SparkSession, sf: str):
         cond = cond & c
     kept = counted.where(cond).select("event_id", "user_id", "event_type", "value")
     out, ck = scratch_path(spark, "expect_events"), scratch_path(spark, "ck_expect_events")
-    run_append(kept, out, ck)
+    dropped = dropped_counts(run_append(kept, out, ck), "expectations")
+    if set(dropped) != {"rows_in", *(f"{n}_dropped" for n in EVENT_EXPECTATIONS)}:
+        raise RuntimeError(f"the stream reported {dropped}")
     return spark.read.parquet(out).withColumn("value", r6("value"))
 
 
@@ -154,7 +155,7 @@ def q_quarantine(spark: SparkSession, sf: str):
     line = F.when((F.col("event_type") == "error") & (F.pmod("event_id", F.lit(50)) == 0),
                   F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', broken')))\
         .otherwise(body)
-    (e.select(line.alias("value"), F.col("event_type").alias("part")).repartition("part")
+    (e.select(line.alias("value"), F.col("event_type").alias("part")).hint("rebalance", "part")
      .write.mode("overwrite").partitionBy("part").text(root))
     parsed = with_lineage(read_json_strings(spark, root, multi_line=False, corrupt_col="_corrupt_record"))
     good, errors = split_corrupt_files(parsed, scratch_path(spark, "quarantine_stage"))

@@ -59,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         root = tempfile.mkdtemp(prefix="alpina-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()

@@ -1,8 +1,8 @@
 """Parquet-path table maintenance without a transactional format.
 
 Rules used throughout: never overwrite a path that the same plan reads (stage first);
-replace only the partitions a batch touches (dynamic partition overwrite); delete emptied
-partitions explicitly; make every write idempotent under replay.
+add a batch as a folder of its own that a marker file completes, and resolve the newest per key on
+reading; make every write idempotent under replay.
 """
 
 from __future__ import annotations
@@ -78,87 +78,74 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     return spark.read.parquet(path).count()
 
 
-def key_bucket(id_col: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
+DONE = "_DONE"
+FOLD_AFTER = 20
 
 
-BUCKETS_MARKER = "_buckets"
-
-
-def table_buckets(spark: SparkSession, path: str, requested: int | None) -> int:
-    """The bucket count of a bucketed table: fixed at creation (recorded in a marker file that
-    readers ignore), because a different count would move ids to other buckets. New tables
-    default to the session's shuffle parallelism."""
-    marker = f"{path.rstrip('/')}/{BUCKETS_MARKER}"
-    if path_exists(spark, marker):
-        fs, p = hadoop_fs(spark, marker)
-        stream = fs.open(p)
-        try:
-            n = int(bytes(stream.readAllBytes()).decode().strip())
-        finally:
-            stream.close()
-        if requested is not None and requested != n:
-            raise ValueError(f"{path} has {n} buckets, not {requested}")
-        return n
-    return requested or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _batches(spark: SparkSession, path: str, done: bool = True) -> list[int]:
+    base = path.rstrip("/")
+    found = (n for n in list_dir(spark, base) if n.startswith("batch="))
+    return sorted(int(n.split("=", 1)[1]) for n in found if path_exists(spark, f"{base}/{n}/{DONE}") == done)
 
 
-def replace_by_key(batch: DataFrame, path: str, id_col: str, buckets: int | None = None,
-                   bucket_col: str = "_bucket", ids: DataFrame | None = None) -> list[int]:
+def replace_by_key(batch: DataFrame, path: str, id_col: str, ids: DataFrame | None = None,
+                   fold_after: int = FOLD_AFTER) -> int:
     """Idempotent replacement: rows whose source id is in ``ids`` (default: the ids occurring
-    in the batch) are removed, then the batch is appended.
+    in the batch) are replaced by the batch's rows of that id.
 
     ``ids`` may name sources that now yield no rows at all (a re-processed file whose cells are
-    all no-data); their old rows disappear too. The table is hash-partitioned by id into
-    ``buckets`` folders; only the buckets touched by ``ids`` are rewritten, in place, by
-    dynamic partition overwrite (the output is staged and swapped at commit, so reading the
-    same partitions in the plan is safe). Buckets left without rows are deleted explicitly —
-    dynamic overwrite alone would keep their stale files. The batch is evaluated once (staged).
-    Returns the buckets written, so callers can read back just this batch's rows.
-    """
-    spark = batch.sparkSession
+    all no-data); their old rows disappear too. A batch is a folder of its own with its rows and the ids it
+    replaces; a marker file, written last, makes it part of the table. Nothing that exists is rewritten or deleted
+    to add it, so the cost follows the batch and a crash at any point leaves the table as it was.
+    :func:`read_replaced` resolves the newest batch per id. After ``fold_after`` batches they are folded into one.
+    Returns the batch number."""
+    spark, base = batch.sparkSession, path.rstrip("/")
+    for left in _batches(spark, base, done=False):  # of a run that died
+        delete_path(spark, f"{base}/batch={left}")
+    number = max(_batches(spark, base), default=0) + 1
+    folder = f"{base}/batch={number}"
+    batch.write.parquet(f"{folder}/rows")
+    named = spark.read.schema(batch.schema).parquet(f"{folder}/rows") if ids is None else ids
+    named.select(F.col(id_col).alias("id")).distinct().write.parquet(f"{folder}/ids")
+    write_text_file(spark, f"{folder}/{DONE}", "")
+    if len(_batches(spark, base)) > fold_after:
+        fold_batches(spark, base, id_col)
+    return number
+
+
+def read_replaced(spark: SparkSession, path: str, id_col: str, batch: int | None = None) -> DataFrame:
+    """The table as it stands: each source id's rows from the newest batch that names it (or the rows
+    of one ``batch``). Columns added by later batches are NULL in earlier ones."""
+    base = path.rstrip("/")
+    numbers = [batch] if batch is not None else _batches(spark, base)
+    if not numbers:
+        raise FileNotFoundError(f"no complete batch below {path}")
+    rows = spark.read.option("mergeSchema", True).parquet(*[f"{base}/batch={n}/rows" for n in numbers])
+    if len(numbers) == 1:
+        return rows
+    columns = rows.columns
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("int")
+    ids = spark.read.parquet(*[f"{base}/batch={n}/ids" for n in numbers]).select("id", number.alias("_batch"))
+    newest = ids.groupBy("id").agg(F.max("_batch").alias("_newest"))
+    numbered = rows.select("*", number.alias("_batch"))
+    return (numbered.join(newest, F.col(id_col).eqNullSafe(F.col("id")) & (F.col("_batch") == F.col("_newest")), "left_semi")
+            .select(*[f"`{c}`" for c in columns]))
+
+
+def fold_batches(spark: SparkSession, path: str, id_col: str) -> int:
+    """Rewrite the table as one batch that names every id, then drop the batches before it. Until its
+    marker is written the old ones stand; after that they are superseded, deleted or not."""
     base = path.rstrip("/")
-    buckets = table_buckets(spark, path, buckets)
-    stage = f"{base}.__batch_{uuid.uuid4().hex[:8]}"
-    bucketed = batch.withColumn(bucket_col, key_bucket(id_col, buckets))
-    # rebalance: one writer group per bucket, AQE splits a bucket that a hot id makes oversized
-    bucketed.hint("rebalance", bucket_col).write.partitionBy(bucket_col).parquet(stage)
-    staged = spark.read.schema(bucketed.schema).parquet(stage)
-    staged_buckets = {int(n.split("=", 1)[1]) for n in list_dir(spark, stage) if n.startswith(bucket_col + "=")}
-    if not path_exists(spark, path):
-        if staged_buckets:
-            _rename(spark, stage, path)
-            write_text_file(spark, f"{base}/{BUCKETS_MARKER}", str(buckets))
-        else:
-            delete_path(spark, stage)
-        return sorted(staged_buckets)
-    if ids is None:
-        if not staged_buckets:  # empty batch, no ids: nothing to replace
-            delete_path(spark, stage)
-            return []
-        id_frame = staged.select(F.col(id_col).alias("_bid")).distinct()
-        affected = set(staged_buckets)
-    else:
-        id_frame = ids.select(F.col(id_col).alias("_bid")).distinct()
-        # one small job: the touched buckets (≤ buckets rows) and the id count behind them
-        per_bucket = id_frame.groupBy(key_bucket("_bid", buckets).alias("b")).count().collect()
-        affected = {r["b"] for r in per_bucket} | staged_buckets
-        if sum(r["count"] for r in per_bucket) <= 1_000_000:
-            id_frame = F.broadcast(id_frame)
-    current = spark.read.parquet(path).where(F.col(bucket_col).isin(sorted(affected)))
-    kept = current.join(id_frame, current[id_col] == F.col("_bid"), "left_anti")
-    at_risk = sorted(affected - staged_buckets)
-    survivors = set()
-    if at_risk:
-        survivors = {r[0] for r in kept.where(F.col(bucket_col).isin(at_risk)).select(bucket_col).distinct().collect()}
-    new = kept.unionByName(staged.select(*current.columns))
-    (new.hint("rebalance", bucket_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(bucket_col).parquet(path))
-    for bkt in at_risk:
-        if bkt not in survivors:
-            delete_path(spark, f"{base}/{bucket_col}={bkt}")
-    delete_path(spark, stage)
-    return sorted(affected)
+    old = _batches(spark, base)
+    number = old[-1] + 1
+    read_replaced(spark, base, id_col).write.mode("overwrite").parquet(f"{base}/batch={number}/rows")
+    (spark.read.parquet(*[f"{base}/batch={n}/ids" for n in old]).distinct()
+     .write.mode("overwrite").parquet(f"{base}/batch={number}/ids"))
+    write_text_file(spark, f"{base}/batch={number}/{DONE}", "")
+    for n in old:
+        delete_path(spark, f"{base}/batch={n}/{DONE}")
+        delete_path(spark, f"{base}/batch={n}")
+    return number
 
 
 def create_typed_table(spark: SparkSession, name: str, columns: Sequence[tuple[str, str, str | None]],

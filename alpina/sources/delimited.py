@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from alpina.operators.projection import union_by_name
+from alpina.sources.files import raw_path, source_path
 
 
 def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def csv_reader(spark: SparkSession, sep: str = ",", encoding: str | None = None, multi_line: bool = True):
+def csv_reader(spark: SparkSession, sep: str = ",", encoding: str | None = None, multi_line: bool = False):
     """The CSV reader every delimited source shares: header, no type inference (all STRING),
-    RFC-4180 quoting (``""`` escapes a quote), quoted newlines allowed."""
+    RFC-4180 quoting (``""`` escapes a quote). Files are split among tasks; ``multi_line`` is for sources whose
+    fields hold line breaks (then one task reads a file)."""
     r = (spark.read.option("header", True).option("inferSchema", False)
          .option("sep", sep).option("quote", '"').option("escape", '"')
          .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
@@ -26,67 +30,52 @@ def csv_reader(spark: SparkSession, sep: str = ",", encoding: str | None = None,
 
 
 def read_delimited(spark: SparkSession, paths, sep: str = ",", keep_empty: bool = False,
-                   encoding: str | None = None) -> DataFrame:
+                   encoding: str | None = None, multi_line: bool = False) -> DataFrame:
     """Header CSV → every column STRING.
 
     ``keep_empty=True`` keeps empty fields as ``""`` (as a text-preserving reader would) instead
     of NULL."""
-    df = csv_reader(spark, sep, encoding).csv(_paths(paths))
+    df = csv_reader(spark, sep, encoding, multi_line).csv(_paths(paths))
     if keep_empty:
         df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
     return df
 
 
-def read_charset_csv(spark: SparkSession, paths, sep: str = ";", encoding: str = "windows-1252") -> DataFrame:
+def read_charset_csv(spark: SparkSession, paths, sep: str = ";", encoding: str = "windows-1252",
+                     multi_line: bool = False) -> DataFrame:
     """CSV in a legacy single-byte charset (needs ``spark.sql.legacy.javaCharsets=true``)."""
-    return csv_reader(spark, sep, encoding).csv(_paths(paths))
+    return csv_reader(spark, sep, encoding, multi_line).csv(_paths(paths))
 
 
 def header_signatures(spark: SparkSession, paths, sep: str, key_col: str | None = None) -> dict[str, list[str]]:
-    """header line → files having it. With ``key_col``, header lines are those whose first
-    field is the key column; without, a file's header is its first line: the smallest
-    ``monotonically_increasing_id`` among its block-0 lines (ids grow in read order within a
-    partition, and a split is read front to back). Only distinct (header, file) pairs reach the
-    driver: bounded by the file count, which the file index already holds on the driver."""
-    lines = spark.read.text(_paths(paths)).select(
-        F.col("value"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("blk"))
-    if key_col is None:
-        first_lines = (lines.where(F.col("blk") == 0).withColumn("_i", F.monotonically_increasing_id())
-                       .groupBy("file").agg(F.min_by("value", "_i").alias("value")))
-        groups: dict[str, list[str]] = {}
-        for r in first_lines.collect():
-            groups.setdefault(r["value"], []).append(r["file"])
-        return groups
-    first = F.regexp_replace(F.split(F.col("value"), _regex_quote(sep)).getItem(0), r'^﻿?"?|"$', "")
-    hdr = lines.where((F.col("blk") == 0) & (first == F.lit(key_col)))
+    """header line → files having it (paths in ``_metadata.file_path`` form). A file's header is its
+    first line: the one with the smallest ``monotonically_increasing_id`` in its first block (ids grow in read
+    order, and a split is read front to back); only that line of a file leaves its task. With ``key_col``, only
+    files whose first header field is the key column count."""
+    first = (spark.read.text(_paths(paths)).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("i"))
+             .groupBy("file").agg(F.min_by("value", "i").alias("value")))
     groups: dict[str, list[str]] = {}
-    for r in hdr.select("value", "file").distinct().collect():
-        groups.setdefault(r["value"], []).append(r["file"])
+    for r in first.collect():
+        if key_col is None or header_names(r["value"], sep)[:1] == [key_col]:
+            groups.setdefault(r["value"], []).append(r["file"])
     return groups
 
 
-def first_header(spark: SparkSession, folder: str, sep: str, pattern: str = "*.csv") -> list[str] | None:
-    """Column names from the first line of one file below ``folder`` (listing without content,
-    then one first-split read): O(1) in the data size. For file streams that check every file's
-    header themselves (``enforceSchema=false``)."""
-    from alpina.sources.files import list_files
-    one = list_files(spark, folder, pattern).select("path").limit(1).collect()
-    if not one:
-        return None
-    line = spark.read.text(one[0]["path"]).limit(1).collect()
-    if not line:
-        return None
-    return [c.strip().strip('"').lstrip("\ufeff") for c in line[0]["value"].split(sep)]
-
-
-def _regex_quote(s: str) -> str:
-    import re
-    return re.escape(s)
+def header_names(line: str, sep: str) -> list[str]:
+    """Field names of a header line; a name that occurs again gets a number, as in ``a``, ``a.1``."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in next(csv.reader([line.lstrip("\ufeff")], delimiter=sep), []):
+        k = seen.get(name, 0)
+        seen[name] = k + 1
+        out.append(f"{name}.{k}" if k else name)
+    return out
 
 
 def read_delimited_union(spark: SparkSession, paths, sep: str, key_col: str | None = None,
-                         encoding: str | None = None, lineage: tuple[str, str] | None = None) -> DataFrame:
+                         encoding: str | None = None, lineage: tuple[str, str] | None = None,
+                         multi_line: bool = False, keep_empty: bool = False) -> DataFrame:
     """Files with **different headers** → union of their columns by name, absent = NULL.
 
     The CSV reader binds columns by position, so one read per distinct header is made and the
@@ -95,14 +84,32 @@ def read_delimited_union(spark: SparkSession, paths, sep: str, key_col: str | No
     groups = header_signatures(spark, paths, sep, key_col)
     if not groups:
         raise ValueError(f"no header found under {paths} (key column {key_col!r})")
-    frames = [csv_reader(spark, sep, encoding).csv(sorted(files)) for _, files in sorted(groups.items())]
-    if lineage:  # file metadata is only resolvable on each scan, before the union
-        f, m = lineage
-        frames = [fr.select("*", F.col("_metadata.file_path").alias(f),
-                            F.col("_metadata.file_modification_time").alias(m)) for fr in frames]
+    frames = [frame_of_header(spark, header_names(line, sep), files, sep, encoding, multi_line, keep_empty, lineage)
+              for line, files in sorted(groups.items())]
     return union_by_name(frames, allow_missing=True)
 
 
+def frame_of_header(spark: SparkSession, names: list[str], files: list[str], sep: str, encoding: str | None,
+               multi_line: bool, keep_empty: bool, lineage: tuple[str, str] | None, surplus: str | None = None) -> DataFrame:
+    """Files with one header. With ``keep_empty`` an empty field is ``""``; a field that its line lacks is NULL
+    (in such short lines empty fields are NULL too). ``surplus`` names a column for the first field beyond the
+    header."""
+    fields = [StructField(f"c{i}", StringType()) for i in range(len(names))]
+    # a line with more or fewer fields than the header is kept as text in _odd
+    reader = csv_reader(spark, sep, encoding, multi_line).schema(StructType([*fields, StructField("_odd", StringType())]))
+    df = reader.option("columnNameOfCorruptRecord", "_odd").csv([raw_path(f) for f in sorted(files)])
+    whole = F.col("_odd").isNull()
+    picked = [(F.when(whole, F.coalesce(f"c{i}", F.lit(""))).otherwise(F.col(f"c{i}")) if keep_empty else F.col(f"c{i}")).alias(n)
+              for i, n in enumerate(names)]
+    if surplus:
+        wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+        odd = F.from_csv("_odd", F.lit(wider), {"sep": sep, "quote": '"', "escape": '"'})
+        picked.append(F.when(~whole, odd[f"c{len(names)}"]).alias(surplus))
+    if lineage:  # file metadata is only resolvable on each scan, before the union
+        picked += [source_path().alias(lineage[0]), F.col("_metadata.file_modification_time").alias(lineage[1])]
+    return df.select(*picked)
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", encoding: str | None = None,
                     mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """CSV writer matching :func:`csv_reader` (header, ``""`` quote escaping)."""

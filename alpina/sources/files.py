@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alpina.operators.projection import union_by_name
+from alpina.session import hadoop_fs
 
 
 def read_parquet_typed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -22,18 +25,33 @@ def read_parquet_typed(spark: SparkSession, path: str, columns: Sequence[str] |
     return df
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Recursive listing → (path, name, size, modified), filtered by a glob on the base name.
+def raw_path(uri: str) -> str:
+    """The path a reader takes for a ``_metadata.file_path`` (which is percent-encoded)."""
+    return unquote(uri)
 
-    Uses the binaryFile source with the content column pruned, so no file is opened."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-          .option("pathGlobFilter", pattern).load(root))
-    return df.select(
-        F.col("path"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
-    )
+
+def source_path() -> Column:
+    """``_metadata.file_path`` in the one form that listings use too (``file:/x``, never ``file:///x``)."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """Recursive listing → (path, name, size, modified), filtered by a glob on the base name; empty
+    files included. ``path`` is percent-encoded, as :func:`source_path` names a row's file.
+
+    Folders are listed through the file system's own iterator; only names, sizes and times are held."""
+    fs, top = hadoop_fs(spark, root)
+    rows, jvm = [], spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.GlobPattern(pattern)
+    if fs.exists(top):
+        found = fs.listFiles(top, True)
+        while found.hasNext():
+            s = found.next()
+            parts = s.getPath().toUri().getPath()[len(fs.makeQualified(top).toUri().getPath()):].split("/")
+            if glob.matches(s.getPath().getName()) and not any(x.startswith(("_", ".")) for x in parts):
+                rows.append((re.sub("^file:/+", "file:/", s.getPath().toUri().toString()), s.getPath().getName(), s.getLen(), s.getModificationTime()))
+    df = spark.createDataFrame(rows, "path string, name string, size long, ms long")
+    return df.select("path", "name", "size", F.timestamp_millis("ms").alias("modified"))
 
 
 def read_binary(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

@@ -16,19 +16,33 @@ def _col(c) -> Column:
 
 def resolve_url(href, base) -> Column:
     """Resolve a link against its page URL: absolute, scheme-relative, root-relative,
-    query/fragment-only, or relative to the base's folder. (Dot segments are kept as written.)"""
+    query/fragment-only, or relative to the base's folder; dot segments are resolved."""
     h, b = _col(href), _col(base)
     scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     no_frag = F.regexp_replace(b, r"#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     folder = F.regexp_extract(no_query, r"^(.*/)", 1)
+    folder = F.when(F.length(folder) <= F.length(origin), F.concat(origin, F.lit("/"))).otherwise(folder)
     return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
             .when(h.startswith("?"), F.concat(no_query, h))
             .when(h.startswith("#"), F.concat(no_frag, h))
-            .otherwise(F.concat(F.when(folder == "", F.concat(origin, F.lit("/"))).otherwise(folder), h)))
+            .when(h.startswith("/"), without_dots(F.concat(origin, h), origin))
+            .otherwise(without_dots(F.concat(folder, h), origin)))
+
+
+def without_dots(url: Column, origin: Column) -> Column:
+    """Resolve ``.`` and ``..`` segments of the path (never above the origin); query and fragment stay."""
+    path = F.regexp_extract(F.substr(url, F.length(origin) + 1), r"^[^?#]*", 0)
+    rest = F.substr(url, F.length(origin) + F.length(path) + 1)
+    steps = F.split(path, "/", -1)
+    walked = F.aggregate(F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))), F.array().cast("array<string>"),
+                         lambda out, s: F.when(s == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))))
+                         .when(s == ".", out).otherwise(F.concat(out, F.array(s))))
+    folder = F.when(F.element_at(steps, -1).isin(".", "..") & (F.size(walked) > 0), F.lit("/")).otherwise("")
+    clean = F.concat(origin, F.lit("/"), F.array_join(walked, "/"), folder, rest)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), clean).otherwise(url)
 
 
 def extract_links(df: DataFrame, html_col: str, base_col: str, ext: str | None = None,

@@ -63,15 +63,11 @@ def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], check
     return q
 
 
-def drain(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-          output_mode: str = "append") -> StreamingQuery:
-    """Start an ``availableNow`` foreachBatch query without waiting (caller awaits)."""
-    w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-         .foreachBatch(fn).trigger(availableNow=True))
-    return w.start()
-
-
-def versioned_landing_path(root: str, name: str, version: str) -> str:
-    """``<root>/v=<version>/<name>``: a rewritten file lands under a new version folder, so
-    the file source (which remembers paths only) ingests it again and bronze keeps both."""
-    return f"{root.rstrip('/')}/v={version}/{name}"
+def dropped_counts(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of the metrics observed under ``name`` over the query's reported progress."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(name)
+        for k, v in (row.asDict() if row is not None else {}).items():
+            total[k] = total.get(k, 0) + v
+    return total

@@ -1,16 +1,15 @@
-"""SCD type 1 upsert on a stream without MERGE.
-
-The streaming aggregation ``groupBy(keys).agg(max_by(struct(row), struct(sequence, row)))``
-*is* the current table: its state holds the winner per key, late older rows cannot displace
-it, and a NULL in the winning row overwrites (whole-row semantics). In ``update`` mode each
-micro-batch emits the keys whose winner changed (or was re-confirmed); ``foreachBatch``
-writes them to ``<target>/_changes/batch_id=<id>`` — an overwrite keyed by the batch id, so a
-replayed batch rewrites the same folder (idempotent). Readers take the latest change per key.
-State grows with the key count (no expiry): use the RocksDB state store at scale.
+"""SCD type 1 upsert on a stream without MERGE and without state.
+
+Every micro-batch is reduced to its newest row per key (map-side combined) and written as a change folder.
+The table is the newest row per key over all complete change folders: late older rows lose, and a NULL in
+the newest row overwrites (whole-row semantics). A folder is named by the checkpoint's own id and the
+batch number, so a replayed batch rewrites its folder, and a new checkpoint never meets the folders of an
+old one. Only folders with Spark's ``_SUCCESS`` marker are read or folded.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,100 +17,69 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from alpina.operators.dedupe import latest_per_key
-from alpina.session import delete_path, hadoop_fs, list_dir
-from alpina.streaming.bronze import drain, run_foreach_batch
+from alpina.session import delete_path, hadoop_fs, list_dir, path_exists, write_text_file
+from alpina.streaming.bronze import run_foreach_batch
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SOURCE_ID = "_source_id"
 
 
-def scd1_latest(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """Streaming aggregate: winner per key by (sequence…, then the whole row) descending. One
-    ``max`` over ``struct(sequence…, row…)`` keeps each column once in the state."""
-    return latest_per_key(stream, keys, [F.col(s) for s in sequence], drop_null_keys=False)
+def scd1_latest(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """Winner per key by (sequence…, then the whole row) descending."""
+    return latest_per_key(rows, keys, [F.col(s) for s in sequence], drop_null_keys=False)
 
 
-def _writer(target: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/_changes/batch_id={batch_id}")
-    return write
+def write_changes(rows: DataFrame, target: str, name: str, keys: Sequence[str], sequence: Sequence[str]) -> None:
+    """One change folder; writing it again under the same name gives the same table."""
+    scd1_latest(rows, keys, sequence).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_changes/{name}")
 
 
-def start_scd1(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str,
-               checkpoint: str, available_now: bool = True, rocksdb: bool = True,
-               state_partitions: int | None = None) -> StreamingQuery:
-    """Start (and with ``available_now`` drain) the upsert stream.
-
-    ``state_partitions`` fixes the number of state-store partitions for the life of the
-    checkpoint (size it to the key count, not to the session's batch shuffle setting). The
-    stream clones the session configuration at start, so the session setting is restored
-    right after."""
-    spark = stream.sparkSession
-    if rocksdb:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    latest = scd1_latest(stream, keys, sequence)
-    if state_partitions is None:
-        return run_foreach_batch(latest, _writer(target), checkpoint, output_mode="update",
-                                 available_now=available_now)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+def _source_id(spark: SparkSession, checkpoint: str) -> str:
+    """An id that lives and dies with the checkpoint."""
+    path = f"{checkpoint.rstrip('/')}/{SOURCE_ID}"
+    if not path_exists(spark, path):
+        write_text_file(spark, path, uuid.uuid4().hex[:12])
+    fs, p = hadoop_fs(spark, path)
+    stream = fs.open(p)
     try:
-        q = (drain(latest, _writer(target), checkpoint, output_mode="update") if available_now else
-             run_foreach_batch(latest, _writer(target), checkpoint, output_mode="update", available_now=False))
+        return bytes(stream.readAllBytes()).decode().strip()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    if available_now:
-        q.awaitTermination()
-    return q
+        stream.close()
+
+
+def start_scd1(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str,
+               checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Start (and with ``available_now`` drain) the upsert stream."""
+    source = _source_id(stream.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_changes(batch, target, f"{source}-{batch_id}", keys, sequence)
 
+    return run_foreach_batch(stream, write, checkpoint, available_now=available_now)
 
-def _batch_ids(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    return sorted(int(n.split("=", 1)[1]) for n in list_dir(spark, folder) if n.startswith(prefix + "="))
+
+def complete_changes(spark: SparkSession, target: str) -> list[str]:
+    base = f"{target.rstrip('/')}/_changes"
+    return [n for n in sorted(list_dir(spark, base)) if path_exists(spark, f"{base}/{n}/_SUCCESS")]
 
 
 def read_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """Current table = latest row per key over the newest compacted base (if any) and the change
-    batches after it (greatest sequence, then latest batch)."""
-    base = target.rstrip("/")
-    bases = _batch_ids(spark, f"{base}/_base", "upto")
-    upto = bases[-1] if bases else -1
-    ch = [b for b in _batch_ids(spark, f"{base}/_changes", "batch_id") if b > upto]
-    parts = []
-    if bases:
-        parts.append(spark.read.parquet(f"{base}/_base/upto={upto}").withColumn("batch_id", F.lit(upto)))
-    if ch:
-        parts.append(spark.read.parquet(*[f"{base}/_changes/batch_id={b}" for b in ch])
-                     .withColumn("batch_id", F.lit(None).cast("int"))
-                     .withColumn("batch_id", F.regexp_extract(F.col("_metadata.file_path"),
-                                                              r"batch_id=(\d+)", 1).cast("int")))
-    if not parts:
+    """Current table = newest row per key over the complete change folders; columns that came later are
+    NULL in earlier rows."""
+    names = complete_changes(spark, target)
+    if not names:
         raise FileNotFoundError(f"no SCD1 data below {target}")
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    cols = [c for c in df.columns if c != "batch_id"]
-    order = [F.col(s) for s in sequence] + [F.col("batch_id")]
-    return latest_per_key(df, keys, order, drop_null_keys=False).select(*cols)
-
+    df = spark.read.option("mergeSchema", True).parquet(*[f"{target.rstrip('/')}/_changes/{n}" for n in names])
+    return scd1_latest(df, keys, sequence)
 
-def compact_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> int | None:
-    """Fold the change batches into ``_base/upto=<last batch>`` and drop what it covers.
 
-    Safe with a running stream (only batches ≤ the fold point are touched) and after a crash
-    (readers use the newest base and only later batches). Returns the fold point."""
-    base = target.rstrip("/")
-    ch = _batch_ids(spark, f"{base}/_changes", "batch_id")
-    if not ch:
+def compact_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> str | None:
+    """Fold the complete change folders into one more change folder, then drop those it covers. Batches
+    that are being written are not touched, and a crash leaves folders that say the same thing twice."""
+    names = complete_changes(spark, target)
+    if len(names) < 2:
         return None
-    upto = ch[-1]
-    current = read_scd1(spark, target, keys, sequence)
-    tmp = f"{base}/_base/.tmp_upto={upto}"
-    current.write.mode("overwrite").parquet(tmp)
-    fs, src = hadoop_fs(spark, tmp)
-    _, dst = hadoop_fs(spark, f"{base}/_base/upto={upto}")
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.rename(src, dst)
-    for b in _batch_ids(spark, f"{base}/_base", "upto"):
-        if b < upto:
-            delete_path(spark, f"{base}/_base/upto={b}")
-    for b in ch:
-        delete_path(spark, f"{base}/_changes/batch_id={b}")
-    return upto
+    folded = f"folded-{uuid.uuid4().hex[:12]}"
+    write_changes(read_scd1(spark, target, keys, sequence), target, folded, keys, sequence)
+    for n in names:
+        delete_path(spark, f"{target.rstrip('/')}/_changes/{n}")
+    return folded

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from alpina.operators.budget import budget_prefix
 from alpina.operators.changes import changed_by_time
 from alpina.operators.dedupe import latest_per_key
-from alpina.sinks.tables import replace_by_key
+from alpina.sinks.tables import read_replaced, replace_by_key
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -21,7 +21,7 @@ def test_budget_prefix_equals_sequential_latch(spark, sizes, budget, reserve):
     got = sorted(r["id"] for r in budget_prefix(df, "size", ["id"], budget, reserve, num_ranges=4).collect())
     left = None if budget is None else budget - reserve
     exp, exhausted = [], False
-    for i, s in enumerate(sizes):          # the reference's shared-budget latch
+    for i, s in enumerate(sizes):          # a budget that closes at the first row it cannot hold
         if left is None:
             exp.append(i)
             continue
@@ -33,6 +33,29 @@ def test_budget_prefix_equals_sequential_latch(spark, sizes, budget, reserve):
     assert got == exp
 
 
+def test_budget_prefix_of_many_rows_is_exact_and_repeatable(spark):
+    from pyspark.sql import functions as F
+    n = 2_000_000
+    df = spark.range(n, numPartitions=8).select(F.pmod(F.col("id") * 7919, F.lit(n)).alias("k"))
+    df = df.withColumn("size", F.pmod("k", F.lit(5)))
+    total = lambda k: (F.col(k) / 5).cast("long") * 10 + F.element_at(F.array(*map(F.lit, [0, 1, 3, 6, 10])), (F.pmod(k, F.lit(5)) + 1).cast("int"))
+    for _ in range(2):
+        out = budget_prefix(df, "size", ["k"], budget=1_000_000, reserve=7, num_ranges=16)
+        row = out.agg(F.count(F.lit(1)), F.max("running_bytes"), F.count_if(F.col("running_bytes") != total("k"))).first()
+        assert tuple(row) == (499_998, 999_993, 0)
+
+
+def test_budget_prefix_on_the_bench_table(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "n_chars")
+    got = {r["doc_id"]: r["running_bytes"] for r in budget_prefix(d.repartition(7), "n_chars", ["doc_id"], None).collect()}
+    acc = 0
+    for r in d.orderBy("doc_id").collect():
+        acc += r["n_chars"]
+        assert got[r["doc_id"]] == acc
+    plan = budget_prefix(d, "n_chars", ["doc_id"], None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan
+
+
 @SETTINGS
 @given(files=st.dictionaries(st.text("abc", min_size=1, max_size=3), st.integers(0, 30), min_size=1, max_size=12),
        logged=st.dictionaries(st.text("abc", min_size=1, max_size=3), st.lists(st.integers(0, 30), min_size=1, max_size=3),
@@ -66,13 +89,13 @@ def test_replace_by_key_idempotent(spark, scratch, batch_ids, keep_mod):
     base = [(i, f"f{i % 10}", 1.0) for i in range(60)]
     path = scratch("rbk")
     df = spark.createDataFrame(base, "row_id long, file_id string, v double")
-    replace_by_key(df, path, "file_id", buckets=4)
+    replace_by_key(df, path, "file_id")
     batch_rows = [(i, f"f{i % 10}", 2.0) for i in range(60) if (i % 10) in batch_ids and i % keep_mod == 0]
     batch = spark.createDataFrame(batch_rows, "row_id long, file_id string, v double")
-    replace_by_key(batch, path, "file_id", buckets=4)
-    once = sorted(map(tuple, spark.read.parquet(path).drop("_bucket").collect()))
-    replace_by_key(batch, path, "file_id", buckets=4)
-    twice = sorted(map(tuple, spark.read.parquet(path).drop("_bucket").collect()))
+    replace_by_key(batch, path, "file_id")
+    once = sorted(map(tuple, read_replaced(spark, path, "file_id").collect()))
+    replace_by_key(batch, path, "file_id")
+    twice = sorted(map(tuple, read_replaced(spark, path, "file_id").collect()))
     present = {f for _, f, _ in batch_rows}
     exp = sorted([r for r in base if r[1] not in present] + batch_rows)
     assert once == twice == exp

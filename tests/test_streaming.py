@@ -3,6 +3,7 @@ equality."""
 
 from pyspark.sql import functions as F
 
+from alpina.session import path_exists
 from alpina.streaming.bronze import bronze_stream, run_append, stream_files
 from alpina.streaming.scd1 import compact_scd1, read_scd1, start_scd1
 from alpina.sources.delimited import write_delimited
@@ -27,7 +28,11 @@ def test_scd1_late_rows_lose_and_nulls_overwrite(spark, scratch):
     assert compact_scd1(spark, target, ["k"], ["seq"]) is not None
     again = sorted(map(tuple, read_scd1(spark, target, ["k"], ["seq"]).select("k", "seq", "v").collect()))
     assert again == got
-    # a later batch after compaction still upserts on top of the base
+    # a folder that is being written (no _SUCCESS) is neither read nor folded nor deleted
+    half = f"{target}/_changes/other-7"
+    spark.createDataFrame([("a", 99, 9.0)], schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    assert compact_scd1(spark, target, ["k"], ["seq"]) is None and path_exists(spark, half)
+    # a later batch after compaction still upserts
     spark.createDataFrame([("a", 5, 2.0), ("c", 0, 1.0)], schema).write.mode("overwrite").parquet(f"{land}/b9")
     start_scd1(stream_files(spark, f"{land}/b*", spark.read.parquet(f"{land}/b0").schema, "parquet"),
                ["k"], ["seq"], target, ck)
@@ -99,3 +104,49 @@ def test_scd1_stream_equals_batch_for_any_order_and_split(spark, scratch):
         assert got == expected
 
     check()
+
+
+def test_new_checkpoint_keeps_the_changes_of_the_old_one(spark, scratch):
+    land, target = scratch("cp_land"), scratch("cp_target")
+    schema = "k string, seq long, v double"
+    spark.createDataFrame([("a", 2, 1.0), ("b", 1, 5.0)], schema).write.parquet(f"{land}/b0")
+    kind = spark.read.parquet(f"{land}/b0").schema
+    start_scd1(stream_files(spark, f"{land}/b0", kind, "parquet"), ["k"], ["seq"], target, scratch("cp_one"))
+    spark.createDataFrame([("c", 1, 3.0)], schema).write.parquet(f"{land}/x0")
+    start_scd1(stream_files(spark, f"{land}/x0", kind, "parquet"), ["k"], ["seq"], target, scratch("cp_two"))
+    got = sorted(map(tuple, read_scd1(spark, target, ["k"], ["seq"]).select("k", "seq", "v").collect()))
+    assert got == [("a", 2, 1.0), ("b", 1, 5.0), ("c", 1, 3.0)]
+
+
+def weather_file(path, header, rows, mtime=None):
+    import os
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join([header, *rows]) + "\n")
+    if mtime:
+        os.utime(path, (mtime, mtime))
+
+
+def test_weather_flow_granularities_rewrites_and_new_columns(spark, scratch):
+    from alpina.plans.flows import weather_flow
+    from alpina.session import local_path
+    root = local_path(scratch("wf"))
+    folders = {g: f"{root}/{g}" for g in ("hourly", "daily")}
+    head = "station_abbr;reference_timestamp;t"
+    weather_file(f"{folders['hourly']}/a.csv", head, ["abc;01.01.2024 00:00;1.5", "abc;01.01.2024 01:00;2.5"], 1_700_000_000)
+    weather_file(f"{folders['daily']}/a.csv", head, ["abc;01.01.2024 00:00;9.5", ";01.01.2024 00:00;7"], 1_700_000_000)
+
+    def silver(out, name, *cols):
+        return sorted(tuple(r) for r in out[name][0].selectExpr("station_abbr", "hour(reference_ts)", *cols).collect())
+
+    out = weather_flow(spark, folders, f"{root}/work")
+    assert silver(out, "hourly", "t") == [("ABC", 0, 1.5), ("ABC", 1, 2.5)]  # one table per granularity
+    assert silver(out, "daily", "t") == [("ABC", 0, 9.5)]
+    assert out["daily"][1] == {"rows_in": 2, "valid_key_dropped": 1}
+    # the same path rewritten, and a second file with one more column in another order
+    weather_file(f"{folders['hourly']}/a.csv", head, ["abc;01.01.2024 00:00;1.5", "abc;01.01.2024 01:00;", "abc;01.01.2024 02:00;4"], 1_700_000_100)
+    weather_file(f"{folders['hourly']}/b.csv", "station_abbr;rain;reference_timestamp;t", ["def;3;01.01.2024 00:00;8"], 1_700_000_100)
+    out = weather_flow(spark, folders, f"{root}/work")
+    assert silver(out, "hourly", "t", "rain") == [("ABC", 0, 1.5, None), ("ABC", 1, None, None), ("ABC", 2, 4.0, None), ("DEF", 0, 8.0, 3.0)]
+    assert out["daily"][1] == {"rows_in": 0, "valid_key_dropped": 0}
+    assert silver(weather_flow(spark, folders, f"{root}/work"), "hourly", "t") == silver(out, "hourly", "t")

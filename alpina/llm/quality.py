@@ -159,7 +159,10 @@ def _gradients(w, docs: list[np.ndarray], y: np.ndarray, share: float) -> dict[s
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
     dz = (p - y) * weight / len(y)
     g = {"out": np.concatenate([mean, top], axis=1).T @ dz + 1e-3 * w["out"], "out_bias": np.array([dz.sum()])}
-    d_pool = (dz[:, None] * w["out"][:FILTERS] / n)[owner] + (dz[:, None] * w["out"][FILTERS:])[owner] * (pooled == top[owner])
+    largest = pooled == top[owner]  # a window where chunks overlap can be the largest of both
+    ties = np.zeros((len(docs), FILTERS))
+    np.add.at(ties, owner, largest)
+    d_pool = (dz[:, None] * w["out"][:FILTERS] / n)[owner] + (dz[:, None] * w["out"][FILTERS:] / ties)[owner] * largest
     d_pool *= pooled > 0
     g["bias"] = d_pool.sum(axis=0)
     won = win[np.arange(len(win))[:, None], at]

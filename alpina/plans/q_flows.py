@@ -40,7 +40,7 @@ def q_weather_silver(spark: SparkSession, sf: str):
                     F.date_format(F.date_trunc("hour", "ts"), "dd.MM.yyyy HH:mm").alias("reference_timestamp"),
                     "value", F.get_json_object("props", "$.k").alias("k"), F.length("props").cast("string").alias("vlen"),
                     "event_type", station.alias("station"))
-    first, second = ["station_abbr", "reference_timestamp", "value", "k"], ["station_abbr", "reference_timestamp", "vlen", "k", "value"]
+    first, second = ["station_abbr", "reference_timestamp", "value", "k"], ["station_abbr", "value", "k", "vlen", "reference_timestamp"]
     folders = {"hourly": f"{work}/landing/hourly", "daily": f"{work}/landing/daily"}
 
     def land(df, columns, folder):  # the rows of one key share a file, as in a delivery

@@ -23,7 +23,7 @@ from alpina.llm.common import packed, staged
 
 LIMIT_BYTES = 1 << 20
 KEY_BITS = 60
-STEP = 10
+STEP = 6
 
 
 def shard_key(id_col: str, text_col: str) -> Column:

@@ -4,9 +4,10 @@ Rows are (``key``, ``id``, ``sketch``, ``size``): one row per vertex and bucket.
 similarity, so a bucket needs no texts or vectors. Inside a bucket a maximum spanning forest over the
 estimates names at most n - 1 pairs; pairs are verified by the caller on the real data.
 
-Two rounds make the links of a bucket whole: after the forest's pairs are verified and merged into
-components, the second round takes every pair of a bucket whose ends are still in different
-components. A large group of copies is one component by then and gives no pairs.
+Two rounds: after the forest's pairs are verified and merged into components, the second round takes, for
+every two components that still meet in a bucket with a pair that is very likely a link (estimate at least
+``sure``), the likeliest of their pairs, in case a forest's pair between them failed. A large group of copies is
+one component by then and gives no pairs, and two groups that meet in a bucket give one pair, not all.
 
 A bucket above ``BLOCK`` rows is dealt out in blocks: by a hash of vertex and key in the first round
 (other buckets of the same group cut it differently, so its blocks meet there), and as all block pairs
@@ -71,19 +72,28 @@ def _forest(ids, sketches, sizes, score: Score, least: float, ratio: float) -> l
 
 
 def _across(frame, sketches, score: Score, least: float, ratio: float) -> list[tuple[int, int]]:
-    """All pairs of a bucket (or block pair) that are in different components so far."""
+    """The best pair of every two components that meet in a bucket (or block pair)."""
     ids, comp, sizes, block = (frame[c].to_numpy() for c in ("id", "component", "size", "block"))
     if (comp == comp[0]).all():
         return []
     crossing = block.min() != block.max()
-    out = []
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for i in range(len(ids) - 1):
         j = slice(i + 1, None)
-        hit = (score(sketches[i], sketches[j]) >= least) & (comp[j] != comp[i]) & _sizes_fit(sizes[i], sizes[j], ratio)
+        s = score(sketches[i], sketches[j])
+        hit = (s >= least) & (comp[j] != comp[i]) & _sizes_fit(sizes[i], sizes[j], ratio)
         if crossing:
             hit &= block[j] != block[i]
-        out += [(int(ids[i]), int(x)) for x in ids[j][hit]]
-    return out
+        at = np.flatnonzero(hit)
+        if not len(at):
+            continue
+        order = at[np.lexsort((-s[at], comp[j][at]))]
+        first = order[np.r_[True, comp[j][order][1:] != comp[j][order][:-1]]]  # the best of each component
+        for x in first.tolist():
+            pair = tuple(sorted((int(comp[i]), int(comp[j][x]))))
+            if pair not in best or s[x] > best[pair][0]:
+                best[pair] = (float(s[x]), int(ids[i]), int(ids[j][x]))
+    return [(a, b) for _, a, b in best.values()]
 
 
 def _by_group(batches: Iterator[pd.DataFrame], keys: list[str], each) -> Iterator[pd.DataFrame]:
@@ -157,12 +167,12 @@ def crossing_pairs(rows: DataFrame, comps: DataFrame, score: Score, least: float
 
 
 def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], score: Score, least: float,
-                      ratio: float = 0.0) -> DataFrame:
+                      sure: float, ratio: float = 0.0) -> DataFrame:
     """Components over verified candidate pairs. ``verify`` keeps the linked rows of an (a, b) table."""
     rows = repeated_buckets(rows)
     tried = staged(forest_pairs(rows, score, least, ratio), "pairs")
     links = staged(verify(tried), "links")
-    more = crossing_pairs(rows, components(links), score, least, ratio).join(tried, ["a", "b"], "left_anti")
+    more = crossing_pairs(rows, components(links), score, sure, ratio).join(tried, ["a", "b"], "left_anti")
     more = staged(more, "pairs")
     if more.isEmpty():
         return components(links)

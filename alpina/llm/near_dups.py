@@ -33,6 +33,7 @@ SIMILARITY = 0.8
 TABLES = 24
 SAMPLE = 3
 SHARED_MINIMA = 8  # of TABLES: estimated k-mer similarity of a third
+SURE_MINIMA = 16  # two thirds
 _SEEDS = mix(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -119,7 +120,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         return both.select("a", "ta", "b", "tb").mapInPandas(_aligned, buckets.PAIRS)
 
     rows = classes.filter("size > 0").select(F.explode("keys").alias("key"), "id", "sketch", "size")
-    comps = staged(buckets.linked_components(rows, verify, buckets.shared_bytes, SHARED_MINIMA, SIMILARITY), "omh-groups")
+    comps = staged(buckets.linked_components(rows, verify, buckets.shared_bytes, SHARED_MINIMA, SURE_MINIMA, SIMILARITY), "omh-groups")
     # ids link their texts' classes too: an id that stands for several texts joins their groups
     named = classes.join(comps, "id", "left").select("fp", F.col("id").alias("class_id"),
                                                     F.coalesce("component", "id").alias("group_id"))

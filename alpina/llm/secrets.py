@@ -70,14 +70,15 @@ def _share(c: Column, pattern: str) -> Column:
 
 
 def _word_cover(c: Column, triples: Column) -> Column:
-    code = lambda i, k: F.ascii(F.substr(F.lower(c), i + k, F.lit(1))) - 97
+    code = lambda g, k: F.ascii(F.substring(g, k, 1)) - 97
 
-    def known(i):
-        a, b, d = code(i, 0), code(i, 1), code(i, 2)
+    def known(g):
+        a, b, d = code(g, 1), code(g, 2), code(g, 3)
         letters = (F.least(a, b, d) >= 0) & (F.greatest(a, b, d) < 26)
         return F.when(letters & (F.get(triples, (a * 26 + b) * 26 + d) == "1"), 1.0).otherwise(0.0)
 
-    values = F.transform(F.sequence(F.lit(1), F.length(c) - 2), known)
+    # all overlapping triples in one pass, so a very long candidate costs its length
+    values = F.transform(F.regexp_extract_all(F.lower(c), F.lit("(?=(...))"), F.lit(1)), known)
     return F.aggregate(values, F.lit(0.0), lambda x, y: x + y) / (F.length(c) - 2)
 
 

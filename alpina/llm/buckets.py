@@ -1,17 +1,17 @@
 """Candidate pairs of hash buckets, without emitting all pairs of a group.
 
-Rows are (``key``, ``id``, ``sketch``, ``size``): one row per vertex and bucket. The sketch estimates
-similarity, so a bucket needs no texts or vectors. Inside a bucket a maximum spanning forest over the
-estimates names at most n - 1 pairs; pairs are verified by the caller on the real data.
+Vertices are (``id``, ``keys``, ``sketch``, ``size``): a vertex lies in the bucket of each of its keys. The sketch
+estimates similarity, so a bucket needs no texts or vectors. Pairs of a bucket that score at least ``least`` and that
+``may_link`` does not rule out are candidates; they are verified by the caller on the real data.
 
-Two rounds: after the forest's pairs are verified and merged into components, the second round takes, for
-every two components that still meet in a bucket with a pair that is very likely a link (estimate at least
-``sure``), the likeliest of their pairs, in case a forest's pair between them failed. A large group of copies is
-one component by then and gives no pairs, and two groups that meet in a bucket give one pair, not all.
+Three rounds, each followed by merging the verified pairs into components: a maximum spanning forest of each bucket (at
+most n - 1 pairs); the best candidate of every two components that still meet; then every candidate that is untried
+and whose ends are still in different components. So no candidate is left out: it is tried, or its ends are one
+component already. A large group of copies is one component by the last round and gives no pairs there.
 
 A bucket above ``BLOCK`` rows is dealt out in blocks: by a hash of vertex and key in the first round
 (other buckets of the same group cut it differently, so its blocks meet there), and as all block pairs
-in the second.
+in the others.
 """
 
 from __future__ import annotations
@@ -27,9 +27,12 @@ from alpina.llm.common import staged
 from alpina.llm.components import components
 
 BLOCK = 1024
+STEP = 1 << 16  # pairs compared at once
 PAIRS = "a long, b long"
-#: scores of one sketch row against many: (row, rows) -> float array
+#: scores of sketch rows, one against many or row by row: (row, rows) -> float array
 Score = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: False only where two rows cannot be a link: (row, size, rows, sizes) -> bool array
+MayLink = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
 def shared_bytes(row: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -42,19 +45,22 @@ def shared_bits(row: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return 8 * rows.shape[-1] - np.bitwise_count(rows ^ row).sum(-1, dtype=np.int64)
 
 
-def repeated_buckets(rows: DataFrame) -> DataFrame:
-    """The rows whose key occurs more than once, with the number of blocks of their bucket."""
-    counts = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                    .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "bucket-counts")
-    return staged(rows.join(counts, "key"), "buckets")
+def any_pair(row: np.ndarray, size: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Rules nothing out."""
+    return np.ones(np.broadcast_shapes(np.shape(size), np.shape(sizes)), dtype=bool)
 
 
-def _sizes_fit(size: int, sizes: np.ndarray, ratio: float) -> np.ndarray:
-    return np.minimum(size, sizes) >= ratio * np.maximum(size, sizes)
+def repeated_buckets(vertices: DataFrame) -> DataFrame:
+    """The rows (``key``, ``blocks``, ``id``, ``sketch``, ``size``) of buckets with more than one vertex."""
+    rows = vertices.select(F.explode("keys").alias("key"), "id")
+    counts = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                    .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "bucket-counts")
+    filed = staged(rows.join(counts, "key"), "bucket-rows")
+    return staged(filed.join(vertices.select("id", "sketch", "size"), "id"), "buckets")
 
 
-def _forest(ids, sketches, sizes, score: Score, least: float, ratio: float) -> list[tuple[int, int]]:
-    """Maximum spanning forest of one bucket over pairs scoring at least ``least``."""
+def _forest(ids, sketches, sizes, score: Score, least: float, may_link: MayLink) -> list[tuple[int, int]]:
+    """Maximum spanning forest of one bucket over its candidates."""
     n = len(ids)
     best, parent = np.full(n, -np.inf), np.full(n, -1)
     todo = np.ones(n, dtype=bool)
@@ -65,35 +71,36 @@ def _forest(ids, sketches, sizes, score: Score, least: float, ratio: float) -> l
         if parent[i] >= 0:
             out.append((int(ids[parent[i]]), int(ids[i])))
         s = score(sketches[i], sketches).astype(float)
-        s[~_sizes_fit(sizes[i], sizes, ratio) | (s < least)] = -np.inf
-        better = todo & (s > best)
+        better = np.flatnonzero(todo & (s > best) & (s >= least))
+        better = better[may_link(sketches[i], sizes[i], sketches[better], sizes[better])]
         best[better], parent[better] = s[better], i
     return out
 
 
-def _across(frame, sketches, score: Score, least: float, ratio: float) -> list[tuple[int, int]]:
-    """The best pair of every two components that meet in a bucket (or block pair)."""
-    ids, comp, sizes, block = (frame[c].to_numpy() for c in ("id", "component", "size", "block"))
-    if (comp == comp[0]).all():
-        return []
-    crossing = block.min() != block.max()
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for i in range(len(ids) - 1):
-        j = slice(i + 1, None)
+def _pairs(starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of row numbers (i < j) of the same group, about ``STEP`` at a time."""
+    rows = np.arange(starts[-1])
+    after = np.repeat(starts[1:], np.diff(starts)) - rows - 1
+    total = np.r_[0, np.cumsum(after)]
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + STEP, side="right")) - 1)
+        i = np.repeat(rows[at:to], after[at:to])
+        yield i, np.arange(total[at], total[to]) - total[i] + i + 1
+        at = to
+
+
+def _candidates(starts, sketches, sizes, score: Score, least: float, may_link: MayLink, apart=None):
+    """(i, j, score) of the candidates of all groups; ``apart`` (i, j) drops pairs beforehand."""
+    for i, j in _pairs(starts):
+        if apart is not None:
+            keep = apart(i, j)
+            i, j = i[keep], j[keep]
         s = score(sketches[i], sketches[j])
-        hit = (s >= least) & (comp[j] != comp[i]) & _sizes_fit(sizes[i], sizes[j], ratio)
-        if crossing:
-            hit &= block[j] != block[i]
-        at = np.flatnonzero(hit)
-        if not len(at):
-            continue
-        order = at[np.lexsort((-s[at], comp[j][at]))]
-        first = order[np.r_[True, comp[j][order][1:] != comp[j][order][:-1]]]  # the best of each component
-        for x in first.tolist():
-            pair = tuple(sorted((int(comp[i]), int(comp[j][x]))))
-            if pair not in best or s[x] > best[pair][0]:
-                best[pair] = (float(s[x]), int(ids[i]), int(ids[j][x]))
-    return [(a, b) for _, a, b in best.values()]
+        keep = s >= least
+        i, j, s = i[keep], j[keep], s[keep]
+        keep = may_link(sketches[i], sizes[i], sketches[j], sizes[j])
+        yield i[keep], j[keep], s[keep]
 
 
 def _by_group(batches: Iterator[pd.DataFrame], keys: list[str], each) -> Iterator[pd.DataFrame]:
@@ -114,8 +121,8 @@ def _by_group(batches: Iterator[pd.DataFrame], keys: list[str], each) -> Iterato
         yield each(rest.reset_index(drop=True), np.r_[starts, len(rest)])
 
 
-def _ordered(pairs: list[tuple[int, int]]) -> pd.DataFrame:
-    p = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+def _ordered(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    p = np.stack([a, b], axis=1).astype(np.int64)
     p = p[p[:, 0] != p[:, 1]]
     return pd.DataFrame(np.unique(np.sort(p, axis=1), axis=0), columns=["a", "b"])
 
@@ -124,17 +131,27 @@ def _sketches(frame: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(len(frame), -1)
 
 
-def forest_pairs(rows: DataFrame, score: Score, least: float, ratio: float) -> DataFrame:
+SMALL = 32  # rows up to which a bucket's pairs are compared together with other buckets'
+
+
+def forest_pairs(rows: DataFrame, score: Score, least: float, may_link: MayLink) -> DataFrame:
     def each(frame: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         ids, sizes, sk = frame["id"].to_numpy(), frame["size"].to_numpy(), _sketches(frame)
         lengths = np.diff(starts)
-        two = starts[:-1][lengths == 2]
-        hit = (score(sk[two], sk[two + 1]) >= least) & _sizes_fit(sizes[two], sizes[two + 1], ratio)
-        pairs = list(zip(ids[two[hit]].tolist(), ids[two[hit] + 1].tolist(), strict=True))
-        for s, n in zip(starts[:-1][lengths > 2], lengths[lengths > 2], strict=True):
+        pairs = []
+        for s, n in zip(starts[:-1][lengths > SMALL], lengths[lengths > SMALL], strict=True):
             part = slice(s, s + n)
-            pairs += _forest(ids[part], sk[part], sizes[part], score, least, ratio)
-        return _ordered(pairs)
+            pairs += _forest(ids[part], sk[part], sizes[part], score, least, may_link)
+        small = np.flatnonzero(np.repeat(lengths <= SMALL, lengths))
+        near = np.zeros(len(frame), dtype=bool)
+        for i, j, _ in _candidates(np.r_[0, np.cumsum(lengths[lengths <= SMALL])], sk[small], sizes[small], score, least, may_link):
+            near[small[i]] = near[small[j]] = True
+        at = np.flatnonzero(near)
+        group = np.searchsorted(starts, at, side="right")
+        for part in np.split(at, np.flatnonzero(group[1:] != group[:-1]) + 1) if len(at) else []:
+            pairs += [tuple(ids[part])] if len(part) == 2 else _forest(ids[part], sk[part], sizes[part], score, least, may_link)
+        p = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+        return _ordered(p[:, 0], p[:, 1])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _by_group(batches, ["key", "block"], each)
@@ -144,15 +161,27 @@ def forest_pairs(rows: DataFrame, score: Score, least: float, ratio: float) -> D
             .sortWithinPartitions("key", "block").mapInPandas(run, PAIRS).distinct())
 
 
-def crossing_pairs(rows: DataFrame, comps: DataFrame, score: Score, least: float, ratio: float) -> DataFrame:
-    def each(frame: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        sk, pairs = _sketches(frame), []
-        for s, e in zip(starts[:-1], starts[1:], strict=True):
-            pairs += _across(frame.iloc[s:e], sk[s:e], score, least, ratio)
-        return _ordered(pairs)
+def crossing_pairs(rows: DataFrame, comps: DataFrame, score: Score, least: float, may_link: MayLink, best: bool) -> DataFrame:
+    """Candidates whose ends are in different components: all, or the ``best`` of every two components that meet."""
+    def each(frame: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        ids, comp, sizes, block = (frame[c].to_numpy() for c in ("id", "component", "size", "block"))
+        crossing = np.repeat((frame["b1"] != frame["b2"]).to_numpy()[starts[:-1]], np.diff(starts))
+
+        def apart(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return (comp[i] != comp[j]) & (~crossing[i] | (block[i] != block[j]))
+
+        for i, j, s in _candidates(starts, _sketches(frame), sizes, score, least, may_link, apart):
+            if best and len(i):
+                lo, hi = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
+                order = np.lexsort((-s, hi, lo))
+                lo, hi = lo[order], hi[order]
+                first = order[np.r_[True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]]
+                i, j = i[first], j[first]
+            yield _ordered(ids[i], ids[j])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _by_group(batches, ["key", "b1", "b2"], each)
+        for frames in _by_group(batches, ["key", "b1", "b2"], each):
+            yield from frames
 
     known = rows.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = staged(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -166,14 +195,16 @@ def crossing_pairs(rows: DataFrame, comps: DataFrame, score: Score, least: float
             .mapInPandas(run, PAIRS).distinct())
 
 
-def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], score: Score, least: float,
-                      sure: float, ratio: float = 0.0) -> DataFrame:
+def linked_components(vertices: DataFrame, verify: Callable[[DataFrame], DataFrame], score: Score, least: float,
+                      may_link: MayLink = any_pair) -> DataFrame:
     """Components over verified candidate pairs. ``verify`` keeps the linked rows of an (a, b) table."""
-    rows = repeated_buckets(rows)
-    tried = staged(forest_pairs(rows, score, least, ratio), "pairs")
+    rows = repeated_buckets(vertices)
+    tried = staged(forest_pairs(rows, score, least, may_link), "pairs")
     links = staged(verify(tried), "links")
-    more = crossing_pairs(rows, components(links), score, sure, ratio).join(tried, ["a", "b"], "left_anti")
-    more = staged(more, "pairs")
-    if more.isEmpty():
-        return components(links)
-    return components(links.unionByName(staged(verify(more), "links")))
+    for best in (True, False):
+        comps = staged(components(links), "bucket-components")
+        more = staged(crossing_pairs(rows, comps, score, least, may_link, best).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            tried = tried.unionByName(more)
+            links = links.unionByName(staged(verify(more), "links"))
+    return components(links)

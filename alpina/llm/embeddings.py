@@ -173,8 +173,8 @@ def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col
         second = vectors.select(F.col("id").alias("b"), F.col("vector").alias("vb"))
         return pairs.join(second, "b").join(first, "a").mapInPandas(_linked, buckets.PAIRS)
 
-    keyed = hashed.select(F.explode(F.array_distinct("keys")).alias("key"), "id", "sketch", F.lit(1).alias("size"))
-    comps = staged(buckets.linked_components(keyed, verify, buckets.shared_bits, SAME_SIGNS, SAME_SIGNS), "vector-components")
+    vertices = hashed.select("id", F.array_distinct("keys").alias("keys"), "sketch", F.lit(1).alias("size"))
+    comps = staged(buckets.linked_components(vertices, verify, buckets.shared_bits, SAME_SIGNS), "vector-components")
     links = _count_links(comps.join(classes.select("id", "vector", "weight"), "id"))
     per_class = (classes.select("fp", "id", "weight").join(comps, "id", "left").join(links, "id", "left")
                  .select("fp", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),

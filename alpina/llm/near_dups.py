@@ -3,7 +3,9 @@
 A document's k-mers are runs of ``K`` = 5 words (lower-cased letters and digits), labelled with their
 occurrence. For each of ``TABLES`` hash functions the ``SAMPLE`` smallest labelled k-mers are taken and put
 back into text order; their sequence is the bucket key, so it reacts to edits and to moved text. One
-byte of every minimum forms a sketch that estimates similarity inside buckets.
+byte of every minimum forms a sketch that estimates similarity inside buckets. Word counts in ``BINS`` bins follow it:
+an edit takes one word out of a bin and puts one into another at most, so pairs whose counts differ by more than the
+allowed edits cannot link and need no alignment.
 
 Candidate pairs (``buckets``) are verified by banded alignment of the whole word sequences: two documents
 are linked if 1 - edits / longer length >= 0.8. Copies of one text (same SHA-256) are one class and
@@ -33,7 +35,7 @@ SIMILARITY = 0.8
 TABLES = 24
 SAMPLE = 3
 SHARED_MINIMA = 8  # of TABLES: estimated k-mer similarity of a third
-SURE_MINIMA = 16  # two thirds
+BINS = 128  # of the word counts that follow the minima in a sketch
 _SEEDS = mix(np.arange(1, TABLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -69,6 +71,29 @@ def order_minhash(words: np.ndarray) -> tuple[np.ndarray, bytes]:
     return keys, (mix(minima) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
+def word_bins(words: np.ndarray) -> bytes:
+    counts = np.bincount((mix(words) % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def shared_minima(row: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return buckets.shared_bytes(row[..., :TABLES], rows[..., :TABLES])
+
+
+def edit_limits(longest: np.ndarray) -> np.ndarray:
+    """The most edits that two texts may differ by."""
+    return np.floor(longest * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+
+
+def may_link(row: np.ndarray, size: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the sketches allow few enough edits; never false for a link."""
+    limits = edit_limits(np.maximum(size, sizes))
+    diff = rows[..., TABLES:].astype(np.int16) - row[..., TABLES:]
+    more = np.maximum(diff, 0).sum(-1, dtype=np.int64)
+    less = more - diff.sum(-1, dtype=np.int64)
+    return (np.abs(size - sizes) <= limits) & (np.maximum(more, less) <= limits)
+
+
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -76,7 +101,7 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for ident, fp, text in zip(batch["id"], batch["fp"], batch["text"], strict=True):
                 words = word_hashes(text)
                 keys, sketch = order_minhash(words) if len(words) else (np.zeros(0, dtype=np.uint64), b"")
-                rows.append((ident, fp, len(words), keys.view(np.int64), sketch))
+                rows.append((ident, fp, len(words), keys.view(np.int64), sketch + word_bins(words)))
         yield pd.DataFrame(rows, columns=["id", "fp", "size", "keys", "sketch"])
 
 
@@ -95,7 +120,7 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             a = [words(i, t) for i, t in zip(batch["a"], batch["ta"], strict=True)]
             b = [words(i, t) for i, t in zip(batch["b"], batch["tb"], strict=True)]
         longest = np.array([max(len(x), len(y)) for x, y in zip(a, b, strict=True)], dtype=np.int64)
-        limits = np.floor(longest * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+        limits = edit_limits(longest)
         yield batch.loc[edit_distances(a, b, limits) <= limits, ["a", "b"]]
 
 
@@ -119,8 +144,8 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
         return both.select("a", "ta", "b", "tb").mapInPandas(_aligned, buckets.PAIRS)
 
-    rows = classes.filter("size > 0").select(F.explode("keys").alias("key"), "id", "sketch", "size")
-    comps = staged(buckets.linked_components(rows, verify, buckets.shared_bytes, SHARED_MINIMA, SURE_MINIMA, SIMILARITY), "omh-groups")
+    vertices = classes.filter("size > 0").select("id", "keys", "sketch", "size")
+    comps = staged(buckets.linked_components(vertices, verify, shared_minima, SHARED_MINIMA, may_link), "omh-groups")
     # ids link their texts' classes too: an id that stands for several texts joins their groups
     named = classes.join(comps, "id", "left").select("fp", F.col("id").alias("class_id"),
                                                     F.coalesce("component", "id").alias("group_id"))

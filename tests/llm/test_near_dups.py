@@ -160,3 +160,24 @@ def test_embedding_edge_rows(spark):
     alone = [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9)]
     assert got == sorted([(0, 0, 0, True), (1, 2, 1, True), (2, 2, 1, False), (12, 2, 1, False), (10, 1, 10, True), (11, 1, 10, False), *alone])
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("block", [1024, 1])
+def test_every_candidate_between_components_is_tried(spark, block, monkeypatch):
+    """The best pair of the groups 1, 2 and 3, 4 fails, a pair far below it links; 5 links only with 6, at the least score."""
+    monkeypatch.setattr(buckets, "BLOCK", block)
+    tops = {1: 0, 2: 4, 3: 0, 4: 9}
+    sketches = {i: bytes([0] * (24 - n) + [i] * n) for i, n in tops.items()} | {5: bytes([5] * 24), 6: bytes([5] * 8 + [6] * 16)}
+    links = {(1, 2), (3, 4), (2, 4), (5, 6)}
+    rows = spark.createDataFrame([(i, [7] if i < 5 else [8], bytearray(s), 10) for i, s in sketches.items()],
+                                 "id long, keys array<long>, sketch binary, size int")
+    tried = []
+
+    def verify(pairs):
+        got = [(r["a"], r["b"]) for r in pairs.collect()]
+        tried.extend(got)
+        return spark.createDataFrame([p for p in got if p in links], "a long, b long")
+
+    got = buckets.linked_components(rows, verify, buckets.shared_bytes, 8)
+    assert {r["id"]: r["component"] for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
+    assert len(tried) == len(set(tried)) <= 7

@@ -181,3 +181,27 @@ def test_every_candidate_between_components_is_tried(spark, block, monkeypatch):
     got = buckets.linked_components(rows, verify, buckets.shared_bytes, 8)
     assert {r["id"]: r["component"] for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
     assert len(tried) == len(set(tried)) <= 7
+
+
+def replaced(rng, words, rate):
+    """``rate`` of the words replaced at scattered places."""
+    out = list(words)
+    for p in rng.sample(range(len(out)), int(len(out) * rate + 1e-9)):
+        out[p] = f"new{rng.randint(0, 10**9)}"
+    return out
+
+
+def test_links_up_to_a_fifth_of_edits_are_found(spark):
+    rng = random.Random(4)
+    texts, rates = [], []
+    for n in (10, 20, 40, 100, 300):
+        for rate in (0.1, 0.15, 0.2, 0.3):
+            for _ in range(25):
+                base = [f"w{rng.randint(0, 30_000)}" for _ in range(n)]
+                texts += [" ".join(base), " ".join(replaced(rng, base, rate))]
+                rates.append(rate)
+    group = {r["doc_id"]: r["group_id"] for r in near_dups.near_duplicates(docs(spark, texts)).collect()}
+    found = [group[2 * i] == group[2 * i + 1] for i in range(len(rates))]
+    assert not any(f for f, rate in zip(found, rates) if rate == 0.3)
+    for rate in (0.1, 0.15, 0.2):
+        assert np.mean([f for f, r in zip(found, rates) if r == rate]) >= 0.99, rate

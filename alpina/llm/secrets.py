@@ -1,6 +1,8 @@
 """Secret scan: a random forest removes false positives among candidate strings. DataFrame functions only.
 
-Candidates are runs of at least ``LEAST`` key characters. Each is described by its length, its class
+Candidates are runs of at least ``LEAST`` key characters; ``=`` counts only as padding at the end, so in KEY=value the
+name and the value are runs of their own. Where a candidate is a name that the next one is assigned to, it stands in
+``before`` of that one. A value shorter than ``LEAST`` is no candidate, with or without its name. Each is described by its length, its class
 transitions (letter case, digit, sign), entropy, how much of it ordinary words cover (share of its letter
 triples that occur in a word list; at most 26^3 entries, held in one literal), the path it was found at, and the
 words before and after it. Spark ML trains the forest on labelled findings (``label`` 1: a secret) and
@@ -26,7 +28,9 @@ from pyspark.sql import functions as F
 from alpina.llm.common import staged
 
 LEAST = 16
-CANDIDATE = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}(?![\p{L}\p{N}])"
+CANDIDATE = r"(?<![\p{L}\p{N}+/_-])(?:[A-Za-z0-9+/_-]{16,}={0,2}|[A-Za-z0-9+/_-]{15}=|[A-Za-z0-9+/_-]{14}==)(?![\p{L}\p{N}])"
+#: between a name and the value assigned to it; a name's own run may have taken the sign along
+ASSIGNS, ASSIGNS_REST, TOOK_SIGN = r"^[\"']?\s{0,8}[=:]\s{0,8}[\"']?$", r"^\s{0,8}[\"']?$", r"[^=]=$"
 BEFORE, AFTER = 48, 24
 TRAIN_FINDINGS = 20_000
 TREES, DEPTH, SEED = 24, 8, 5
@@ -50,9 +54,12 @@ def findings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            .withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
            .withColumn("between", F.transform(F.split("text", CANDIDATE, -1), lambda x: F.struct(
                F.substring(x, 1, AFTER).alias("head"), F.substr(x, F.greatest(F.length(x) - BEFORE + 1, F.lit(1)), F.lit(BEFORE)).alias("tail")))))
-    return (cut.select("doc_id", "path", "between", F.posexplode("found").alias("finding_no", "candidate"))
-            .select("doc_id", "finding_no", "path", F.get("between", F.col("finding_no"))["tail"].alias("before"), "candidate",
-                    F.coalesce(F.get("between", F.col("finding_no") + 1)["head"], F.lit("")).alias("after")))
+    cut = cut.withColumn("found", F.transform("found", lambda c, i: F.struct(c.alias("candidate"), F.get("found", i - 1).alias("name"))))
+    candidate, name, tail = F.col("f.candidate"), F.col("f.name"), F.get("between", F.col("finding_no"))["tail"]
+    assigned = name.isNotNull() & (tail.rlike(ASSIGNS) | (name.rlike(TOOK_SIGN) & tail.rlike(ASSIGNS_REST)))
+    return (cut.select("doc_id", "path", "between", F.posexplode("found").alias("finding_no", "f"))
+            .select("doc_id", "finding_no", "path", F.when(assigned, F.right(F.concat(name, tail), F.lit(BEFORE))).otherwise(tail).alias("before"),
+                    candidate.alias("candidate"), F.coalesce(F.get("between", F.col("finding_no") + 1)["head"], F.lit("")).alias("after")))
 
 
 def word_triples(words: DataFrame) -> Column:

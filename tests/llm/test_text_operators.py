@@ -280,3 +280,23 @@ def test_secret_edge_rows(spark):
     labelled = secrets.findings(df).withColumn("label", F.when(F.col("before").contains("key"), 1.0).otherwise(0.0))
     got = secrets.scan(df, words.limit(0), labelled=labelled).collect()
     assert sorted(r["is_secret"] for r in got) == [False, False, True, True, True]
+
+
+def test_secrets_of_unquoted_assignments(spark):
+    key, hexa = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "0123456789abcdef0123456789abcdef01234567"
+    padded = "dGhpcyBpcyBhIHNlY3JldCE="
+    texts = [f"token={hexa}", f"AWS_SECRET_ACCESS_KEY={key}", f"export DATABASE_PASSWORD={padded}\n", f"see https://a.org/?access_token={hexa}&page=2",
+             f'AWS_SECRET_ACCESS_KEY="{key}"', f"aws_secret_access_key = {key}", f'"aws_secret_access_key": "{key}"', f"x {hexa} {key}", "0123456789abcd=="]
+    values = [hexa, key, padded, hexa, key, key, key, None, None]
+    found = secrets.findings(docs(spark, texts))
+    rows = {(r["doc_id"], r["candidate"]): r["before"] for r in found.collect()}
+    assert (8, "0123456789abcd==") in rows and not rows[7, key].strip()
+    one_id = found.withColumn("text_no", F.col("doc_id")).withColumn("doc_id", F.lit(0))  # an id that is not held out
+    labels = {(r["text_no"], r["candidate"]): r["label"] for r in secrets.weak_labels(one_id).collect()}
+    words = spark.createDataFrame([("plain words",)], "text string")
+    described = {(r["doc_id"], r["candidate"]): r for r in secrets.with_features(found, secrets.word_triples(words)).collect()}
+    for i, value in enumerate(values[:7]):
+        row = described[i, value]
+        assert row["assigned"] == 1 and row["credential_before"] == 1, texts[i]
+        assert labels[i, value] == 1, texts[i]
+    assert described[7, key]["assigned"] == 0 and labels[7, key] == 0

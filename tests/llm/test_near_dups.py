@@ -205,3 +205,27 @@ def test_links_up_to_a_fifth_of_edits_are_found(spark):
     assert not any(f for f, rate in zip(found, rates) if rate == 0.3)
     for rate in (0.1, 0.15, 0.2):
         assert np.mean([f for f, r in zip(found, rates) if r == rate]) >= 0.99, rate
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_embedding_groups_around_the_limit(spark, block, monkeypatch):
+    """Clusters whose pairs lie at cosine 0.94 to 0.96, where sign bits cannot rank the links."""
+    monkeypatch.setattr(buckets, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    x = []
+    for _ in range(120):
+        centre = rng.normal(size=64)
+        centre /= np.linalg.norm(centre)
+        for _ in range(rng.integers(3, 9)):
+            off = rng.normal(size=64)
+            off -= (off @ centre) * centre
+            x.append(centre + off / np.linalg.norm(off) * np.sqrt(1 / rng.uniform(0.945, 0.953) - 1))
+    u = np.array(x)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    want = roots(range(len(x)), zip(*(p.tolist() for p in np.nonzero(near))))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = embeddings.near_duplicates(df).collect()
+    wrong = sum(r["component_id"] != want[r["vec_id"]] or r["n_links"] != near[r["vec_id"]].sum() for r in rows)
+    assert len(rows) == len(x) and wrong <= 0.005 * len(x), (wrong, len(x))

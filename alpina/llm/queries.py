@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.llm import decontaminate, embeddings, mixing, near_dups, quality, secrets, sharding, suffix_dedup, tokens, warc
+from alpina.llm import conversations, decontaminate, embeddings, mixing, near_dups, quality, secrets, sharding, suffix_dedup, tokens, warc
 from alpina.llm.common import staged, table
 
 
@@ -52,6 +52,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(rows, conversations.damage(rows))
+
+
 QUERIES = {
     "op1_embedding_near_dups": op1_embedding_near_dups,
     "op2_decontamination": op2_decontamination,
@@ -63,6 +68,7 @@ QUERIES = {
     "op8_near_dups": op8_near_dups,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLES = {
@@ -123,5 +129,68 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0
             ELSE size * least(CAST(floor(u + rate * rank) - floor(u + rate * (rank - 1)) AS BIGINT), 3) END AS taken
 FROM r
+""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+crcs AS (
+  SELECT k, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+                             lambda x, y: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))), CAST(4294967295 AS BIGINT)) % 20 AS kind
+  FROM (SELECT DISTINCT k FROM keyed) AS u),
+copies AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed JOIN crcs USING (k) WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos FROM copies),
+faulty AS (
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS ini,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS last
+  FROM faulty GROUP BY conv_id),
+nexts(s, t, added) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+inserts AS (
+  SELECT s, s AS t, 0 AS c, '' AS a, '' AS x FROM nexts
+  UNION ALL SELECT s, t, 3, 'I', chr(10) || added || ':' FROM nexts
+  UNION ALL SELECT n.s, m.t, 6, 'II', chr(10) || n.added || ':' || chr(10) || m.added || ':' FROM nexts n JOIN nexts m ON n.t = m.s),
+edits(s, ini, e, c, t) AS (
+  SELECT s, '*', 'D', 4, s FROM nexts
+  UNION ALL SELECT s, '*', 'R', 3, t FROM nexts
+  UNION ALL SELECT * FROM (VALUES (0, 's', 'K', 0, 1), (0, 'u', 'K', 0, 2), (1, 'u', 'K', 0, 2), (2, 'a', 'K', 0, 3), (3, 'u', 'K', 0, 2)) AS k),
+moves AS (
+  SELECT i.s, e.ini, e.e, i.c + e.c AS c, e.t, i.a || e.e AS a, i.x,
+         CASE WHEN e.e = 'R' AND e.t = 2 THEN 'user' WHEN e.e = 'R' THEN 'assistant' END AS renamed
+  FROM inserts i JOIN edits e ON i.t = e.s),
+search AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS s, struct_pack(c := CAST(0 AS BIGINT), a := '', x := '') AS way FROM counts
+  UNION ALL
+  SELECT f.conv_id, f.pos, m.t, min(struct_pack(
+      c := CAST(r.way.c + m.c + CASE WHEN f.fault = 'truncated' AND m.e <> 'D' THEN 3 ELSE 0 END AS BIGINT), a := r.way.a || m.a,
+      x := r.way.x || m.x || CASE WHEN m.e = 'D' THEN '' ELSE chr(10) || coalesce(m.renamed, f.role) || ':' || f.text END))
+  FROM search r JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.pos = r.pos + 1
+  JOIN moves m ON m.s = r.s AND (m.ini = '*' OR m.ini = f.ini) AND (m.e = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY f.conv_id, f.pos, m.t),
+best AS (
+  SELECT r.conv_id, min(struct_pack(c := r.way.c + i.c, a := r.way.a || i.a, x := r.way.x || i.x)) AS way
+  FROM search r JOIN counts n ON n.conv_id IS NOT DISTINCT FROM r.conv_id AND n.last = r.pos
+  JOIN inserts i ON i.s = r.s AND i.t IN (0, 3)
+  GROUP BY r.conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.way.c, 0) AS cost, coalesce(b.way.a, '') AS audit,
+       sha256(coalesce(substr(b.way.x, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS i
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM i.conv_id
 """,
 }

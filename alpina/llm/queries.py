@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.llm import conversations, decontaminate, embeddings, mixing, near_dups, quality, secrets, sharding, suffix_dedup, tokens, warc
+from alpina.llm import conversations, decontaminate, embeddings, mixing, near_dups, quality, search, secrets, sharding, suffix_dedup, tokens, warc
 from alpina.llm.common import staged, table
 
 
@@ -57,6 +57,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(rows, conversations.damage(rows))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_embedding_near_dups": op1_embedding_near_dups,
     "op2_decontamination": op2_decontamination,
@@ -69,6 +73,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES = {
@@ -192,5 +197,30 @@ SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) AS i
 LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM i.conv_id
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM i.conv_id
+""",
+    "op13_ranked_search": r"""
+WITH held AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents) AS t
+  GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+factors AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // terms) AS m FROM lengths, totals),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) AS t
+  GROUP BY item_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN factors USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) AS r
+WHERE rank <= 20
 """,
 }

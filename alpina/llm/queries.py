@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.llm import conversations, decontaminate, embeddings, mixing, near_dups, quality, search, secrets, sharding, suffix_dedup, tokens, warc
+from alpina.llm import conversations, decontaminate, embeddings, mixing, near_dups, quality, search, secrets, sharding, suffix_dedup, token_files, tokens, warc
 from alpina.llm.common import staged, table
 
 
@@ -52,6 +52,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return conversations.repair_report(rows, conversations.damage(rows))
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_near_dups": op8_near_dups,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_token_files": op11_token_files,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_ranked_search": op13_ranked_search,
 }

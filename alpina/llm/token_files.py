@@ -26,8 +26,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,7 +49,8 @@ FILE_IDS = 1 << 25
 FILE_DOCS = 1 << 18
 READ_BYTES = 32 << 20
 SELECT_STEP = 256
-CACHE_PIECES = 300_000
+CACHE_PIECES = 1_000_000
+RENEW = 8
 PIECE_CHARS = 64
 FILE_BLOCK = 1024
 #: fixed value: the byte-level pre-token pattern of the tokenizers library
@@ -63,27 +66,29 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class _Recent:
-    """Values of the keys last used: two generations of at most ``size``, the older dropped when the younger is full."""
+class _Cache:
+    """Values of the first ``size`` keys seen. Frequent keys come early, so a full cache is kept as it is, until the keys that it
+    missed since are ``RENEW`` times its size."""
 
     def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
+        self.size, self.known, self.missed = size, {}, 0
 
     def all(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
         """The values of ``keys``; ``make`` gives those of distinct unknown ones."""
-        out = list(map(self.new.get, keys))
-        if None not in out:
-            return out
+        out = list(map(self.known.get, keys))
         gaps = [i for i, v in enumerate(out) if v is None]
-        found = {keys[i]: self.old.get(keys[i]) for i in gaps}
-        unknown = [k for k, v in found.items() if v is None]
-        if unknown:
-            found.update(zip(unknown, make(unknown), strict=True))
+        if not gaps:
+            return out
+        unknown = list({keys[i]: None for i in gaps})
+        made = dict(zip(unknown, make(unknown), strict=True))
         for i in gaps:
-            out[i] = found[keys[i]]
-        if len(self.new) + len(found) > self.size:
-            self.old, self.new = self.new, {}
-        self.new.update((k, v) for k, v in list(found.items())[:self.size] if len(k) <= PIECE_CHARS)
+            out[i] = made[keys[i]]
+        if len(self.known) < self.size:
+            self.known.update((k, v) for k, v in made.items() if len(k) <= PIECE_CHARS)
+        else:
+            self.missed += len(made)
+            if self.missed > RENEW * self.size:
+                self.known, self.missed = {}, 0
         return out
 
 
@@ -108,17 +113,46 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         size = max(self.library.get_vocab_size(with_added_tokens=True), END_ID + 1)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.starts, self.spaced, self.words = (_Recent(n) for n in (CACHE_PIECES // 4, CACHE_PIECES, CACHE_PIECES))
+        self.starts, self.spaced, self.bare = (_Cache(n) for n in (CACHE_PIECES // 8, CACHE_PIECES, CACHE_PIECES // 8))
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array("H" if self.dtype.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [self._bytes(e.ids) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space, in one text: the library says which word an id is of."""
+        if len(words) > 1:
+            found = self.library.encode(" " + " ".join(words), add_special_tokens=False)
+            ids, word = self._bytes(found.ids), np.array(found.word_ids)
+            cuts = [0, *(self.dtype.itemsize * (np.flatnonzero(word[1:] != word[:-1]) + 1)).tolist(), len(ids)]
+            if len(cuts) == len(words) + 1:
+                return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return self._library([" " + w for w in words])
 
     def _after_space(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces that follow a space, by way of their pre-tokens where these are certain."""
-        plain = [self._plain.fullmatch(p) is not None for p in pieces]
-        words = [PRE_TOKEN.findall(" " + p) if ok else [" " + p] for p, ok in zip(pieces, plain, strict=True)]
-        ids = iter(self.words.all([w for x in words for w in x], self._library))
-        return [b"".join([next(ids) for _ in x]) for x in words]
+        out: dict[str, bytes] = {}
+        words = [p for p in pieces if p.isalpha()]
+        out.update(zip(words, self._words(words), strict=True))
+        split = {p: PRE_TOKEN.findall(" " + p) for p in pieces if p not in out and self._plain.fullmatch(p)}
+        if split:
+            heads = self.spaced.all([x[0][1:] for x in split.values()], self._each)
+            tails = iter(self.bare.all([t for x in split.values() for t in x[1:]], self._library))
+            out.update((p, b"".join([head, *[next(tails) for _ in x[1:]]])) for (p, x), head in zip(split.items(), heads, strict=True))
+        rest = [p for p in pieces if p not in out]
+        if rest:
+            out.update(zip(rest, self._each(rest), strict=True))
+        return [out[p] for p in pieces]
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        if all(map(str.isalpha, pieces)):
+            return self._words(pieces)
+        return self._library([" " + p for p in pieces])
 
     def encode(self, text: str) -> bytes:
         if not text:

@@ -17,6 +17,10 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _named(c: str) -> Column:
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence, biggest: bool,
           tiebreak: Sequence | None) -> DataFrame:
     """One ``max``/``min`` over a single struct ``(order…, tiebreak…, row…)``: each column is
@@ -27,11 +31,11 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence, biggest: bool,
     rest = [c for c in cols if c not in keys]
     fields = [_c(o).alias(f"_o{i}") for i, o in enumerate(order)]
     fields += [_c(t).alias(f"_t{i}") for i, t in enumerate(tiebreak or [])]
-    fields += [F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(rest)]
+    fields += [_named(c).alias(f"_p{i}") for i, c in enumerate(rest)]
     pick = (F.max if biggest else F.min)(F.struct(*fields))
-    out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias("_w"))
+    out = df.groupBy(*[_named(k) for k in keys]).agg(pick.alias("_w"))
     pos = {c: i for i, c in enumerate(rest)}
-    return out.select(*[F.col(f"`{c}`") if c in keys else F.col("_w").getField(f"_p{pos[c]}").alias(c)
+    return out.select(*[_named(c) if c in keys else F.col("_w").getField(f"_p{pos[c]}").alias(c)
                         for c in cols])
 
 
@@ -45,7 +49,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, *,
     if drop_null_keys:
         cond = F.lit(True)
         for k in keys:
-            cond = cond & F.col(f"`{k}`").isNotNull()
+            cond = cond & _named(k).isNotNull()
         df = df.where(cond)
     return _pick(df, keys, order, True, tiebreak)
 

@@ -32,12 +32,12 @@ from alpina.operators.quality import NameCollision, QuarantineError, expect_or_d
 from alpina.operators.summary import control_summary
 from alpina.operators.terrain_tiles import fits_blocks, terrain_cells_from_tiles, tile_stats_from_tiles
 from alpina.session import delete_path, list_dir, path_exists, scratch_path, write_text_file
+from alpina.sinks.keyed import BUCKETS, KeyedTable
 from alpina.sinks.ledger import ledger_rows, record_ledger
 from alpina.sinks.tables import overwrite_table, read_replaced, replace_by_key
-from alpina.sources.delimited import frame_of_header, header_names, header_signatures, read_delimited_union
+from alpina.sources.delimited import RESCUED, frame_of_header, header_names, header_signatures, read_delimited_union
 from alpina.sources.files import list_files, raw_path, source_path
 from alpina.sources.json_text import read_json_strings
-from alpina.streaming.scd1 import compact_scd1, complete_changes, read_scd1, write_changes
 
 WEATHER_TECH = set(FIXED_WEATHER_TECH)
 WEATHER_KEYS = ["station_abbr", "reference_ts"]
@@ -46,7 +46,6 @@ WEATHER_SEQUENCE = ["source_modified_at", "source_file"]
 
 # ---------------------------------------------------------------- weather
 WEATHER_TIMES = ("source_file", "source_modified_at")
-COMPACT_AFTER = 50
 
 
 def _file_listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -59,14 +58,15 @@ def weather_bronze(spark: SparkSession, folder: str, bronze: str, ledger_path: s
                    sep: str = ";") -> DataFrame | None:
     """Load the files of one granularity that are new or rewritten since the ledger saw them (the same path
     with a later time is read again): all STRING, lineage, columns bound by name, so a new column is
-    added without failing. Every run is a folder of its own. Returns the run's rows (None: nothing to do)."""
+    added without failing; fields beyond a file's header are kept in ``_rescued``. Every run is a folder of its own. Returns the
+    run's rows (None: nothing to do)."""
     listing = _file_listing(spark, folder, "*.csv")
     settle_runs(spark, bronze, ledger_path, target)
     todo = changed_by_epoch(listing, spark.read.parquet(ledger_path), target=target) if path_exists(spark, ledger_path) else listing
     paths = [raw_path(r["file_path"]) for r in todo.select("file_path").collect()]  # the files to open
     if not paths:
         return None
-    rows = read_delimited_union(spark, paths, sep, "station_abbr", lineage=WEATHER_TIMES)
+    rows = read_delimited_union(spark, paths, sep, "station_abbr", lineage=WEATHER_TIMES, rescued=RESCUED)
     run = start_run(todo, bronze)
     rows.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(run)
     stored = spark.read.parquet(run)
@@ -78,27 +78,39 @@ def weather_typed(bronze: DataFrame) -> DataFrame:
     """Typed view: key normalised, instant parsed strictly, every other column a DOUBLE."""
     lead = [normalize_key("station_abbr").alias("station_abbr"),
             parse_ts_strict("reference_timestamp", WEATHER_TS_FORMAT).alias("reference_ts")]
-    return project_dynamic(bronze, WEATHER_TECH, cast=lambda c: cast_double_strict(F.col(f"`{c}`")),
+    return project_dynamic(bronze, WEATHER_TECH | {RESCUED}, cast=lambda c: cast_double_strict(F.col(f"`{c}`")),
                            lead=lead, tail=["source_file", "source_modified_at"])
 
 
-def weather_flow(spark: SparkSession, granularities: dict[str, str], work: str) -> dict[str, tuple[DataFrame, dict]]:
+def pending_runs(spark: SparkSession, bronze: str) -> list[str]:
+    """Names of the logged runs of a bronze table whose rows are not in silver yet."""
+    base = f"{bronze.rstrip('/')}/{RUN_FILES}"
+    return [n for n in sorted(list_dir(spark, base))
+            if path_exists(spark, f"{base}/{n}/{RUN_LOGGED}") and not path_exists(spark, f"{base}/{n}/{RUN_IN_SILVER}")]
+
+
+def weather_flow(spark: SparkSession, granularities: dict[str, str], work: str, buckets: int = BUCKETS) -> dict[str, tuple[DataFrame, dict]]:
     """One silver table per granularity (name → landing folder): the newest delivery per station and
-    instant. Returns per granularity the table and the counts of rows read and dropped by this run."""
+    instant. Returns per granularity the table and the counts of rows read and dropped by this run.
+
+    Silver follows bronze run by run: a run counts as done when its rows are in silver, so a run that was logged
+    by a flow that then died (or met a value that the strict types refuse) is taken up by the next one."""
     out = {}
     for name, folder in granularities.items():
-        target = f"{work}/silver/{name}"
-        stored = weather_bronze(spark, folder, f"{work}/bronze/{name}", f"{work}/_ledger", f"bronze_{name}")
+        bronze = f"{work}/bronze/{name}"
+        silver = KeyedTable(spark, f"{work}/silver/{name}", WEATHER_KEYS, WEATHER_SEQUENCE, buckets)
+        weather_bronze(spark, folder, bronze, f"{work}/_ledger", f"bronze_{name}")
         counts = {"rows_in": 0, "valid_key_dropped": 0}
-        if stored is not None:
+        for run in pending_runs(spark, bronze):
+            stored = spark.read.parquet(f"{bronze}/run={run}")
             valid, seen = expect_or_drop(weather_typed(stored), {"valid_key": "station_abbr IS NOT NULL AND reference_ts IS NOT NULL"},
-                                         f"weather_{name}")
-            write_changes(valid, target, f"run-{uuid.uuid4().hex[:12]}", WEATHER_KEYS, WEATHER_SEQUENCE)
-            counts = seen.get
-        if len(complete_changes(spark, target)) > COMPACT_AFTER:
-            compact_scd1(spark, target, WEATHER_KEYS, WEATHER_SEQUENCE)
-        if complete_changes(spark, target):
-            out[name] = (read_scd1(spark, target, WEATHER_KEYS, WEATHER_SEQUENCE), counts)
+                                         f"weather_{name}_{run}")
+            if silver.write(valid, f"run-{run}"):
+                counts = {k: v + seen.get[k] for k, v in counts.items()}
+            write_text_file(spark, f"{bronze}/{RUN_FILES}/{run}/{RUN_IN_SILVER}", "")
+        silver.maintain()
+        if silver.exists():
+            out[name] = (silver.read(), counts)
     return out
 
 
@@ -205,7 +217,7 @@ def terrain_flow(tiles: DataFrame, work: str, cell_size: int, ledger_path: str,
 
 
 # ---------------------------------------------------------------- runs
-RUN_FILES, RUN_LOGGED = "_files", "_LOGGED"
+RUN_FILES, RUN_LOGGED, RUN_IN_SILVER = "_files", "_LOGGED", "_IN_SILVER"
 
 
 def start_run(todo: DataFrame, target: str) -> str:

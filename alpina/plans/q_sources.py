@@ -31,15 +31,20 @@ def q_read_delimited(spark: SparkSession, sf: str):
 @query("read_delimited_union", """
 SELECT * FROM (
   SELECT CAST(c_custkey AS VARCHAR) AS "key", c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
-         CAST(c_acctbal AS VARCHAR) AS acctbal, c_mktsegment AS segment, NULL::VARCHAR AS supplier_flag
+         CAST(c_acctbal AS VARCHAR) AS acctbal, c_mktsegment AS segment, NULL::VARCHAR AS supplier_flag, NULL::VARCHAR AS third,
+         NULL::VARCHAR AS fourth
   FROM customer
   UNION ALL
   SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), CAST(s_acctbal AS VARCHAR),
-         NULL, 'Y'
-  FROM supplier)""")
+         NULL, 'Y', NULL, NULL
+  FROM supplier
+  UNION ALL
+  SELECT 'n' || CAST(n_nationkey AS VARCHAR), CASE WHEN n_nationkey % 3 > 0 THEN n_name END, NULL, NULL, NULL, NULL,
+         CASE WHEN n_nationkey % 3 = 2 THEN 'a;"b' END, CASE WHEN n_nationkey % 3 = 2 THEN CAST(n_regionkey AS VARCHAR) END
+  FROM nation)""")
 def q_read_delimited_union(spark: SparkSession, sf: str):
-    """Two header layouts in one folder: customer (key;name;nation;acctbal;segment) and
-    supplier (key;nation;name;supplier_flag;acctbal — other order, one extra column)."""
+    """Three header layouts: customer (key;name;nation;acctbal;segment), supplier (key;nation;name;supplier_flag;acctbal —
+    other order, one extra column) and nation (key;name), whose lines have one, two or four fields."""
     root = scratch_path(spark, "union_csv")
     c = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("name"),
@@ -51,7 +56,13 @@ def q_read_delimited_union(spark: SparkSession, sf: str):
         F.col("s_acctbal").cast("string").alias("acctbal"))
     write_delimited(c, f"{root}/customer", sep=";")
     write_delimited(s, f"{root}/supplier", sep=";")
-    return read_delimited_union(spark, [f"{root}/customer", f"{root}/supplier"], sep=";", key_col="key")
+    key, odd = F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.pmod("n_nationkey", F.lit(3))
+    n = table(spark, sf, "nation").select(F.when(odd == 0, key).when(odd == 1, F.concat_ws(";", key, "n_name")).otherwise(
+        F.concat_ws(";", key, "n_name", F.lit('"a;""b"'), "n_regionkey")).alias("key;name"))
+    n.write.option("header", True).option("sep", "\u0001\u0002").option("quote", "\u0000").option("escapeQuotes", False).csv(f"{root}/nation")
+    out = read_delimited_union(spark, [f"{root}/{x}" for x in ("customer", "supplier", "nation")], sep=";", key_col="key", rescued="_rescued")
+    return out.select("key", "name", "nation", "acctbal", "segment", "supplier_flag",
+                      *[F.try_element_at("_rescued", F.lit(f"_c{i}")).alias(c) for i, c in ((2, "third"), (3, "fourth"))])
 
 
 LATIN_SAFE = r"^[\x00-\x7F\xA0-\xFF]*$"

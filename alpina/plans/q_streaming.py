@@ -15,12 +15,14 @@ from alpina.operators.projection import drop_null_keys
 from alpina.operators.quality import expectation_flags, split_corrupt_files
 from alpina.plans.q_columns import EVENT_EXPECTATIONS
 from alpina.plans.registry import query, r6, table, ts_text, ts_text_ms
-from alpina.session import scratch_path
+from alpina.session import delete_path, list_dir, scratch_path
+from alpina.sinks.tables import rename_path
 from alpina.sources.delimited import write_delimited
 from alpina.sources.files import with_lineage
 from alpina.sources.json_text import read_json_strings
 from alpina.streaming.bronze import bronze_stream, dropped_counts, run_append, stream_files
-from alpina.streaming.scd1 import read_scd1, start_scd1
+from alpina.streaming.scd1 import read_scd1, start_scd1, start_scd1_state, state_size
+from alpina.streaming.versions import read_bronze, start_bronze
 
 LATEST_EVENTS_SQL = """
 SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, round(value, 6) AS value
@@ -54,27 +56,48 @@ def q_stream_bronze(spark: SparkSession, sf: str):
 ORDERS_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
+def _deliver(df, folder: str, name: str) -> None:
+    """Write a delivery of CSV files aside and move them to ``<folder>/<name>-<k>.csv``, over those of an earlier one."""
+    spark = df.sparkSession
+    aside = scratch_path(spark, "delivery")
+    write_delimited(df, aside, sep=";")
+    for k, part in enumerate(sorted(n for n in list_dir(spark, aside) if n.endswith(".csv"))):
+        delete_path(spark, f"{folder}/{name}-{k}.csv")
+        rename_path(spark, f"{aside}/{part}", f"{folder}/{name}-{k}.csv")
+
+
 @query("stream_reingest", """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice, '1' AS v FROM orders
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+                  CAST(o_totalprice + 1 AS VARCHAR) AS raised, o_orderpriority, o_orderkey % 4 AS file FROM orders)
+SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS clerk, NULL::VARCHAR AS rescued, CAST(0 AS BIGINT) AS batch FROM o
 UNION ALL
-SELECT CAST(o_orderkey AS VARCHAR),
-       CAST(CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS VARCHAR), '2' FROM orders""")
+SELECT o_orderkey, raised, 'clerk ' || o_orderkey, o_orderpriority, 1 FROM o WHERE file = 1""")
 def q_stream_reingest(spark: SparkSession, sf: str):
-    """An orders file is rewritten; the new version lands under ``v=2`` and is ingested again."""
+    """Orders land as files by key; one group of files is overwritten at the same paths with changed prices, one more column and
+    lines of one field more than the header has. The stream, restarted from its checkpoint, reads just those again."""
     o = table(spark, sf, "orders")
-    root = scratch_path(spark, "orders_landing")
-    out, ck = scratch_path(spark, "bronze_orders"), scratch_path(spark, "ck_bronze_orders")
-    schema = StructType([StructField(c, StringType()) for c in ORDERS_TEXT] + [StructField("v", StringType())])
-    opts = {"header": "true", "sep": ";", "multiLine": "true", "escape": '"'}
-    v1 = o.select(*[F.col(c).cast("string").alias(c) for c in ORDERS_TEXT])
-    write_delimited(v1, f"{root}/v=1", sep=";")
-    run_append(bronze_stream(spark, root, schema, "csv", opts), out, ck)
-    v2 = v1.withColumn("o_totalprice", F.when(F.pmod(F.col("o_orderkey").cast("long"), F.lit(10)) == 0,
-                                              (F.col("o_totalprice").cast("double") + 1).cast("string"))
-                       .otherwise(F.col("o_totalprice")))
-    write_delimited(v2, f"{root}/v=2", sep=";")
-    run_append(bronze_stream(spark, root, schema, "csv", opts), out, ck)
-    return spark.read.parquet(out).select("o_orderkey", "o_totalprice", "v")
+    root, out, ck = (scratch_path(spark, n) for n in ("orders_landing", "bronze_orders", "ck_bronze_orders"))
+    text = o.select(*[F.col(c).cast("string").alias(c) for c in ORDERS_TEXT], F.pmod("o_orderkey", F.lit(4)).alias("file"),
+                    (F.col("o_totalprice") + 1).cast("string").alias("raised"))
+    for file in range(4):
+        _deliver(text.where(F.col("file") == file).select(*ORDERS_TEXT), root, f"orders-{file}")
+    run = lambda: start_bronze(spark, root, "*.csv", out, ck, settle_ms=0)
+    run()
+    second = text.where("file = 1").select(
+        "o_orderkey", F.col("raised").alias("o_totalprice"),
+        F.concat(F.lit("clerk "), "o_orderkey", F.lit(";"), "o_orderpriority").alias("clerk"))
+    lines = second.select(F.concat_ws(";", "o_orderkey", "o_totalprice", "clerk").alias("o_orderkey;o_totalprice;clerk"))
+    aside = scratch_path(spark, "delivery")
+    lines.write.option("header", True).option("sep", "\u0001\u0002").option("quoteAll", False).option("escapeQuotes", False).csv(aside)
+    for name in list_dir(spark, root):
+        if name.startswith("orders-1-"):
+            delete_path(spark, f"{root}/{name}")
+    for k, part in enumerate(sorted(n for n in list_dir(spark, aside) if n.endswith(".csv"))):
+        rename_path(spark, f"{aside}/{part}", f"{root}/orders-1-{k}.csv")
+    run()
+    run()  # nothing new: no batch
+    return read_bronze(spark, out).select("o_orderkey", "o_totalprice", "clerk", F.try_element_at("_rescued", F.lit("_c3")).alias("rescued"),
+                                          F.col("_batch").alias("batch"))
 
 
 @query("stream_scd1", LATEST_EVENTS_SQL)
@@ -89,6 +112,26 @@ def q_stream_scd1(spark: SparkSession, sf: str):
     return out.select("user_id", "event_type", "event_id", ts_text_ms("ts").alias("ts"), r6("value").alias("value"))
 
 
+@query("stream_scd1_state", LATEST_EVENTS_SQL)
+def q_stream_scd1_state(spark: SparkSession, sf: str):
+    """The upsert with the winners in a RocksDB state store: the landed files arrive one per batch, in two runs of one
+    checkpoint; the second run re-delivers half of the rows."""
+    keys, sequence = ["user_id", "event_type"], ["ts", "event_id"]
+    root = _land_events(spark, sf)
+    schema = spark.read.parquet(root).schema
+    target, ck = scratch_path(spark, "silver_events"), scratch_path(spark, "ck_silver_events")
+    for again in (False, True):
+        if again:
+            table(spark, sf, "events").where("event_id % 2 = 0").repartition(2).write.mode("append").parquet(root)
+        s = stream_files(spark, root, schema, "parquet", {"maxFilesPerTrigger": 2}).select("user_id", "event_type", "event_id", "ts", "value")
+        query = start_scd1_state(s, keys, sequence, target, ck, state_partitions=8)
+    held = state_size(query)["keys"]
+    out = read_scd1(spark, target, keys, sequence)
+    if held != out.count():
+        raise RuntimeError(f"the state holds {held} keys")
+    return out.select("user_id", "event_type", "event_id", ts_text_ms("ts").alias("ts"), r6("value").alias("value"))
+
+
 EVENT_TEXT = ["event_id", "ts", "user_id", "event_type", "value"]
 
 

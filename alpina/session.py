@@ -112,11 +112,21 @@ def write_text_file(spark: SparkSession, path: str, text: str, encoding: str = "
         out.close()
 
 
+def read_text_file(spark: SparkSession, path: str, encoding: str = "utf-8") -> str:
+    fs, p = hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode(encoding)
+    finally:
+        stream.close()
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
 __all__ = [
     "build_session", "apply_runtime_conf", "checkpoint_root", "scratch_path", "hadoop_fs",
-    "path_exists", "delete_path", "list_dir", "write_text_file", "local_path",
+    "path_exists", "delete_path", "list_dir", "write_text_file",
+    "read_text_file", "local_path",
 ]

@@ -31,7 +31,7 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
+def rename_path(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = hadoop_fs(spark, src)
     _, d = hadoop_fs(spark, dst)
     parent = d.getParent()
@@ -55,7 +55,7 @@ def recover_table(spark: SparkSession, path: str) -> bool:
     fs, _ = hadoop_fs(spark, base)
     newest = max(olds, key=lambda n: hadoop_fs(spark, f"{parent}/{n}")[0]
                  .getFileStatus(hadoop_fs(spark, f"{parent}/{n}")[1]).getModificationTime())
-    _rename(spark, f"{parent}/{newest}", base)
+    rename_path(spark, f"{parent}/{newest}", base)
     return True
 
 
@@ -72,8 +72,8 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     w.parquet(stage)
     old = f"{path.rstrip('/')}.__old_{uuid.uuid4().hex[:8]}"
     if path_exists(spark, path):
-        _rename(spark, path, old)
-    _rename(spark, stage, path)
+        rename_path(spark, path, old)
+    rename_path(spark, stage, path)
     delete_path(spark, old)
     return spark.read.parquet(path).count()
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from alpina.operators.projection import union_by_name
+from alpina.session import scratch_path
 from alpina.sources.files import raw_path, source_path
 
 
@@ -73,19 +75,114 @@ def header_names(line: str, sep: str) -> list[str]:
     return out
 
 
+RESCUED = "_rescued"
+_NO_SEP = "\u0001\u0002\u0003"  # separates nothing: a line is one field
+
+
+def _lines(spark: SparkSession, paths, header: bool, encoding: str | None) -> DataFrame:
+    """Lines of delimited files as ``line``; with ``header`` each file's first line is left out."""
+    r = spark.read.schema("line string").option("header", header).option("sep", _NO_SEP).option("quote", "")
+    return (r.option("encoding", encoding) if encoding else r).csv(_paths(paths))
+
+
+def line_fields(line: Column, sep: str) -> Column:
+    """Raw fields of a line; a quoted field keeps its quotes (``""`` inside stands for one)."""
+    s = re.escape(sep)
+    # every match starts with a separator, so none is empty and an empty first field is found too
+    return F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f'{s}("[^"]*+(?:""[^"]*+)*+"(?={s}|\\z)|[^{s}]*)'), F.lit(1))
+
+
+def field_value(field: Column, keep_empty: bool) -> Column:
+    """The text of a raw field; an empty one is NULL unless ``keep_empty`` or written as ``""``."""
+    quoted = (F.length(field) >= 2) & field.startswith('"') & field.endswith('"')
+    text = F.when(quoted, F.replace(F.substr(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))).otherwise(field)
+    return text if keep_empty else F.when(quoted | (field != ""), text)
+
+
+def _numbered(names: Column) -> Column:
+    """Names of which one that occurs again gets a number, as :func:`header_names` gives it."""
+    def named(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(names, F.lit(1), i), lambda other: other == name))
+        return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+
+    return F.transform(names, named)
+
+
+def header_dictionary(spark: SparkSession, paths, sep: str, key_col: str | None = None, encoding: str | None = None) -> DataFrame:
+    """(``file``, ``names``) per file, written once: its first line that isn't empty, taken apart. A file's first line is that
+    with the smallest ``monotonically_increasing_id`` in its first block; only that line of a file leaves its task."""
+    first = (_lines(spark, paths, False, encoding).where(F.col("_metadata.file_block_start") == 0)
+             .select("line", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("i"))
+             .groupBy("file").agg(F.min_by("line", "i").alias("line")))
+    fields = line_fields(F.regexp_replace("line", "^\ufeff", ""), sep)
+    named = first.select("file", F.transform(fields, lambda f: field_value(f, True)).alias("names"))
+    if key_col is not None:
+        named = named.where(F.col("names")[0] == key_col)
+    path = scratch_path(spark, "headers")
+    named.select("file", _numbered(F.col("names")).alias("names")).write.parquet(path)
+    return spark.read.schema("file string, names array<string>").parquet(path)
+
+
 def read_delimited_union(spark: SparkSession, paths, sep: str, key_col: str | None = None,
                          encoding: str | None = None, lineage: tuple[str, str] | None = None,
-                         multi_line: bool = False, keep_empty: bool = False) -> DataFrame:
+                         multi_line: bool = False, keep_empty: bool = False, rescued: str | None = None) -> DataFrame:
     """Files with **different headers** → union of their columns by name, absent = NULL.
 
-    The CSV reader binds columns by position, so one read per distinct header is made and the
-    reads are unioned by name (one read per header, not per file). ``lineage`` names the
-    (source file, modification time) columns to attach."""
+    One plan whatever the number of headers: a dictionary holds for every file where each output column stands in its
+    lines; lines are joined to it by file, and a column is the field at its place. Fields beyond a file's header go into
+    the map column ``rescued`` (``_c5`` is the sixth field), NULL where there are none; without ``rescued`` they are
+    dropped. ``lineage`` names the (source file, modification time) columns to attach. With ``multi_line`` (fields that
+    hold line breaks) lines cannot be taken apart one by one: then one read per distinct header is made."""
+    if multi_line or len(sep) > 1:
+        return _union_of_reads(spark, paths, sep, key_col, encoding, lineage, multi_line, keep_empty, rescued)
+    headers = header_dictionary(spark, paths, sep, key_col, encoding)
+    # the output's columns: in the order of the place they first stand at in any header
+    columns = [r["name"] for r in headers.select(F.posexplode("names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+               .orderBy("at", "name").collect()]
+    if not columns:
+        raise ValueError(f"no header found under {paths} (key column {key_col!r})")
+    if key_col is not None:
+        columns = [key_col, *[c for c in columns if c != key_col]]
+    order = F.array(*[F.lit(c) for c in columns])
+    places = headers.select("file", F.size("names").alias("n"), F.transform(order, lambda c: F.array_position("names", c).cast("int")).alias("at"))
+    lines = _lines(spark, paths, True, encoding).select(
+        "line", F.col("_metadata.file_path").alias("file"), source_path().alias("source"),
+        F.col("_metadata.file_modification_time").alias("modified"))
+    fields = lines.join(places, "file").select("n", "at", "source", "modified", line_fields(F.col("line"), sep).alias("fields"))
+    bound = fields.select("n", "at", "source", "modified", F.transform("fields", lambda f: field_value(f, keep_empty)).alias("vals"),
+                          *([_surplus(F.col("fields"), F.col("n")).alias("surplus")] if rescued else []))
+    out = [f"get(vals, at[{i}] - 1) AS {_quoted(c)}" for i, c in enumerate(columns)]
+    if rescued:
+        out.append(f"surplus AS {_quoted(rescued)}")
+    if lineage:
+        out += [f"source AS {_quoted(lineage[0])}", f"modified AS {_quoted(lineage[1])}"]
+    return bound.selectExpr(*out)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _surplus(fields: Column, n: Column) -> Column:
+    """Map of the fields beyond the first ``n``, NULL where there are none."""
+    pairs = F.transform(F.slice(fields, n + 1, F.size(fields)),
+                        lambda f, i: F.struct(F.concat(F.lit("_c"), (n + i).cast("string")), field_value(f, True)))
+    return F.when(F.size(fields) > n, F.map_from_entries(pairs))
+
+
+def _union_of_reads(spark: SparkSession, paths, sep: str, key_col: str | None, encoding: str | None, lineage: tuple[str, str] | None,
+                    multi_line: bool, keep_empty: bool, rescued: str | None) -> DataFrame:
+    """One read per distinct header, bound by position, unioned by name. Only the first field beyond a header can be kept."""
     groups = header_signatures(spark, paths, sep, key_col)
     if not groups:
         raise ValueError(f"no header found under {paths} (key column {key_col!r})")
-    frames = [frame_of_header(spark, header_names(line, sep), files, sep, encoding, multi_line, keep_empty, lineage)
-              for line, files in sorted(groups.items())]
+    frames = []
+    for line, files in sorted(groups.items()):
+        names = header_names(line, sep)
+        df = frame_of_header(spark, names, files, sep, encoding, multi_line, keep_empty, lineage, surplus=rescued)
+        if rescued:
+            df = df.withColumn(rescued, F.when(F.col(rescued).isNotNull(), F.create_map(F.lit(f"_c{len(names)}"), rescued)))
+        frames.append(df)
     return union_by_name(frames, allow_missing=True)
 
 

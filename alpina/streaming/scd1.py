@@ -1,26 +1,38 @@
-"""SCD type 1 upsert on a stream without MERGE and without state.
+"""SCD type 1 upserts on a stream, without MERGE.
 
-Every micro-batch is reduced to its newest row per key (map-side combined) and written as a change folder.
-The table is the newest row per key over all complete change folders: late older rows lose, and a NULL in
-the newest row overwrites (whole-row semantics). A folder is named by the checkpoint's own id and the
-batch number, so a replayed batch rewrites its folder, and a new checkpoint never meets the folders of an
-old one. Only folders with Spark's ``_SUCCESS`` marker are read or folded.
+Both kinds write their batches into a :class:`~alpina.sinks.keyed.KeyedTable`, which keeps the newest row per key in hash buckets: late
+older rows lose, and a NULL in the newest row overwrites (whole-row semantics). Buckets that have gathered many files are folded between
+batches by the stream itself.
+
+* :func:`start_scd1` keeps no state: a batch is reduced to its newest row per key and written as it is.
+* :func:`start_scd1_state` keeps the winner of every key in a RocksDB state store (changelog checkpoints). Its batches hold what has
+  won over all batches so far, so every row that a batch writes is right by itself and may be sent on, which a
+  stateless batch's is not. The state grows with the number of keys, on the executors' disks.
+
+A batch is named by the checkpoint's own id and its number: a replayed batch is there already, and a new checkpoint never meets
+the batches of an old one.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from alpina.operators.dedupe import latest_per_key
-from alpina.session import delete_path, hadoop_fs, list_dir, path_exists, write_text_file
+from alpina.session import path_exists, read_text_file, write_text_file
+from alpina.sinks.keyed import BUCKETS, FOLD_AFTER, KEEP_SECONDS, KeyedTable
 from alpina.streaming.bronze import run_foreach_batch
 
 SOURCE_ID = "_source_id"
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def scd1_latest(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -28,58 +40,75 @@ def scd1_latest(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -
     return latest_per_key(rows, keys, [F.col(s) for s in sequence], drop_null_keys=False)
 
 
-def write_changes(rows: DataFrame, target: str, name: str, keys: Sequence[str], sequence: Sequence[str]) -> None:
-    """One change folder; writing it again under the same name gives the same table."""
-    scd1_latest(rows, keys, sequence).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_changes/{name}")
-
-
-def _source_id(spark: SparkSession, checkpoint: str) -> str:
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """An id that lives and dies with the checkpoint."""
     path = f"{checkpoint.rstrip('/')}/{SOURCE_ID}"
     if not path_exists(spark, path):
         write_text_file(spark, path, uuid.uuid4().hex[:12])
-    fs, p = hadoop_fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readAllBytes()).decode().strip()
-    finally:
-        stream.close()
+    return read_text_file(spark, path).strip()
 
 
-def start_scd1(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str,
-               checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Start (and with ``available_now`` drain) the upsert stream."""
-    source = _source_id(stream.sparkSession, checkpoint)
+def _upsert(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str, checkpoint: str, mode: str,
+            available_now: bool, buckets: int, fold_after: int, keep_seconds: float) -> StreamingQuery:
+    source = checkpoint_id(stream.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_changes(batch, target, f"{source}-{batch_id}", keys, sequence)
+        table = KeyedTable(batch.sparkSession, target, keys, sequence, buckets)
+        table.write(batch, f"{source}-{batch_id}")
+        table.maintain(fold_after, keep_seconds)
 
-    return run_foreach_batch(stream, write, checkpoint, available_now=available_now)
+    return run_foreach_batch(stream, write, checkpoint, output_mode=mode, available_now=available_now)
 
 
-def complete_changes(spark: SparkSession, target: str) -> list[str]:
-    base = f"{target.rstrip('/')}/_changes"
-    return [n for n in sorted(list_dir(spark, base)) if path_exists(spark, f"{base}/{n}/_SUCCESS")]
+def start_scd1(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str, checkpoint: str,
+               available_now: bool = True, *, buckets: int = BUCKETS, fold_after: int = FOLD_AFTER,
+               keep_seconds: float = KEEP_SECONDS) -> StreamingQuery:
+    """Start (and with ``available_now`` drain) the stateless upsert stream."""
+    return _upsert(stream, keys, sequence, target, checkpoint, "append", available_now, buckets, fold_after, keep_seconds)
+
+
+@contextmanager
+def _conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def start_scd1_state(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], target: str, checkpoint: str,
+                     available_now: bool = True, *, state_partitions: int | None = None, buckets: int = BUCKETS,
+                     fold_after: int = FOLD_AFTER, keep_seconds: float = KEEP_SECONDS) -> StreamingQuery:
+    """Start (and with ``available_now`` drain) the upsert stream with state. ``state_partitions`` counts at the checkpoint's
+    first start (Spark keeps it); the stream's columns are fixed with its state, so a new column takes a new checkpoint."""
+    spark = stream.sparkSession
+    settings = dict(STATE_CONF)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with _conf(spark, settings):  # a query takes the session's settings when it starts
+        return _upsert(scd1_latest(stream, keys, sequence), keys, sequence, target, checkpoint, "update", available_now,
+                       buckets, fold_after, keep_seconds)
+
+
+def state_size(query: StreamingQuery) -> dict[str, int]:
+    """Keys held, bytes of memory and bytes of RocksDB files of the query's state, after its last batch with data."""
+    for progress in reversed(query.recentProgress):
+        if progress.stateOperators:
+            ops = progress.stateOperators
+            return {"keys": sum(o.numRowsTotal for o in ops), "memory_bytes": sum(o.memoryUsedBytes for o in ops),
+                    "file_bytes": sum((o.customMetrics or {}).get("rocksdbSstFileSize", 0)
+                                      + (o.customMetrics or {}).get("rocksdbTotalBytesWritten", 0) for o in ops)}
+    return {"keys": 0, "memory_bytes": 0, "file_bytes": 0}
 
 
 def read_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
-    """Current table = newest row per key over the complete change folders; columns that came later are
-    NULL in earlier rows."""
-    names = complete_changes(spark, target)
-    if not names:
-        raise FileNotFoundError(f"no SCD1 data below {target}")
-    df = spark.read.option("mergeSchema", True).parquet(*[f"{target.rstrip('/')}/_changes/{n}" for n in names])
-    return scd1_latest(df, keys, sequence)
-
-
-def compact_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> str | None:
-    """Fold the complete change folders into one more change folder, then drop those it covers. Batches
-    that are being written are not touched, and a crash leaves folders that say the same thing twice."""
-    names = complete_changes(spark, target)
-    if len(names) < 2:
-        return None
-    folded = f"folded-{uuid.uuid4().hex[:12]}"
-    write_changes(read_scd1(spark, target, keys, sequence), target, folded, keys, sequence)
-    for n in names:
-        delete_path(spark, f"{target.rstrip('/')}/_changes/{n}")
-    return folded
+    """Current table: the newest row per key, bucket by bucket (no exchange)."""
+    return KeyedTable(spark, target, keys, sequence).read()
+
+
+def compact_scd1(spark: SparkSession, target: str, keys: Sequence[str], sequence: Sequence[str]) -> list[int]:
+    """Fold every bucket that has more than one file; returns the buckets. Safe beside a running stream and open readers."""
+    return KeyedTable(spark, target, keys, sequence).fold()

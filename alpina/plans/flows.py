@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alpina.fixed_values import DAILY_SNOW_COLS, MEAS_COLS, PRECIP_COLS
 from alpina.fixed_values import SNOW_KEYS as FIXED_SNOW_KEYS
 from alpina.fixed_values import WEATHER_TECH as FIXED_WEATHER_TECH
 from alpina.functions.casts import cast_double_strict
@@ -115,16 +114,7 @@ def weather_flow(spark: SparkSession, granularities: dict[str, str], work: str,
 
 
 # ---------------------------------------------------------------- snow
-# silver target → (bronze sources, value columns); table names are this library's own.
-SNOW_TARGETS = {
-    "silver_snow_measurements": (["bronze_snow_history_measurements", "bronze_snow_live_measurements"],
-                                 list(MEAS_COLS)),
-    "silver_snow_precipitation": (["bronze_snow_history_precipitation", "bronze_snow_live_precipitation"],
-                                  list(PRECIP_COLS)),
-    "silver_snow_daily": (["bronze_snow_history_daily", "bronze_snow_live_daily"], list(DAILY_SNOW_COLS)),
-}
 SNOW_KEYS = list(FIXED_SNOW_KEYS)
-SNOW_STATIONS_BRONZE = "bronze_snow_live_stations"
 
 
 def snow_typed(df: DataFrame, value_cols: Sequence[str]) -> DataFrame:
@@ -143,17 +133,19 @@ def snow_silver(spark: SparkSession, sources: Sequence[str], value_cols: Sequenc
     return latest_per_key(df, SNOW_KEYS, order)
 
 
-def snow_flow(spark: SparkSession, silver_root: str) -> dict[str, int]:
-    """Builds every silver target whose bronze sources exist; returns row counts."""
+def snow_flow(spark: SparkSession, silver_root: str, targets: dict[str, tuple[Sequence[str], Sequence[str]]],
+              stations: tuple[str, str] | None = None) -> dict[str, int]:
+    """Builds every silver table whose bronze tables exist; returns row counts. ``targets`` names per silver table its bronze
+    tables (those that don't exist are skipped) and its value columns, ``stations`` the (silver, bronze) tables of the
+    stations' latest snapshot."""
     counts = {}
-    for target, (sources, cols) in SNOW_TARGETS.items():
+    for target, (sources, cols) in targets.items():
         df = snow_silver(spark, sources, cols)
         if df is not None:
             counts[target] = overwrite_table(df, f"{silver_root}/{target}")
-    if spark.catalog.tableExists(SNOW_STATIONS_BRONZE):
-        st = latest_snapshot(spark.table(SNOW_STATIONS_BRONZE), ["code"], [F.col("_ingested_at")])
-        counts["silver_snow_stations"] = overwrite_table(station_snapshot_project(st),
-                                                         f"{silver_root}/silver_snow_stations")
+    if stations and spark.catalog.tableExists(stations[1]):
+        st = latest_snapshot(spark.table(stations[1]), ["code"], [F.col("_ingested_at")])
+        counts[stations[0]] = overwrite_table(station_snapshot_project(st), f"{silver_root}/{stations[0]}")
     return counts
 
 

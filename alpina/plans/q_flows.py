@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from alpina.fixed_values import DAILY_SNOW_COLS, MEAS_COLS, PRECIP_COLS
 from alpina.plans.fixtures import RASTER_CELL, RASTER_RES, events_pixels
 from alpina.plans.flows import ingest_flow, snow_flow, terrain_flow, weather_flow
 from alpina.plans.q_aggregates import CELLS_SQL
@@ -86,14 +87,14 @@ def q_snow_silver(spark: SparkSession, sf: str):
         station.alias("station_code"), F.date_format(hour, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("measure_date"),
         (F.col("value") * 2).cast("string").alias("hs"), F.lit("n/a").alias("rh_30min_mean"),
         F.lit("live").alias("_source_file"), F.to_timestamp(F.lit("2024-02-02 00:00:00")).alias("_ingested_at"))
-    for n in ("bronze_snow_history_precipitation", "bronze_snow_live_precipitation",
-              "bronze_snow_history_daily", "bronze_snow_live_daily", "bronze_snow_live_stations"):
-        spark.catalog.dropTempView(n)
-    hist.createOrReplaceTempView("bronze_snow_history_measurements")
-    live.createOrReplaceTempView("bronze_snow_live_measurements")
+    hist.createOrReplaceTempView("archive_load")
+    live.createOrReplaceTempView("live_load")
     root = scratch_path(spark, "snow_silver")
-    snow_flow(spark, root)
-    s = spark.read.parquet(f"{root}/silver_snow_measurements")
+    built = snow_flow(spark, root, {"measured": (["archive_load", "live_load"], MEAS_COLS), "rain": (["archive_rain", "live_rain"], PRECIP_COLS),
+                                    "daily": (["archive_daily"], DAILY_SNOW_COLS)}, stations=("places", "live_places"))
+    if set(built) != {"measured"}:
+        raise RuntimeError(f"built {sorted(built)} from tables that do not exist")
+    s = spark.read.parquet(f"{root}/measured")
     return s.select("station_code", ts_text("measure_date").alias("measure_date"), r6("hs").alias("hs"),
                     "ta_30min_mean", "rh_30min_mean", "_source_file")
 

@@ -106,17 +106,22 @@ def q_read_parquet_typed(spark: SparkSession, sf: str):
 
 
 @query("list_files", """
-SELECT DISTINCT 'source=' || source AS folder, CAST(1 AS BIGINT) AS n_files FROM documents""")
+SELECT 'source=' || source AS folder, count(DISTINCT doc_id % 5) AS n_files, CAST(sum(strlen(lang || doc_id) + 1) AS BIGINT) AS bytes,
+       true AS recent
+FROM documents WHERE doc_id % 5 <> 3 GROUP BY source""")
 def q_list_files(spark: SparkSession, sf: str):
-    """Documents landed as JSON files per source folder (plus CSV noise files); listing with a
-    glob keeps only the JSON files."""
+    """Documents' languages and ids landed as text files, one per source and remainder of the id, in two levels of folders (plus
+    files that the glob leaves out); the listing gives their number, size and time."""
     d = table(spark, sf, "documents")
     root = scratch_path(spark, "landing_tree")
-    d.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").json(f"{root}/json")
-    table(spark, sf, "labels").write.mode("overwrite").csv(f"{root}/csv")
-    files = list_files(spark, root, "*.json")
-    return (files.select(F.regexp_extract("path", r"/(source=[^/]+)/[^/]+$", 1).alias("folder"))
-            .groupBy("folder").agg(F.lit(1).cast("long").alias("n_files")))
+    lines = d.select(F.concat("lang", F.col("doc_id").cast("string")).alias("value"), "source", F.pmod("doc_id", F.lit(5)).alias("rest"))
+    for other, fmt in ((False, "text"), (True, "json")):
+        part = lines.where((F.col("rest") == 3) == F.lit(other)).repartition("source", "rest")
+        part.write.mode("append").partitionBy("source", "rest").format(fmt).save(root)
+    files = list_files(spark, root, "*.t[x]t")
+    recent = F.col("modified") > F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    return (files.groupBy(F.regexp_extract("path", r"/(source=[^/]+)/rest=\d/[^/]+$", 1).alias("folder"))
+            .agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("bytes"), F.min(recent).alias("recent")))
 
 
 @query("with_lineage", """

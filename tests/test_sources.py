@@ -153,3 +153,23 @@ def test_catalog_assets_suffix_and_next_link(spark):
          (json.dumps({"features": [{"id": "abo"}], "links": [{"rel": "self", "href": "p2"}]}),)], "json string")
     assert [r["item_id"] for r in item_ids(pages, "json").collect()] == ["abo", "chz", "lug"]
     assert [r["n"] for r in pages.select(next_link("json").alias("n")).collect()] == ["p2", None]
+
+
+def test_listing_in_tasks_equals_the_client_s(spark, scratch):
+    import os
+    from alpina.session import local_path
+    from alpina.sources.files import _list_by_client, source_path
+    root = local_path(scratch("tree"))
+    names = ["a.csv", "b c.csv", "ü#1%2.csv", "x.txt", "_hidden.csv", "empty.csv", "[1].csv", "d&e=f.csv", "a,b.csv"]
+    for folder in ("", "one", "one/two", "one/two/three", "_meta", "emp ty", *(f"many/{i}" for i in range(40))):
+        os.makedirs(f"{root}/{folder}", exist_ok=True)
+        for n in names if folder not in ("emp ty",) else []:
+            with open(f"{root}/{folder}/{n}", "w") as f:
+                f.write("" if n == "empty.csv" else "h\n1\n")
+    for pattern in ("*.csv", "*", "?.csv", "[ab]*", "[!a]*.csv", "{a,x}.*", "a,b*", "none"):
+        got = sorted(map(tuple, list_files(spark, root, pattern).collect()))
+        assert got == sorted(map(tuple, _list_by_client(spark, root, pattern).collect())), pattern
+    listed = {r["path"] for r in list_files(spark, root, "*.csv").where("size > 0").collect()}
+    read = spark.read.option("recursiveFileLookup", True).text(root, pathGlobFilter="*.csv").select(source_path().alias("f")).distinct()
+    assert {r["f"] for r in read.collect()} == listed
+    assert list_files(spark, f"{root}/nowhere").count() == 0

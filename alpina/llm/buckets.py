@@ -9,6 +9,9 @@ most n - 1 pairs); the best candidate of every two components that still meet; t
 and whose ends are still in different components. So no candidate is left out: it is tried, or its ends are one
 component already. A large group of copies is one component by the last round and gives no pairs there.
 
+Where the caller gives ``exact``, one round stands for the second and third: the candidates are tried where they meet, the likeliest
+first, and only links are emitted. For many texts that share a long passage, short of being links, are all candidates of each other.
+
 A bucket above ``BLOCK`` rows is dealt out in blocks: by a hash of vertex and key in the first round
 (other buckets of the same group cut it differently, so its blocks meet there), and as all block pairs
 in the others.
@@ -17,6 +20,7 @@ in the others.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,12 +33,24 @@ from alpina.llm.components import components
 BLOCK = 1024
 STEP = 1 << 16  # pairs compared at once
 PAIRS = "a long, b long"
+MEETING = ["key", "b1", "b2", "block", "id", "component", "size", "sketch"]
+TRIED = 256  # pairs verified at once
 #: scores of sketch rows, one against many or row by row: (row, rows) -> float array
 Score = Callable[[np.ndarray, np.ndarray], np.ndarray]
 #: False only where two rows cannot be a link: (row, size, rows, sizes) -> bool array
 MayLink = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+@dataclass(frozen=True)
+class Exact:
+    """How candidates are verified where they meet: ``data`` gives (``id``, ``data`` binary) of the given ids, ``prepare`` makes
+    a list of objects of a column of them, ``linked`` tells which of two lists' pairs are links."""
+
+    data: Callable[[DataFrame], DataFrame]
+    prepare: Callable[[pd.Series], list]
+    linked: Callable[[list, list], np.ndarray]
+
+
 def shared_bytes(row: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Number of equal bytes."""
     return (rows == row).sum(-1)
@@ -51,12 +67,12 @@ def any_pair(row: np.ndarray, size: np.ndarray, rows: np.ndarray, sizes: np.ndar
 
 
 def repeated_buckets(vertices: DataFrame) -> DataFrame:
-    """The rows (``key``, ``blocks``, ``id``, ``sketch``, ``size``) of buckets with more than one vertex."""
+    """The rows (``key``, ``id``, ``blocks``) of buckets with more than one vertex. Sketches are joined only where a step needs
+    them: a vertex has as many rows as keys."""
     rows = vertices.select(F.explode("keys").alias("key"), "id")
     counts = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                     .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "bucket-counts")
-    filed = staged(rows.join(counts, "key"), "bucket-rows")
-    return staged(filed.join(vertices.select("id", "sketch", "size"), "id"), "buckets")
+    return staged(rows.join(counts, "key"), "bucket-rows")
 
 
 def _forest(ids, sketches, sizes, score: Score, least: float, may_link: MayLink) -> list[tuple[int, int]]:
@@ -134,7 +150,7 @@ def _sketches(frame: pd.DataFrame) -> np.ndarray:
 SMALL = 32  # rows up to which a bucket's pairs are compared together with other buckets'
 
 
-def forest_pairs(rows: DataFrame, score: Score, least: float, may_link: MayLink) -> DataFrame:
+def forest_pairs(rows: DataFrame, vertices: DataFrame, score: Score, least: float, may_link: MayLink) -> DataFrame:
     def each(frame: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         ids, sizes, sk = frame["id"].to_numpy(), frame["size"].to_numpy(), _sketches(frame)
         lengths = np.diff(starts)
@@ -156,20 +172,42 @@ def forest_pairs(rows: DataFrame, score: Score, least: float, may_link: MayLink)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _by_group(batches, ["key", "block"], each)
 
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("long"))
+    block = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("long")
+    dealt = rows.select("key", "id", block.alias("block")).join(vertices.select("id", "sketch", "size"), "id")
     return (dealt.select("key", "block", "id", "size", "sketch").repartition("key", "block")
             .sortWithinPartitions("key", "block").mapInPandas(run, PAIRS).distinct())
 
 
-def crossing_pairs(rows: DataFrame, comps: DataFrame, score: Score, least: float, may_link: MayLink, best: bool) -> DataFrame:
-    """Candidates whose ends are in different components: all, or the ``best`` of every two components that meet."""
-    def each(frame: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-        ids, comp, sizes, block = (frame[c].to_numpy() for c in ("id", "component", "size", "block"))
-        crossing = np.repeat((frame["b1"] != frame["b2"]).to_numpy()[starts[:-1]], np.diff(starts))
+def _meeting(rows: DataFrame, vertices: DataFrame, comps: DataFrame, *more: str) -> DataFrame:
+    """The rows of buckets that still hold several components, dealt to the pairs of their bucket's blocks and sorted by them."""
+    known = staged(rows.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id")), "bucket-known")
+    mixed = staged(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                   .filter("lo <> hi").select("key"), "buckets-mixed")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = (known.join(mixed, "key").withColumn("block", block).withColumn("other", other)
+             .withColumn("b1", F.least("block", "other")).withColumn("b2", F.greatest("block", "other")))
+    return (dealt.join(vertices.select("id", "sketch", "size", *more), "id").select(*MEETING, *more)
+            .repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2"))
+
+
+def _apart(frame: pd.DataFrame, starts: np.ndarray):
+    """Whether two rows of a group are for this group to compare: different components, and of both blocks if it has two."""
+    comp, block = frame["component"].to_numpy(), frame["block"].to_numpy()
+    crossing = np.repeat((frame["b1"] != frame["b2"]).to_numpy()[starts[:-1]], np.diff(starts))
 
-        def apart(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-            return (comp[i] != comp[j]) & (~crossing[i] | (block[i] != block[j]))
+    def apart(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return (comp[i] != comp[j]) & (~crossing[i] | (block[i] != block[j]))
 
+    return apart
+
+
+def crossing_pairs(rows: DataFrame, vertices: DataFrame, comps: DataFrame, score: Score, least: float, may_link: MayLink,
+                   best: bool) -> DataFrame:
+    """Candidates whose ends are in different components: all, or the ``best`` of every two components that meet."""
+    def each(frame: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
+        ids, comp, sizes = (frame[c].to_numpy() for c in ("id", "component", "size"))
+        apart = _apart(frame, starts)
         for i, j, s in _candidates(starts, _sketches(frame), sizes, score, least, may_link, apart):
             if best and len(i):
                 lo, hi = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
@@ -183,27 +221,101 @@ def crossing_pairs(rows: DataFrame, comps: DataFrame, score: Score, least: float
         for frames in _by_group(batches, ["key", "b1", "b2"], each):
             yield from frames
 
-    known = rows.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = staged(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .filter("lo <> hi").select("key"), "buckets-mixed")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = (known.join(mixed, "key").withColumn("block", block).withColumn("other", other)
-             .withColumn("b1", F.least("block", "other")).withColumn("b2", F.greatest("block", "other")))
-    return (dealt.select("key", "b1", "b2", "block", "id", "component", "size", "sketch")
-            .repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
-            .mapInPandas(run, PAIRS).distinct())
+    return _meeting(rows, vertices, comps).mapInPandas(run, PAIRS).distinct()
+
+
+def _first_meeting(frame: pd.DataFrame):
+    """Whether this bucket is the first, in the order of the tables, that two rows share; so a pair is tried in one bucket."""
+    width = max(map(len, frame["keys"]), default=0)
+    keys = np.repeat(-1 - np.arange(len(frame))[:, None], width, axis=1)  # what pads a short row equals no other
+    for n, k in enumerate(frame["keys"]):
+        keys[n, :len(k)] = k
+    here = frame["key"].to_numpy()
+
+    def first(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        table = (keys[i] == keys[j]).argmax(axis=1)
+        return keys[i, table] == here[i]
+
+    return first
+
+
+def settled_links(rows: DataFrame, vertices: DataFrame, comps: DataFrame, score: Score, least: float, may_link: MayLink,
+                  exact: Exact) -> DataFrame:
+    """Links that join what is left apart, found where the candidates meet, so pairs are never written.
+
+    First every group names its rows that have a candidate; then what ``exact`` compares is joined to just those
+    rows, and each group tries its candidates, but for pairs that its own links have joined by then. A pair belongs to the first
+    bucket it meets in (``keys`` stand table by table). At most n - 1 links come from a group of n rows."""
+    def names(frame: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        near = np.zeros(len(frame), dtype=bool)
+        mine, first = _apart(frame, starts), _first_meeting(frame)
+        for i, j, _ in _candidates(starts, _sketches(frame), frame["size"].to_numpy(), score, least, may_link,
+                                   lambda i, j: mine(i, j) & first(i, j)):
+            near[i] = near[j] = True
+        return frame[near]
+
+    def run_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _by_group(batches, ["key", "b1", "b2"], names)
+
+    prepare, linked = exact.prepare, exact.linked  # what tasks need of it
+
+    def tries(frame: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        ids, data = frame["id"].to_numpy(), prepare(frame["data"])
+        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        # components of one group: (group, component) numbered, joined as links are found
+        _, local = np.unique(np.stack([group, frame["component"].to_numpy()], axis=1), axis=0, return_inverse=True)
+        parent = np.arange(local.max() + 1)
+        label = parent[local]
+        mine, first = _apart(frame, starts), _first_meeting(frame)
+
+        def open_(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return label[i] != label[j]
+
+        links = []
+        for i, j, s in _candidates(starts, _sketches(frame), frame["size"].to_numpy(), score, least, may_link,
+                                   lambda i, j: open_(i, j) & mine(i, j) & first(i, j)):
+            order = np.argsort(-s, kind="stable")
+            i, j = i[order], j[order]
+            while len(i):
+                x, y = i[:TRIED], j[:TRIED]
+                i, j = i[TRIED:], j[TRIED:]
+                ok = np.flatnonzero(linked([data[k] for k in x], [data[k] for k in y]))
+                for a, b in zip(x[ok], y[ok], strict=True):
+                    p, q = parent[local[a]], parent[local[b]]
+                    if p != q:
+                        parent[parent == max(p, q)] = min(p, q)
+                        links.append((ids[a], ids[b]))
+                if len(ok):
+                    label = parent[local]
+                    rest = open_(i, j)
+                    i, j = i[rest], j[rest]
+        p = np.array(links, dtype=np.int64).reshape(-1, 2)
+        return _ordered(p[:, 0], p[:, 1])
+
+    def run_tries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _by_group(batches, ["key", "b1", "b2"], tries)
+
+    meeting = "key long, b1 long, b2 long, block long, id long, component long, size int, sketch binary, keys array<long>"
+    near = staged(_meeting(rows, vertices, comps, "keys").mapInPandas(run_names, meeting), "buckets-near")
+    data = staged(exact.data(near.select("id").distinct()), "buckets-data")
+    return (near.join(data, "id").select(*MEETING, "keys", "data").repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
+            .mapInPandas(run_tries, PAIRS).distinct())
 
 
 def linked_components(vertices: DataFrame, verify: Callable[[DataFrame], DataFrame], score: Score, least: float,
-                      may_link: MayLink = any_pair) -> DataFrame:
-    """Components over verified candidate pairs. ``verify`` keeps the linked rows of an (a, b) table."""
+                      may_link: MayLink = any_pair, *, exact: Exact | None = None, more_links: DataFrame | None = None) -> DataFrame:
+    """Components over verified candidate pairs. ``verify`` keeps the linked rows of an (a, b) table; ``exact`` does the same
+    where the candidates meet, after the first round; ``more_links`` (a, b) hold beforehand."""
     rows = repeated_buckets(vertices)
-    tried = staged(forest_pairs(rows, score, least, may_link), "pairs")
+    tried = staged(forest_pairs(rows, vertices, score, least, may_link), "pairs")
     links = staged(verify(tried), "links")
+    if more_links is not None:
+        links = links.unionByName(more_links)
     for best in (True, False):
         comps = staged(components(links), "bucket-components")
-        more = staged(crossing_pairs(rows, comps, score, least, may_link, best).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if exact:
+            return components(links.unionByName(staged(settled_links(rows, vertices, comps, score, least, may_link, exact), "links")))
+        more = staged(crossing_pairs(rows, vertices, comps, score, least, may_link, best).join(tried, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
             tried = tried.unionByName(more)
             links = links.unionByName(staged(verify(more), "links"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alpina.llm import buckets
-from alpina.llm.common import staged
+from alpina.llm.common import settled, staged
 
 COSINE = 0.95
 TABLES = 4
@@ -174,7 +174,8 @@ def near_duplicates(embeddings: DataFrame, *, id_col: str = "vec_id", vector_col
         return pairs.join(second, "b").join(first, "a").mapInPandas(_linked, buckets.PAIRS)
 
     vertices = hashed.select("id", F.array_distinct("keys").alias("keys"), "sketch", F.lit(1).alias("size"))
-    comps = staged(buckets.linked_components(vertices, verify, buckets.shared_bits, SAME_SIGNS), "vector-components")
+    comps = settled(embeddings.sparkSession, "vector-components",
+                    lambda: buckets.linked_components(vertices, verify, buckets.shared_bits, SAME_SIGNS))
     links = _count_links(comps.join(classes.select("id", "vector", "weight"), "id"))
     per_class = (classes.select("fp", "id", "weight").join(comps, "id", "left").join(links, "id", "left")
                  .select("fp", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),

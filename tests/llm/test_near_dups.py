@@ -183,6 +183,85 @@ def test_every_candidate_between_components_is_tried(spark, block, monkeypatch):
     assert len(tried) == len(set(tried)) <= 7
 
 
+@pytest.mark.parametrize("block", [1024, 1])
+def test_candidates_tried_where_they_meet(spark, block, monkeypatch):
+    """As above, with the last round in place: 1, 2 and 3, 4 come together over 2, 4."""
+    monkeypatch.setattr(buckets, "BLOCK", block)
+    tops = {1: 0, 2: 4, 3: 0, 4: 9}
+    sketches = {i: bytes([0] * (24 - n) + [i] * n) for i, n in tops.items()} | {5: bytes([5] * 24), 6: bytes([5] * 8 + [6] * 16)}
+    links = {(1, 2), (3, 4), (2, 4), (5, 6)}
+    rows = spark.createDataFrame([(i, [7, 17] if i < 5 else [8], bytearray(s), 10) for i, s in sketches.items()],
+                                 "id long, keys array<long>, sketch binary, size int")
+
+    def verify(pairs):
+        return spark.createDataFrame([p for p in ((r["a"], r["b"]) for r in pairs.collect()) if p in links], "a long, b long")
+
+    exact = buckets.Exact(lambda ids: ids.select("id", F.col("id").cast("string").cast("binary").alias("data")), lambda c: [int(x) for x in c],
+                          lambda a, b: np.array([(min(p), max(p)) in links for p in zip(a, b)]))
+    got = buckets.linked_components(rows, verify, buckets.shared_bytes, 8, exact=exact,
+                                    more_links=spark.createDataFrame([(6, 99)], "a long, b long"))
+    assert {r["id"]: r["component"] for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5, 99: 5}
+
+
+def test_texts_that_share_most_of_themselves_are_candidates_but_no_links(spark):
+    rng = random.Random(6)
+    common = [f"c{i}" for i in range(300)]
+    texts = [" ".join(common + [f"own{rng.randint(0, 10 ** 6)}" for _ in range(100)]) for _ in range(60)]
+    texts += [" ".join(common + t.split()[300:390] + ["z"] * 10) for t in texts[:3]]  # links of the first three
+    group = {r["doc_id"]: r["group_id"] for r in near_dups.near_duplicates(docs(spark, texts)).collect()}
+    assert group == {i: i - 60 if i >= 60 else i for i in range(63)}
+
+
+def test_shared_words_bound_the_edits():
+    rng = random.Random(7)
+    for _ in range(300):
+        a, b = (word_hashes(" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 30)))) for _ in range(2))
+        with np.errstate(over="ignore"):
+            x, y = near_dups.Words(a), near_dups.Words(b)
+        from collections import Counter
+        assert x.shared(y) == sum((Counter(a.tolist()) & Counter(b.tolist())).values())
+        assert max(len(a), len(b)) - x.shared(y) <= plain_distance(a.tolist(), b.tolist())
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "A"), (5, "A"), (5, "B"), (9, "B")], [(5, "B"), (9, "B"), (5, "A"), (1, "A"), (1, "C")], [(2, "B"), (2, "A"), (2, None), (3, "C")],
+    [(None, "A"), (7, "A"), (7, "B"), (None, "B"), (None, None)]])
+def test_texts_of_one_id_are_one_group_whose_head_survives(spark, rows):
+    words = {x: " ".join(f"{x}{i}" for i in range(30)) for x in "ABC"}
+    df = docs(spark, [(i, words.get(t)) for i, t in rows]).withColumn("fp", F.lit("x"))
+    group = {r["doc_id"]: r for r in near_dups.near_duplicates(df).collect()}
+    links, texts = [], {}
+    ident = {}
+    for r in near_dups.near_groups(df).collect():
+        ident[r["id"]] = r["group_id"]
+    for n, (i, t) in enumerate(rows):
+        texts.setdefault(t, []).append(n)
+    for same in texts.values():
+        links += [(same[0], x) for x in same]
+    for n, (i, _) in enumerate(rows):
+        links += [(m, n) for m, (j, _) in enumerate(rows[:n]) if i is not None and i == j]
+    want = roots(range(len(rows)), links)
+    for n, (i, _) in enumerate(rows):
+        for m, (j, _) in enumerate(rows):
+            if i is not None and j is not None:
+                assert (group[i]["group_id"] == group[j]["group_id"]) == (want[n] == want[m])
+    heads = {g for g in ident.values()}
+    assert all(group[h]["kept"] for h in heads)
+    kept = [tuple(r) for r in near_dups.drop_near_duplicates(df).collect()]
+    assert len(kept) == len(heads) == len(set(want.values()))
+    again = [tuple(r) for r in near_dups.drop_near_duplicates(df.repartition(7)).collect()]
+    assert sorted(kept, key=str) == sorted(again, key=str)
+
+
+def test_tables_written_on_the_way_are_gone(spark):
+    from alpina.session import list_dir, scratch_path
+    folder = scratch_path(spark, "x").rsplit("/", 1)[0]
+    before = set(list_dir(spark, folder))
+    near_dups.near_duplicates(docs(spark, ["a b c d e f g h", "a b c d e f g h", "i j"])).collect()
+    left = set(list_dir(spark, folder)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("omh-groups")
+
+
 def replaced(rng, words, rate):
     """``rate`` of the words replaced at scattered places."""
     out = list(words)

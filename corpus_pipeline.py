@@ -1,8 +1,9 @@
 """The corpus pipeline: quality, near-duplicates, decontamination, mixing, sharding.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each stage's result as Parquet in
-the cluster's shared folder and hands the reread table to the next one. All stages but the last return the
-columns of ``documents``; the last returns each document's shard.
+the cluster's shared folder, deletes what the stage wrote on its way and hands the reread table to the next one. All stages but the last return the
+columns of ``documents``; the last returns each document's shard. What a stage does with nulls, empty and very long texts, ties and
+repeated rows is stated in its operator's module.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from alpina.llm import decontaminate, mixing, near_dups, quality, sharding
-from alpina.llm.common import importable, staged, table
+from alpina.llm.common import importable, settled, table
 
 ORACLE_SQL = None  # the classifier and the alignment have no SQL form
 
@@ -53,5 +54,5 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(spark, f"pipeline-{name}", lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -87,6 +87,12 @@ def terrain_cells_from_tiles(tiles: DataFrame, res: float | str, cell_size: int,
     k = F.coalesce(guard, F.round(F.lit(float(cell_size)) / F.col("_res")).cast("int"))
     base = base.select("*", k.alias("_k"))
     px = _bind(base, "pix", F.expr(_pixel_struct())).drop("z")
+    return cells_of_pixels(px, cell_size, keys, left_col, top_col, extra)
+
+
+def cells_of_pixels(px: DataFrame, cell_size: int, keys: tuple[str, ...], left_col: str, top_col: str,
+                    extra: tuple[str, ...]) -> DataFrame:
+    """Cells of rasters whose pixels (``pix``, see ``_pixel_struct``) divide into blocks of ``_k`` pixels."""
     nrow, ncol = F.floor(F.size("pix") / F.col("_k")), F.floor(F.coalesce(F.size(F.get(F.col("pix"), 0)), F.lit(0)) / F.col("_k"))
     px = px.select("*", nrow.cast("int").alias("_nr"), ncol.cast("int").alias("_nc"))
     blocks = F.expr("transform(IF(_nr * _nc > 0, sequence(0, _nr * _nc - 1), CAST(array() AS array<int>)), c -> named_struct("

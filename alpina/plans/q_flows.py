@@ -6,11 +6,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from alpina.fixed_values import DAILY_SNOW_COLS, MEAS_COLS, PRECIP_COLS
+from alpina.operators.terrain_blocks import BLOCK, cut_blocks, terrain_cells_from_blocks
 from alpina.plans.fixtures import RASTER_CELL, RASTER_RES, events_pixels
 from alpina.plans.flows import ingest_flow, snow_flow, terrain_flow, weather_flow
 from alpina.plans.q_aggregates import CELLS_SQL
 from alpina.plans.registry import query, r6, table, ts_text
 from alpina.session import scratch_path
+from alpina.sinks.keyed import KeyedTable
 from alpina.sinks.ledger import ledger_rows, record_ledger
 from alpina.sinks.tables import read_replaced
 from alpina.sources.delimited import write_delimited
@@ -163,3 +165,23 @@ def q_ingest_bronze(spark: SparkSession, sf: str):
                 raise_on_errors=False)
     b = spark.read.option("mergeSchema", True).parquet(f"{work}/bronze_docs")
     return b.select("doc_id", "lang", "n_chars", "text_body")
+
+
+@query("terrain_blocks", f"""
+WITH {CELLS_SQL}
+SELECT tile_id, 'E' || cell_e || '_N' || cell_n AS cell_id, round(elev_mean, 6) AS elev_mean,
+       round(slope_p90, 6) AS slope_p90, round(aspect_mean_deg, 6) AS aspect_mean_deg,
+       round(share_slope_30_45, 6) AS share_slope_30_45
+FROM cells""")
+def q_terrain_blocks(spark: SparkSession, sf: str):
+    """The rasters cut into blocks that are stored bucketed; gradients across block borders come from halo lines."""
+    px = events_pixels(spark, sf)
+    rows = px.groupBy("tile_id", "e_min", "n_max", "row").agg(F.array_sort(F.collect_list(F.struct("col", "z"))).alias("cz"))
+    tiles = rows.groupBy("tile_id", "e_min", "n_max").agg(
+        F.array_sort(F.collect_list(F.struct("row", F.col("cz.z").alias("zr")))).alias("rz"))
+    tiles = tiles.select("tile_id", "e_min", "n_max", F.col("rz.zr").alias("z"))
+    blocks = KeyedTable(spark, scratch_path(spark, "blocks"), ["tile_id", *BLOCK], ["version"], buckets=8)
+    blocks.write(cut_blocks(tiles, 10, RASTER_RES).withColumn("version", F.lit(1)))
+    c = terrain_cells_from_blocks(blocks.read(), RASTER_RES, RASTER_CELL)
+    return c.select("tile_id", "cell_id", r6("elev_mean").alias("elev_mean"), r6("slope_p90").alias("slope_p90"),
+                    r6("aspect_mean_deg").alias("aspect_mean_deg"), r6("share_slope_30_45").alias("share_slope_30_45"))

@@ -10,6 +10,7 @@ from alpina.operators.changes import (
     changed_by_checksum, changed_by_epoch, changed_by_size_time, changed_by_time, delete_semi,
     missing_by_name,
 )
+from alpina.operators.point_grid import points_in_cells
 from alpina.plans.fixtures import LISTING_SQL, orders_ledger, orders_listing
 from alpina.plans.registry import query, table
 
@@ -122,10 +123,11 @@ cells AS (
 SELECT p.l_orderkey, p.l_linenumber, p.l_partkey, p.l_suppkey, p.cell_e, p.cell_n, c.cell_rows, c.cell_discount
 FROM pts p JOIN cells c ON p.cell_e = c.cell_e AND p.cell_n = c.cell_n""")
 def q_point_grid_join(spark: SparkSession, sf: str):
+    """Line items as points, joined to the statistics of the cells they lie in."""
     li = table(spark, sf, "lineitem")
-    g = grid_cell(F.col("l_extendedprice"), F.col("l_quantity") * 100, 1000)
-    pts = li.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", g["cell_e"].alias("cell_e"), g["cell_n"].alias("cell_n"))
+    e, n = F.col("l_extendedprice"), F.col("l_quantity") * 100
+    g = grid_cell(e, n, 1000)
     cells = li.groupBy(g["cell_e"].alias("cell_e"), g["cell_n"].alias("cell_n")).agg(
         F.count(F.lit(1)).alias("cell_rows"), F.round(F.avg("l_discount"), 6).alias("cell_discount"))
-    return pts.join(cells, ["cell_e", "cell_n"])
+    pts = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    return points_in_cells(pts, cells, e, n, 1000).drop("l_extendedprice", "l_quantity")

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from alpina.plans.registry import query, r6, table
 from alpina.session import scratch_path
+from alpina.sinks.clustered import clustering_columns, in_box, insert_clustered
 from alpina.sinks.ledger import LEDGER_SCHEMA, ledger_rows, merge_manifest, record_ledger
 from alpina.sinks.tables import (
     append_evolving, create_typed_table, expire_partitions, full_refresh, materialize_view,
     overwrite_table, read_evolving, read_replaced, replace_by_key, write_dated_partitions,
 )
+from alpina.sinks.views import AggregateView
 from alpina.sources.delimited import read_delimited, write_delimited
+from alpina.sources.files import list_files
 
 
 @query("append_evolving", """
@@ -181,3 +184,56 @@ def q_materialize_view(spark: SparkSession, sf: str):
         .withColumn("source_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1))
     materialize_view(src, view)
     return spark.read.parquet(view)
+
+
+@query("clustered_table", """
+SELECT l_orderkey, l_linenumber, CAST(l_partkey AS BIGINT) AS l_partkey, round(l_extendedprice, 6) AS l_extendedprice
+FROM lineitem WHERE l_partkey BETWEEN 20 AND 60 AND l_extendedprice BETWEEN 10000 AND 30000""")
+def q_clustered_table(spark: SparkSession, sf: str):
+    """All line items stored along the curve of the table's own clustering columns; a bounding box is read back."""
+    loc = scratch_path(spark, "clustered_table")
+    name = "alpina_clustered_" + loc.rsplit("-", 1)[-1]
+    create_typed_table(spark, name, [
+        ("l_orderkey", "BIGINT", None), ("l_linenumber", "BIGINT", None), ("l_partkey", "BIGINT", "east"),
+        ("l_extendedprice", "DOUBLE", "north")], cluster_by=["l_partkey", "l_extendedprice"], location=loc)
+    li = table(spark, sf, "lineitem")
+    insert_clustered(li.select("l_orderkey", "l_linenumber", "l_partkey", r6("l_extendedprice").alias("l_extendedprice")), name)
+    if clustering_columns(spark, name) != ["l_partkey", "l_extendedprice"]:
+        raise RuntimeError("the table lost its clustering columns")
+    return in_box(spark.table(name), {"l_partkey": (20, 60), "l_extendedprice": (10000.0, 30000.0)})
+
+
+@query("incremental_view", """
+SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total, round(min(o_totalprice), 6) AS least,
+       round(max(o_totalprice), 6) AS most, round(avg(o_totalprice), 4) AS mean
+FROM orders GROUP BY o_orderpriority""")
+def q_incremental_view(spark: SparkSession, sf: str):
+    """A view over three deliveries: half of the statuses, the others, and the first half rewritten (its files first held
+    prices ten times as high, so its old minimum and maximum must go)."""
+    o = table(spark, sf, "orders").select("o_orderpriority", "o_totalprice", "o_orderstatus")
+    root = scratch_path(spark, "view_source")
+    view = AggregateView(scratch_path(spark, "view"), ("o_orderpriority",), {
+        "n_orders": ("count", None), "total": ("sum", "o_totalprice"), "least": ("min", "o_totalprice"),
+        "most": ("max", "o_totalprice"), "mean": ("avg", "o_totalprice")})
+
+    def read(files):
+        paths = [r["path"] for r in files.select("path").collect()]  # the files about to be opened
+        if not paths:
+            return o.limit(0).withColumn("_file", F.lit(""))
+        return spark.read.schema(o.schema).parquet(*paths).withColumn("_file", F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)$", 1))
+
+    def refresh():
+        listing = list_files(spark, root, "*.parquet").select(
+            F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("file_id"), "path", "modified")
+        return view.refresh(listing, read)
+
+    first = F.col("o_orderstatus") == "F"
+    o.where(first).withColumn("o_totalprice", F.col("o_totalprice") * 10).write.parquet(f"{root}/closed")
+    refresh()
+    o.where(~first).write.parquet(f"{root}/open")
+    refresh()
+    o.where(first).write.mode("overwrite").parquet(f"{root}/closed")
+    refresh()
+    v = view.read(spark)
+    return v.select("o_orderpriority", "n_orders", F.round("total", 2).alias("total"), r6("least").alias("least"),
+                    r6("most").alias("most"), F.round("mean", 4).alias("mean"))

@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from alpina.functions.casts import cast_double_strict
 from alpina.functions.timeparse import parse_ts_strict
 from alpina.operators.projection import drop_null_keys
-from alpina.operators.quality import expectation_flags, split_corrupt_files
+from alpina.operators.quality import QuarantineError, expectation_flags, split_corrupt_files
 from alpina.plans.q_columns import EVENT_EXPECTATIONS
 from alpina.plans.registry import query, r6, table, ts_text, ts_text_ms
 from alpina.session import delete_path, list_dir, scratch_path
@@ -21,6 +21,7 @@ from alpina.sources.delimited import write_delimited
 from alpina.sources.files import with_lineage
 from alpina.sources.json_text import read_json_strings
 from alpina.streaming.bronze import bronze_stream, dropped_counts, run_append, stream_files
+from alpina.streaming.quarantine import read_side, run_quarantined
 from alpina.streaming.scd1 import read_scd1, start_scd1, start_scd1_state, state_size
 from alpina.streaming.versions import read_bronze, start_bronze
 
@@ -205,3 +206,28 @@ def q_quarantine(spark: SparkSession, sf: str):
     errs = scratch_path(spark, "quarantine_errors")
     errors.write.mode("overwrite").parquet(errs)
     return good.select("event_id", "user_id", "event_type")
+
+
+@query("stream_quarantine", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type
+FROM events WHERE event_type <> 'error'""")
+def q_stream_quarantine(spark: SparkSession, sf: str):
+    """As ``quarantine``, file by file in a stream: the files of ``error`` hold corrupt records and are rejected whole, the stream
+    goes on with those after them, and the run ends failed."""
+    e = table(spark, sf, "events")
+    root = scratch_path(spark, "events_json_stream")
+    line = F.when((F.col("event_type") == "error") & (F.pmod("event_id", F.lit(5)) == 0),
+                  F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', broken')))\
+        .otherwise(F.to_json(F.struct("event_id", "user_id", "event_type")))
+    (e.select(line.alias("value"), F.col("event_type").alias("part")).repartition("part")
+     .write.partitionBy("part").text(root))
+    schema = StructType([StructField(c, StringType()) for c in ("event_id", "user_id", "event_type", "_corrupt_record")])
+    s = bronze_stream(spark, f"{root}/*/*.txt", schema, "json",
+                      {"columnNameOfCorruptRecord": "_corrupt_record", "maxFilesPerTrigger": "2"})
+    store, ck = scratch_path(spark, "quarantined"), scratch_path(spark, "ck_quarantined")
+    try:
+        run_quarantined(s, store, ck, file_col="source_file")
+    except QuarantineError:
+        if not read_side(spark, store, "errors").count():
+            raise RuntimeError("rejected files are not in the error table") from None
+    return read_side(spark, store, "good").select("event_id", "user_id", "event_type")

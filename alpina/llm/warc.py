@@ -37,6 +37,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 256 << 20
 MERGE_GAP = 64 << 10
+TASK_BYTES = 32 << 20  # of archive that a reading task gets
 MERGE_BYTES = 8 << 20
 INDEX_SCHEMA = ("file string, offset long, length long, url string, payload_digest string, page_id long, "
                 "record_type string, refers_to long")
@@ -175,7 +176,10 @@ def read_records(folder: str, selected: DataFrame, *, with_payload: bool = True)
             yield frame.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
 
     places = selected.select("file", "offset", "length")
-    return places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInPandas(read, PAGE_SCHEMA)
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    # the number follows the archives' bytes: the index rows are far too small to judge the work by
+    tasks = max(1, -(-total // TASK_BYTES))
+    return places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInPandas(read, PAGE_SCHEMA)
 
 
 def _page(raw: bytes, with_payload: bool) -> tuple:

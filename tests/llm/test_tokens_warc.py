@@ -107,3 +107,14 @@ def test_ranges_merge_near_records_only():
     assert warc.merged_ranges(spans, gap=100, most=1000) == [(0, 3, 110), (3, 5, 100_057)]
     assert warc.merged_ranges(spans, gap=0, most=12) == [(0, 1, 10), (1, 2, 15), (2, 3, 110), (3, 4, 100_007), (4, 5, 100_057)]
     assert warc.merged_ranges([]) == []
+
+
+def test_reading_tasks_follow_the_archives_bytes(spark, monkeypatch):
+    pages = spark.range(40).selectExpr("id AS page_id", "concat('u', id) AS url", "concat(id, repeat(sha2(CAST(id AS STRING), 256), 40)) AS html")
+    folder, index = warc.write_archive(pages)
+    total = index.agg(F.sum("length")).first()[0]
+    monkeypatch.setattr(warc, "TASK_BYTES", -(-total // 6))
+    back = warc.read_records(folder, index)
+    assert back.rdd.getNumPartitions() == 6 and back.count() == 40
+    long = spark.createDataFrame([(1, "u", "x" * 3_000_000), (2, "u", "x" * 3_000_000)], "page_id long, url string, html string")
+    assert sorted((r["page_id"], r["payload_bytes"], r["refers_to"]) for r in warc.warc_round_trip(long).collect()) == [(1, 3000000, None), (2, 3000000, 1)]

@@ -2,16 +2,16 @@
 
 Texts and items are compared in lower case with runs of white space as one space. An item of m characters
 counts as leaked where a passage of the text is within ``e = EDIT_RATE * m`` edits of it. Such a passage
-shares at least ``m - Q + 1 - Q * e`` character q-grams with the item, on at most e + 1 neighbouring
-diagonals (text position minus item position). So q-gram hits are counted in diagonal bands of width
+shares at least ``m - q + 1 - q * e`` character q-grams with the item, on at most e + 1 neighbouring
+diagonals (text position minus item position). ``q`` is 10, or 8 for items whose bound would not be positive with 10. So q-gram hits are counted in diagonal bands of width
 2 (e + 1) that overlap by half, bands that meet the bound are kept, and each is verified by a banded
 alignment of the whole item.
 
 The items' q-gram index is broadcast in blocks of at most ``BLOCK_CHARS`` characters; the documents are read
-once per block and nothing of them is shuffled.
+once per block and nothing of them is shuffled. The driver holds the items of one block at a time.
 
-Defined results: null and empty texts hold no passage; null items and items with fewer than Q + 1
-characters (no passage, but a word) match nothing; equal items report each; rows repeating an id report each;
+Defined results: null and empty texts hold no passage; null items and items of at most ``WORD_CHARS`` characters (no
+passage, but a word or two that stands in many clean texts) match nothing; equal items report each; rows repeating an id report each;
 very long texts are searched whole; empty tables give no rows. Extra columns pass through.
 """
 
@@ -21,16 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from alpina.llm.common import packed, unpacked
 
-Q = 10
+GRAMS = (10, 8)
+WORD_CHARS = 10
 EDIT_RATE = 0.06
 BLOCK_CHARS = 4 << 20
 FILTER_BITS = 22
 HITS = "doc_id long, item_id long, start long, end long, edits int, shared_qgrams int"
+_ORIGIN = 1 << 31  # added to diagonals: keys stay positive for items and texts below 2^31 characters
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(0x110000, dtype=bool)
 _SPACES[[c for c in range(0x3001) if chr(c).isspace()]] = True
@@ -54,9 +56,9 @@ def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def gram_hashes(points: np.ndarray) -> np.ndarray:
-    """Polynomial hashes of all Q-grams, built from those of 2, 4 and 8 characters (Q = 8 + 2)."""
-    n = len(points) - Q + 1
+def gram_hashes(points: np.ndarray, q: int = GRAMS[0]) -> np.ndarray:
+    """Polynomial hashes of all q-grams (q is 8 or 10), built from those of 2, 4 and 8 characters."""
+    n = len(points) - q + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     h = points.astype(np.uint64)
@@ -66,28 +68,44 @@ def gram_hashes(points: np.ndarray) -> np.ndarray:
         h = h[:-step] * np.uint64(power) + h[step:]
         pairs = h if pairs is None else pairs
         step, power = 2 * step, power * power % (1 << 64)
-    h = h[:n] * np.uint64(_BASE * _BASE % (1 << 64)) + pairs[8:8 + n]
+    if q == 10:
+        h = h[:n] * np.uint64(_BASE * _BASE % (1 << 64)) + pairs[8:8 + n]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
     return h
 
 
-def build_index(items: list[tuple[int, str]]) -> dict:
+def gram_size(length: int) -> int:
+    """The largest q whose lemma asks an item of this length for at least one shared q-gram."""
+    e = int(length * EDIT_RATE)
+    return next(q for q in GRAMS if length - q + 1 - q * e > 0)
+
+
+def build_index(items: list[tuple[int, str]]) -> list[dict]:
+    """Per q an index of the items that use it."""
+    parts: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for item_id, text in items:
+        points = normalised(text)[0]
+        if len(points) > WORD_CHARS:
+            parts.setdefault(gram_size(len(points)), []).append((item_id, points))
+    return [_gram_index(q, found) for q, found in sorted(parts.items())]
+
+
+def _gram_index(q: int, items: list[tuple[int, np.ndarray]]) -> dict:
     """Sorted q-gram hashes with their (item, position) lists, and a bit filter over the hashes."""
-    points = [normalised(t)[0] for _, t in items]
-    use = [i for i, p in enumerate(points) if len(p) > Q]
-    ids, points = [items[i][0] for i in use], [points[i] for i in use]
+    points = [p for _, p in items]
     length = np.array([len(p) for p in points], dtype=np.int64)
     edits = (length * EDIT_RATE).astype(np.int64)
-    h = np.concatenate([gram_hashes(p) for p in points]) if points else np.zeros(0, dtype=np.uint64)
-    item = np.repeat(np.arange(len(points)), np.maximum(length - Q + 1, 0))
-    place = np.concatenate([np.arange(max(0, n - Q + 1)) for n in length]) if points else item
+    with np.errstate(over="ignore"):
+        h = np.concatenate([gram_hashes(p, q) for p in points])
+    item = np.repeat(np.arange(len(points)), length - q + 1)
+    place = np.concatenate([np.arange(n - q + 1) for n in length])
     order = np.argsort(h, kind="stable")
     grams, first = np.unique(h[order], return_index=True)
     seen = np.zeros(1 << FILTER_BITS, dtype=bool)
     seen[grams >> np.uint64(64 - FILTER_BITS)] = True
-    return {"ids": ids, "points": points, "edits": edits, "least": length - Q + 1 - Q * edits, "grams": grams,
+    return {"q": q, "ids": [i for i, _ in items], "points": points, "edits": edits, "least": length - q + 1 - q * edits, "grams": grams,
             "first": np.append(first, len(h)), "item": item[order], "place": place[order], "seen": seen}
 
 
@@ -126,17 +144,22 @@ def _fit(item: np.ndarray, part: np.ndarray, low: int, high: int) -> tuple[int,
     return int(cur[best]), best + low + len(item)
 
 
-def find_passages(index: dict, text: str) -> list[tuple[int, int, int, int, int]]:
+def find_passages(index: list[dict], text: str) -> list[tuple[int, int, int, int, int]]:
     """(item id, start, end, edits, shared q-grams) of every leaked passage, in characters of the text."""
     points, places = normalised(text)
+    found = [h for part in index for h in _passages_of(part, points)]
+    return [(i, int(places[s]), int(places[t - 1]) + 1, e, n) for i, s, t, e, n in found]
+
+
+def _passages_of(index: dict, points: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     with np.errstate(over="ignore"):
-        at, item, place = _shared(index, gram_hashes(points))
+        at, item, place = _shared(index, gram_hashes(points, index["q"]))
     if not len(at):
         return []
     enough = np.bincount(item, minlength=len(index["ids"])) >= index["least"]
     on = enough[item]
     at, item, place = at[on], item[on], place[on]
-    diagonal = at - place + (1 << 20)
+    diagonal = at - place + _ORIGIN
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     width = 2 * (index["edits"][item] + 1)
     for shift in (0, 1):
@@ -147,9 +170,9 @@ def find_passages(index: dict, text: str) -> list[tuple[int, int, int, int, int]
             if n < index["least"][i]:
                 continue
             e = int(index["edits"][i])
-            low = b * 2 * (e + 1) - shift * (e + 1) - (1 << 20) - e
+            low = b * 2 * (e + 1) - shift * (e + 1) - _ORIGIN - e
             here = diagonal[(item == i) & (band == b)]
-            usual = int(np.bincount(here - here.min()).argmax() + here.min()) - (1 << 20)
+            usual = int(np.bincount(here - here.min()).argmax() + here.min()) - _ORIGIN
             span = _verify(index["points"][i], points, low, low + 4 * e + 1, e, usual)
             if span:
                 edits, start, end = span
@@ -161,7 +184,7 @@ def find_passages(index: dict, text: str) -> list[tuple[int, int, int, int, int]
         if any(o[0] == i and o[1] < end and start < o[2] for o in out):
             continue  # the same passage seen from a neighbouring band
         out.append((i, start, end, edits, n))
-    return [(index["ids"][i], int(places[s]), int(places[t - 1]) + 1, e, n) for i, s, t, e, n in out]
+    return [(index["ids"][i], s, t, e, n) for i, s, t, e, n in out]
 
 
 def _verify(item: np.ndarray, points: np.ndarray, low: int, high: int, e: int, usual: int) -> tuple[int, int, int] | None:
@@ -177,14 +200,14 @@ def _verify(item: np.ndarray, points: np.ndarray, low: int, high: int, e: int, u
     return edits, max(0, end - length), end
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[dict]:
-    """Indexes over the items, each of about BLOCK_CHARS characters at most (or one longer item)."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[Row]]:
+    """The items block by block, each of about BLOCK_CHARS characters at most (or one longer item)."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // BLOCK_CHARS)
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, 2 * n if n > 1 else 1)))
-    return [items.withColumn("block", block).filter(F.col("block") == b).orderBy("item_id", "text").collect()
-            for b in range(max(1, 2 * n if n > 1 else 1))]
+    blocks = max(1, 2 * -(-total // BLOCK_CHARS) if total > BLOCK_CHARS else 1)
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    for b in range(blocks):
+        yield items.filter(block == b).orderBy("item_id", "text").collect()
 
 
 def _passages(shared):

@@ -55,6 +55,31 @@ def test_passages_equal_brute_force():
                 assert abs(len(text[got[j][1]:got[j][2]]) - len(other)) <= least + 4
 
 
+@pytest.mark.parametrize("length", [11, 16, 17, 18, 19, 20, 33, 34, 40])
+def test_short_passages_equal_brute_force(length):
+    rng = random.Random(length)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqr") for _ in range(n))
+    items = [(i, letters(length)) for i in range(4)]
+    index = decontaminate.build_index(items)
+    for n in range(80):
+        i, item = rng.choice(items)
+        p = rng.randrange(length)
+        part = [item, item[:p] + "z" + item[p + 1:], item[:p] + item[p + 1:], item[:p] + "zz" + item[p:]][n % 4]
+        text = letters(rng.randint(0, 30)) + part + letters(rng.randint(0, 30))
+        got = {h[0]: h[3] for h in decontaminate.find_passages(index, text)}
+        for j, other in items:
+            least = best_fit(other, text)
+            assert got.get(j) == (least if least <= int(length * decontaminate.EDIT_RATE) else None)
+
+
+def test_items_beyond_a_million_characters():
+    rng = np.random.default_rng(1)
+    item = "".join(map(chr, rng.integers(97, 123, (1 << 20) + 500)))
+    index = decontaminate.build_index([(7, item), (8, item[:100])])
+    assert {(h[0], h[3]) for h in decontaminate.find_passages(index, item)} == {(7, 0), (8, 0)}
+    assert {h[0] for h in decontaminate.find_passages(index, "x " + item[:5000])} == {8}
+
+
 def test_leaks_in_the_tables(spark):
     d, b = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     texts = {r["doc_id"]: r["text"] or "" for r in d.collect()}

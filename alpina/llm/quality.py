@@ -6,8 +6,9 @@ kept. A byte enters as its learned embedding and one fixed channel, its echo: wh
 that start there also stand up to ``ECHO`` bytes before (filters alone cannot see repetition). The document's features are the mean and the maximum of its
 chunks' responses, combined by a logistic layer into one probability.
 
-The network is fitted on the driver from at most ``TRAIN_ROWS`` labelled texts per class and
-``TRAIN_CHUNKS`` chunks of each (both bounds are parameters; the choice is by hash, so reruns agree).
+The network is fitted on the driver from at most ``TRAIN_ROWS`` labelled texts per class, whole, of at most
+``TRAIN_CHARS`` characters in all (both bounds are parameters; the choice is by hash, so reruns agree; where the sum goes beyond
+the bound the longest of the chosen texts are left out).
 Scoring reads whole texts, in the map tasks, with the weights (a few kB) broadcast.
 
 Defined results: null and empty texts are one chunk of padding and get a score like any other; null ids
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alpina.llm.common import packed, unpacked
@@ -36,7 +37,8 @@ CHANNELS = EMBED + 1
 FILTERS = 24
 THRESHOLD = 0.7
 TRAIN_ROWS = 700
-TRAIN_CHUNKS = 8
+TRAIN_CHARS = 4_000_000
+SHORT_CUT = 128
 EPOCHS = 14
 BATCH = 32
 SEED = 11
@@ -93,8 +95,8 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(texts: list[list[bytes]], labels: list[int], prior: float = 0.5) -> dict[str, np.ndarray]:
-    """Weights from labelled texts (each a list of its pieces): logistic loss with balanced classes, Adam, back-propagation through
+def fit(texts: list[bytes], labels: list[int], prior: float = 0.5) -> dict[str, np.ndarray]:
+    """Weights from labelled texts: logistic loss with balanced classes, Adam, back-propagation through
     the windows that won the pooling. ``prior`` (share of label 1 among all labels) then moves the bias
     half of the way to its log odds: a document is rejected only on evidence."""
     y = np.array(labels, dtype=float)
@@ -123,32 +125,35 @@ def fit(texts: list[list[bytes]], labels: list[int], prior: float = 0.5) -> dict
     return w
 
 
-def _training_set(texts: list[list[bytes]], y: np.ndarray, rng) -> tuple[list[np.ndarray], np.ndarray]:
-    """Chunks of every text and of one short cut of it (so short texts are judged by what they hold,
-    not by their length; cuts of label 0 stay long enough to show what is wrong with them)."""
+def _training_set(texts: list[bytes], y: np.ndarray, rng) -> tuple[list[np.ndarray], np.ndarray]:
+    """Chunks of every text and of one short cut of it with its label, by the same rule for both labels (so short
+    texts are judged by what they hold, not by their length)."""
     docs, marks = [], []
     for t, label in zip(texts, y, strict=True):
-        c = np.concatenate([chunks_of(p) for p in t])
-        docs.append(c[np.sort(rng.choice(len(c), min(len(c), TRAIN_CHUNKS), replace=False))])
-        t = t[int(rng.integers(0, len(t)))]
-        n = int(np.exp(rng.uniform(np.log(8 if label else 128), np.log(CHUNK))))
+        docs.append(chunks_of(t))
+        n = int(np.exp(rng.uniform(np.log(SHORT_CUT), np.log(CHUNK))))
         if n < len(t):
             at = int(rng.integers(0, len(t) - n))
             docs.append(chunks_of(t[at:at + n]))
             marks += [label]
         marks += [label]
-    docs.append(chunks_of(b""))  # nothing speaks against an empty text
-    return docs, np.array([*marks, 1.0])
+    return docs, np.array(marks)
+
+
+def _responses(w, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest response of each filter in each chunk, after ReLU, and the window it comes from."""
+    pooled, at = np.empty((len(chunks), FILTERS)), np.empty((len(chunks), FILTERS), dtype=np.int64)
+    for s in range(0, len(chunks), BLOCK_CHUNKS):
+        z = np.ascontiguousarray(_windows(_embedded(w, chunks[s:s + BLOCK_CHUNKS]))) @ w["filters"]
+        at[s:s + BLOCK_CHUNKS] = z.argmax(axis=1)
+        pooled[s:s + BLOCK_CHUNKS] = z.max(axis=1)
+    return np.maximum(pooled + w["bias"], 0), at
 
 
 def _gradients(w, docs: list[np.ndarray], y: np.ndarray, share: float) -> dict[str, np.ndarray]:
     chunks = np.concatenate(docs)
     owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    x = _embedded(w, chunks)
-    win = np.ascontiguousarray(_windows(x))
-    z = win @ w["filters"]
-    at = z.argmax(axis=1)  # (chunks, filters)
-    pooled = np.maximum(np.take_along_axis(z, at[:, None, :], 1)[:, 0] + w["bias"], 0)
+    pooled, at = _responses(w, chunks)
     n = np.bincount(owner, minlength=len(docs))[:, None]
     mean = np.zeros((len(docs), FILTERS))
     np.add.at(mean, owner, pooled)
@@ -165,12 +170,13 @@ def _gradients(w, docs: list[np.ndarray], y: np.ndarray, share: float) -> dict[s
     d_pool = (dz[:, None] * w["out"][:FILTERS] / n)[owner] + (dz[:, None] * w["out"][FILTERS:] / ties)[owner] * largest
     d_pool *= pooled > 0
     g["bias"] = d_pool.sum(axis=0)
-    won = win[np.arange(len(win))[:, None], at]
-    g["filters"] = np.einsum("cfk,cf->kf", won, d_pool) + 1e-4 * w["filters"]
-    d_win = d_pool[:, :, None] * w["filters"].T[None]  # (chunks, filters, WIDTH * CHANNELS)
-    symbol = (chunks % SYMBOLS)[np.arange(len(chunks))[:, None, None], at[:, :, None] + np.arange(WIDTH)]
-    g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], symbol.ravel(), d_win.reshape(-1, CHANNELS)[:, :EMBED])
+    g["filters"], g["embed"] = 1e-4 * w["filters"], np.zeros_like(w["embed"])
+    for s in range(0, len(chunks), BLOCK_CHUNKS):  # only the winning windows are built again
+        part, d = chunks[s:s + BLOCK_CHUNKS], d_pool[s:s + BLOCK_CHUNKS]
+        won = part[np.arange(len(part))[:, None, None], at[s:s + BLOCK_CHUNKS, :, None] + np.arange(WIDTH)]  # (chunks, filters, WIDTH)
+        g["filters"] += np.einsum("cfk,cf->kf", _embedded(w, won).reshape(len(part), FILTERS, -1), d)
+        d_win = d[:, :, None] * w["filters"].T[None]  # (chunks, filters, WIDTH * CHANNELS)
+        np.add.at(g["embed"], (won % SYMBOLS).ravel(), d_win.reshape(-1, CHANNELS)[:, :EMBED])
     return g
 
 
@@ -198,24 +204,23 @@ def held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
-    """Fit on at most ``rows`` labelled texts of each class that are not held out, chosen by hash."""
+          label_col: str = "quality", rows: int = TRAIN_ROWS,
+          chars: int = TRAIN_CHARS) -> dict[str, np.ndarray]:
+    """Fit on at most ``rows`` labelled texts of each class that are not held out, of ``chars`` characters in all, chosen by hash."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter(
         "id IS NOT NULL AND y IN (0, 1)").filter(~held_out("id")).groupBy("id").agg(F.min("y").alias("y"))
     order = F.xxhash64("id")
     chosen = marks.filter("y = 0").orderBy(order, "id").limit(rows).unionByName(
         marks.filter("y = 1").orderBy(order, "id").limit(rows))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # at most 2 * rows ids; of a text longer than TRAIN_CHUNKS chunks, pieces spread over all of it
-    last = F.length("text") - CHUNK
-    spread = F.transform(F.sequence(F.lit(0), F.lit(TRAIN_CHUNKS - 1)), lambda i: F.substr(
-        "text", (F.floor(i * last / (TRAIN_CHUNKS - 1)) + 1).cast("int"), F.lit(CHUNK)))
-    pieces = F.when(F.length("text") <= CHUNK * TRAIN_CHUNKS, F.array("text")).otherwise(spread)
-    found = (docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(chosen), "id")
-             .groupBy("id").agg(F.min("y").alias("y"), F.min(pieces).alias("pieces"))
+    # at most 2 * rows ids; the bound on characters keeps what the driver holds independent of the texts' lengths
+    found = (docs.select(F.col(id_col).alias("id"), text.alias("text")).filter(F.length("text") <= chars).join(F.broadcast(chosen), "id")
+             .groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text")))
+    shortest = Window.orderBy(F.length("text"), F.xxhash64("id"), "id")
+    taken = (found.withColumn("sum", F.sum(F.length("text")).over(shortest)).filter(F.col("sum") <= chars)
              .orderBy(F.xxhash64("id"), "id").collect())
     n, good = marks.agg(F.count(F.lit(1)), F.sum("y")).first()
-    w = fit([[p.encode() for p in r["pieces"]] for r in found], [r["y"] for r in found], (good + 1) / (n + 2) if n else 0.5)
+    w = fit([r["text"].encode() for r in taken], [r["y"] for r in taken], (good + 1) / (n + 2) if n else 0.5)
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 

@@ -120,6 +120,49 @@ def test_held_out_quality(spark):
     assert all(abs(again[i] - r["score"]) < 1e-6 for i, r in rows.items())
 
 
+def test_scores_equal_brute_force(spark):
+    """Every window of every chunk of a text, one by one in plain Python, against the blocked scorer in tasks."""
+    rng = random.Random(9)
+    texts = ["", "abc", "déjà vu " * 3, "".join(rng.choice("ab cé") for _ in range(700)), "word " * 260, "x" * 1025]
+    w = quality.start_weights()
+    w["bias"], w["out_bias"] = w["bias"] - 0.3, np.array([0.4])
+
+    def plain(text):
+        data = text.encode()
+        chunks, start = [], 0
+        while True:
+            chunks.append((start, [data[start + i] if start + i < len(data) else quality.PAD for i in range(quality.CHUNK)]))
+            if start + quality.CHUNK >= len(data):
+                break
+            start += quality.STRIDE
+        grams = [data[i:i + quality.GRAM] for i in range(max(0, len(data) - quality.GRAM + 1))] if len(data) > quality.GRAM else []
+        echo = [any(grams[i - lag] == g for lag in range(quality.GRAM - 1, min(quality.ECHO, i) + 1)) for i, g in enumerate(grams)]
+        pooled = []
+        for start, chunk in chunks:
+            x = [[*w["embed"][b], float(start + i < len(echo) and echo[start + i])] for i, b in enumerate(chunk)]
+            wins = [np.concatenate(x[i:i + quality.WIDTH]) for i in range(quality.CHUNK - quality.WIDTH + 1)]
+            pooled.append([max(0.0, max(float(v @ w["filters"][:, f]) for v in wins) + w["bias"][f]) for f in range(quality.FILTERS)])
+        z = sum(o * v for o, v in zip(w["out"], [*np.mean(pooled, axis=0), *np.max(pooled, axis=0)])) + w["out_bias"][0]
+        return 1 / (1 + np.exp(-z))
+
+    df = docs(spark, list(enumerate(texts)))
+    got = {r["row"]["doc_id"]: r["score"] for r in quality.with_score(df, w).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(plain(t), abs=1e-5), i
+
+
+def test_training_reads_whole_texts_within_the_bound(spark, monkeypatch):
+    df = docs(spark, [(1, "good " * 400), (3, "bad! " * 2000), (4, "bad? " * 300), (5, "fine " * 5)])
+    lab = spark.createDataFrame([(1, 1), (3, 0), (4, 0), (5, 1)], "doc_id long, quality int")
+    ids = [i for i in (1, 3, 4, 5) if zlib.crc32(str(i).encode()) % 4 != 2]
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda texts, y, prior: seen.append((sorted(map(len, texts)), prior)) or quality.start_weights())
+    size = {1: 2000, 3: 10000, 4: 1500, 5: 25}
+    quality.train(df, lab)
+    quality.train(df, lab, chars=5000)
+    assert seen[0][0] == sorted(size[i] for i in ids) and seen[1][0] == sorted(size[i] for i in ids if size[i] < 5000)
+
+
 def test_chunks_cover_the_text():
     for n in (0, 1, 511, 512, 513, 960, 961, 5000):
         data = bytes(i % 251 for i in range(n))
